@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, substring
+from . import bpe, jaccard, substring
 from .tables import read
 
 #: Where the tokenizer file is; every worker reads it there.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(read(spark, sf_dir, "documents"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_decode(read(spark, sf_dir, "documents"), TOKENIZER)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -25,7 +29,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_bpe_codec": op7_bpe_codec, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_jaccard_join": op1_jaccard_join, "op7_bpe_codec": op7_bpe_codec, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
