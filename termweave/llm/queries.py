@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, substring
+from . import bpe, jaccard, quality, substring
 from .tables import read
 
 #: Where the tokenizer file is; every worker reads it there.
@@ -23,13 +23,19 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.score(docs.select("doc_id", "text"), model).select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substring.dedup(read(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_jaccard_join": op1_jaccard_join, "op7_bpe_codec": op7_bpe_codec, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_jaccard_join": op1_jaccard_join, "op7_bpe_codec": op7_bpe_codec, "op9_quality_classifier": op9_quality_classifier, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
