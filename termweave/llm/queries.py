@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, quality, substring
+from . import bpe, jaccard, quality, secrets, substring
 from .tables import read
 
 #: Where the tokenizer file is; every worker reads it there.
@@ -18,6 +18,15 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(read(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.fit(docs))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), count("crf"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_decode(read(spark, sf_dir, "documents"), TOKENIZER)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -35,7 +44,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_jaccard_join": op1_jaccard_join, "op7_bpe_codec": op7_bpe_codec, "op9_quality_classifier": op9_quality_classifier, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_jaccard_join": op1_jaccard_join, "op4_secret_scan": op4_secret_scan, "op7_bpe_codec": op7_bpe_codec, "op9_quality_classifier": op9_quality_classifier, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
