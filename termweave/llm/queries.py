@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, quality, secrets, substring
+from . import bpe, hnsw, jaccard, quality, secrets, substring
 from .tables import read
 
 #: Where the tokenizer file is; every worker reads it there.
@@ -18,6 +18,11 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(read(spark, sf_dir, "documents"))
 
 
+def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     found = secrets.scan(docs, secrets.fit(docs))
@@ -44,7 +49,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_jaccard_join": op1_jaccard_join, "op4_secret_scan": op4_secret_scan, "op7_bpe_codec": op7_bpe_codec, "op9_quality_classifier": op9_quality_classifier, "op10_substring_dedup": op10_substring_dedup}
+    return {"op1_jaccard_join": op1_jaccard_join, "op3_nearest_vectors": op3_nearest_vectors, "op4_secret_scan": op4_secret_scan, "op7_bpe_codec": op7_bpe_codec, "op9_quality_classifier": op9_quality_classifier, "op10_substring_dedup": op10_substring_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
