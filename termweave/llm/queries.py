@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, hnsw, jaccard, quality, secrets, substring
+from . import bpe, chat, decontaminate, hnsw, jaccard, licenses, lines, quality, secrets, substring
 from .tables import read
 
 #: Where the tokenizer file is; every worker reads it there.
@@ -18,6 +18,12 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(read(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(read(spark, sf_dir, "documents"))
+    names = F.array_join(F.array_sort(F.array_distinct(F.col("licences.licence"))), ",")
+    return found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"), F.array_join("sentence_ids", ",").alias("sentence_ids"), names.alias("licences"))
+
+
 def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return hnsw.nearest(vectors, vectors.where("vec_id % 100 = 0"))
@@ -32,11 +38,24 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), count("crf"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(read(spark, sf_dir, "conversations"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_decode(read(spark, sf_dir, "documents"), TOKENIZER)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = lines.dedup(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
@@ -48,9 +67,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_jaccard_join": op1_jaccard_join, "op3_nearest_vectors": op3_nearest_vectors, "op4_secret_scan": op4_secret_scan, "op7_bpe_codec": op7_bpe_codec, "op9_quality_classifier": op9_quality_classifier, "op10_substring_dedup": op10_substring_dedup}
+    found = [
+        op1_jaccard_join, op2_license_scan, op3_nearest_vectors, op4_secret_scan, op5_decontamination, op6_chat_formatting, op7_bpe_codec, op8_line_dedup, op9_quality_classifier, op10_substring_dedup, pipeline,
+    ]
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_chat_formatting": chat.sql()}
