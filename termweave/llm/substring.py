@@ -26,13 +26,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import Words, run_hashes, signed, slices
+from .textops import Words, mix, run_hashes, signed, slices
 
-#: Bytes of a phrase's digest beside its anchor's 64 bits.
+#: Bytes of a phrase's digest beside its anchor.
 DIGEST = 5
+#: An anchor keeps its upper 48 bits; with a phrase's digest, 88 bits tell phrases apart.
+_U16 = np.uint64(16)
 #: Runs that a task gathers before it settles its own copies.
 LOCAL_RUNS = 400_000
-_MOVED = "block long, doc long, at long, digests binary, n int, source long, source_at long"
+#: payload: the digests of a run's phrases, or of a run that is settled already its source, place there and number of phrases.
+_MOVED = "block long, doc long, at long, payload binary"
+_SETTLED = 17
 
 
 def _runs(words: Words, phrase: int, anchor: int) -> tuple[np.ndarray, ...]:
@@ -53,13 +57,13 @@ def _runs(words: Words, phrase: int, anchor: int) -> tuple[np.ndarray, ...]:
     new[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
     begin = np.flatnonzero(new)
     digests = np.ascontiguousarray(hashes.astype("<u8", copy=False)).view(np.uint8).reshape(-1, 8)[:, :DIGEST]
-    return text[begin], at[begin] - words.first[text[begin]], np.diff(np.append(begin, len(at))), least[begin], digests
+    return text[begin], at[begin] - words.first[text[begin]], np.diff(np.append(begin, len(at))), least[begin] >> _U16, digests
 
 
-def _binary(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
-    """Rows of counts[i] digests each, as binary."""
-    offsets = np.concatenate(([0], np.cumsum(counts * DIGEST))).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(flat))])
+def _binary(flat: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Rows of lengths[i] bytes each."""
+    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(flat))])
 
 
 def _pick(flat: np.ndarray, counts: np.ndarray, keep: np.ndarray) -> np.ndarray:
@@ -80,21 +84,16 @@ def _settle(doc: np.ndarray, at: np.ndarray, n: np.ndarray, block: np.ndarray, f
     source = np.empty(len(order), np.int64)
     source[order] = holder
     done = (doc[source] < doc) & (n[source] == n) & (block[source] == block)
-    for keep, settled in ((~done, False), (done, True)):
-        if keep.any():
-            k = int(keep.sum())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(signed(block[keep]) if not settled else signed(same[keep] * np.uint64(31) + at[keep].astype(np.uint64))),
-                    pa.array(doc[keep]),
-                    pa.array(at[keep]),
-                    pa.nulls(k, pa.binary()) if settled else _binary(_pick(flat, n, keep), n[keep]),
-                    pa.array(n[keep].astype(np.int32)),
-                    pa.array(doc[source][keep]) if settled else pa.nulls(k, pa.int64()),
-                    pa.array(at[source][keep]) if settled else pa.nulls(k, pa.int64()),
-                ],
-                ["block", "doc", "at", "digests", "n", "source", "source_at"],
-            )
+    names = ["block", "doc", "at", "payload"]
+    if not done.all():
+        open_rows = [signed(block[~done]), doc[~done], at[~done]]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, open_rows), _binary(_pick(flat, n, ~done), n[~done] * DIGEST)], names)
+    if done.any():
+        found = np.zeros((int(done.sum()), _SETTLED), np.uint8)
+        found[:, :16] = np.stack((doc[source][done], at[source][done]), 1).view(np.uint8)
+        found[:, 16] = n[done]
+        spread = [signed(mix(at[done].astype(np.uint64))), doc[done], at[done]]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, spread), _binary(found, np.full(len(found), _SETTLED))], names)
 
 
 def _factors(block: np.ndarray, doc: np.ndarray, at: np.ndarray, n: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -128,7 +127,7 @@ def _factors(block: np.ndarray, doc: np.ndarray, at: np.ndarray, n: np.ndarray,
     return doc[row[hit]][begin], place[begin], np.diff(np.append(begin, len(hit))), source[begin], source_place[begin]
 
 
-def parse(docs: DataFrame, phrase: int = 13, anchor: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
+def parse(docs: DataFrame, phrase: int = 13, anchor: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Factors of all documents: doc, at (tag and first word), n (phrases), source, source_at.
 
     `at` holds a 20-bit tag of the text above bit 40, so that rows of one id but
@@ -161,19 +160,22 @@ def parse(docs: DataFrame, phrase: int = 13, anchor: int = 5, text: str = "text"
                     yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], names)
 
         for batch in batches:
-            settled = batch.column(5).is_valid().to_numpy(zero_copy_only=False)
+            payload = batch.column(3)
+            offsets = np.frombuffer(payload.buffers()[1], np.int32)[payload.offset : payload.offset + len(payload) + 1]
+            settled = np.diff(offsets) % DIGEST != 0
+            flat = np.frombuffer(payload.buffers()[2], np.uint8)
+            block, doc, at = (batch.column(i).to_numpy() for i in range(3))
             if settled.any():
-                done = batch.filter(pa.array(settled))
-                yield pa.RecordBatch.from_arrays([done.column(1), done.column(2), done.column(4).cast(pa.int64()), done.column(5), done.column(6)], names)
-                batch = batch.filter(pa.array(~settled))
-            if not batch.num_rows:
+                found = flat[offsets[:-1][settled][:, None] + np.arange(_SETTLED)]
+                source = np.ascontiguousarray(found[:, :16]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[settled], at[settled], found[:, 16].astype(np.int64), source[:, 0], source[:, 1])], names)
+            if settled.all():
                 continue
-            block = batch.column(0).to_numpy()
-            flat = batch.column(3)
-            offsets = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1]
-            digests = np.frombuffer(flat.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].reshape(-1, DIGEST)
-            n = batch.column(4).to_numpy().astype(np.int64)
-            columns = (block, batch.column(1).to_numpy(), batch.column(2).to_numpy(), n)
+            flat = flat[offsets[0] : offsets[-1]][np.repeat(~settled, np.diff(offsets))]
+            digests = flat.reshape(-1, DIGEST)
+            n = np.diff(offsets)[~settled].astype(np.int64) // DIGEST
+            block, doc, at = block[~settled], doc[~settled], at[~settled]
+            columns = (block, doc, at, n)
             cut = int(np.searchsorted(block, block[-1], "left"))  # the last block may go on in the next batch
             ends = int(n[:cut].sum())
             if cut or (held and held[-1][0][-1] != block[0]):
@@ -193,7 +195,7 @@ def _tag(text):
     return F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(0xFFFFF)
 
 
-def dedup(docs: DataFrame, phrase: int = 13, anchor: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
+def dedup(docs: DataFrame, phrase: int = 13, anchor: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, n_words, n_removed, kept (the words left, joined by one space) and factors of every row.
 
     factors: array of start (word), n (words), source (id), source_start (word).
