@@ -7,9 +7,10 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def gestalt_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of the lower-cased texts, as difflib gives it; a null side gives null."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x.lower(), y.lower()).ratio() for x, y in zip(a, b)], dtype="float64")

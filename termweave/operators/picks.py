@@ -7,6 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.text import normal_name
 from ._rank import top
@@ -70,7 +71,7 @@ def last_answer(text: str | None) -> str | None:
     return found
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def extract_answers(texts: pd.Series) -> pd.Series:
     return texts.map(last_answer)
 

@@ -54,7 +54,7 @@ def _name_hits(names: DataFrame, queries: DataFrame) -> DataFrame:
     Few queries are broadcast against the names. Of many, those with a literal
     three-character piece meet only the names that hold that piece.
     """
-    contains = F.col("text").ilike(F.concat(F.lit("%"), F.col("keyword"), F.lit("%")))
+    contains = F.ilike(F.col("text"), F.concat(F.lit("%"), F.col("keyword"), F.lit("%")))
     if small(queries):
         return names.join(F.broadcast(queries), contains)
     piece = F.regexp_extract(F.lower("keyword"), r"[^%_\\]{3}", 0)
@@ -80,6 +80,6 @@ def search_concepts(concepts: DataFrame, queries: DataFrame, synonyms: DataFrame
         hits = hits.where("domain is null or domain_id ilike domain")
     if synonyms is not None:
         hits = top(hits, ["query_id", "concept_id"], ["source", F.length("text"), "text"], 1, "turn")
-    exact = F.when(F.col("concept_name").ilike(F.col("keyword")), 0).otherwise(1)
+    exact = F.when(F.ilike(F.col("concept_name"), F.col("keyword")), 0).otherwise(1)
     found = top(hits, ["query_id"], ["source", exact, F.length("concept_name"), "concept_name", "concept_id"], limit)
     return found.select("query_id", "rank", *COLUMNS)

@@ -23,8 +23,12 @@ RELATIONSHIPS = [
 ]
 
 
+#: Derived tables of this process's sessions, cached once each: queries of one session share a vocabulary.
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Given:
-    """The given tables of one folder and what is derived from them, each as a lazy DataFrame."""
+    """The given tables of one folder and what is derived from them, each as a cached DataFrame."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.dir = spark, sf_dir
@@ -34,15 +38,16 @@ class Given:
 
     def _cached(name):  # noqa: N805
         def get(self) -> DataFrame:
-            found = self.__dict__.setdefault("_held", {})
-            if name not in found:
-                found[name] = getattr(self, f"_{name}")()
-            return found[name]
+            key = (self.spark.sparkContext.applicationId, self.dir, name)
+            if key not in _TABLES:
+                _TABLES[key] = getattr(self, f"_{name}")().cache()
+            return _TABLES[key]
 
         return property(get)
 
     parts, concept, is_a, closure, edges, relationship, synonym, domain, vocabulary = map(_cached, ("parts", "concept", "is_a", "closure", "edges", "relationship", "synonym", "domain", "vocabulary"))
-    person, drug_exposure, condition, visit, measurement, cost, observation_period = map(_cached, ("person", "drug_exposure", "condition", "visit", "measurement", "cost", "observation_period"))
+
+    person, drug_exposure, condition, visit, measurement, cost, observation_period = (property(lambda self, n=n: getattr(self, f"_{n}")()) for n in ("person", "drug_exposure", "condition", "visit", "measurement", "cost", "observation_period"))
 
     def _parts(self) -> DataFrame:
         p = self.read("part").select(
