@@ -57,11 +57,16 @@ def definition_summary(definitions: DataFrame, catalogue: DataFrame) -> DataFram
     return rows.select("cohortId", "cohortName", named(F.col("d.ConceptSets"), "").alias("concept_sets"), named(F.col("d.InclusionRules"), "").alias("inclusion_rules"), strategy.alias("end_strategy"), F.substring("json", 1, 500).alias("preview"), error.alias("error"))
 
 
+def strip(c: Column) -> Column:
+    """Without white space at either end, line breaks included."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def parse_query_files(files: DataFrame) -> DataFrame:
     """files(path, content) of markdown query templates, one row each; files without a name are dropped."""
-    meta = lambda name: F.trim(F.regexp_extract("content", rf"(?m)^\s*{name}:\s*(.*)$", 1))
-    section = lambda name: F.trim(F.regexp_extract("content", rf"(?s)##\s+{name}[^\n]*\n(.*?)(?=\n##\s|\z)", 1))
-    rows = files.select("path", meta("Name").alias("name"), meta("Group").alias("group"), meta("Author").alias("author"), meta("CDM Version").alias("version"), section("Description").alias("description"), F.trim(F.regexp_extract("content", r"(?s)```sql\s*\n(.*?)```", 1)).alias("sql"), section("Input").alias("input"), section("Output").alias("output"))
+    meta = lambda name: strip(F.regexp_extract("content", rf"(?m)^\s*{name}:\s*(.*)$", 1))
+    section = lambda name: strip(F.regexp_extract("content", rf"(?s)##\s+{name}[^\n]*\n(.*?)(?=\n##\s|\z)", 1))
+    rows = files.select("path", meta("Name").alias("name"), meta("Group").alias("group"), meta("Author").alias("author"), meta("CDM Version").alias("version"), section("Description").alias("description"), strip(F.regexp_extract("content", r"(?s)```sql\s*\n(.*?)```", 1)).alias("sql"), section("Input").alias("input"), section("Output").alias("output"))
     return rows.withColumn("query_id", leading_code(F.col("name"))).where("name <> ''")
 
 
