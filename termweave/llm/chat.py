@@ -56,10 +56,10 @@ def sql(part_turns: int = PART_TURNS) -> str:
     speakers AS (SELECT DISTINCT conv_id AS c, name AS speaker FROM said),
     opened AS (SELECT *, name = speaker AS own, CASE WHEN name = speaker THEN {lit(ASSISTANT_OPEN)} ELSE {lit(USER_OPEN)} || name || '{USER_NAMED}' END AS opening
                FROM said JOIN speakers ON conv_id IS NOT DISTINCT FROM c),
-    placed AS (SELECT *, opening || text || {lit(CLOSE)} AS message, row_number() OVER w AS at, sum(length(opening || text || {lit(CLOSE)})) OVER w AS fin
+    placed AS (SELECT *, opening || text || {lit(CLOSE)} AS message, row_number() OVER w AS place, sum(length(opening || text || {lit(CLOSE)})) OVER w AS fin
                FROM opened WINDOW w AS (PARTITION BY conv_id, speaker, part ORDER BY turn NULLS FIRST, name, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
     spans AS (SELECT *, CAST(fin - length(message) + length(opening) AS BIGINT) AS start FROM placed)
     SELECT conv_id, speaker, part, count(*) AS n_turns, CAST(sum(CASE WHEN own THEN 1 ELSE 0 END) AS BIGINT) AS n_own,
-           string_agg(message, '' ORDER BY at) AS rendered,
-           coalesce(string_agg(CASE WHEN own THEN start || ':' || (start + length(text)) END, ',' ORDER BY at), '') AS mask
+           string_agg(message, '' ORDER BY place) AS rendered,
+           coalesce(string_agg(CASE WHEN own THEN start || ':' || (start + length(text)) END, ',' ORDER BY place), '') AS mask
     FROM spans GROUP BY conv_id, speaker, part"""

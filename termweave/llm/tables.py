@@ -2,27 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.scratch import scratch_dir, written
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
+__all__ = ["read", "scratch_dir", "written"]
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder in spark.checkpoint.dir; only where it is unset (tests), a folder of our own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="termweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
 
-
-def written(df: DataFrame) -> DataFrame:
-    """df stored once as Parquet in the shared folder and read back: lineage ends there, and lost executors lose nothing."""
-    path = f"{scratch_dir(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
