@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import written
@@ -91,10 +91,14 @@ def _paths(meets: DataFrame, left: list[DataFrame], right: list[DataFrame], step
     return top(rows.select("pair_id", "steps"), ["pair_id"], [F.to_json("steps")], PATH_CAP, "turn").select("pair_id", "steps")
 
 
+def _walk() -> Column:
+    """The concepts of a path, in order; none for a path without steps."""
+    return F.concat(F.transform(F.slice("steps", 1, 1), lambda s: s["subject_id"]), F.col("steps.object_id"))
+
+
 def path_profile(concepts: DataFrame, relationship: DataFrame, paths: DataFrame) -> DataFrame:
     """paths(pair_id, path_id, steps) with hops, invalid, non_standard, vocab_switches, ontological, mapping, metadata."""
-    start = F.when(F.size("steps") > 0, F.array(F.col("steps")[0]["subject_id"])).otherwise(F.array().cast("array<bigint>"))
-    nodes = paths.select("pair_id", "path_id", F.posexplode(F.concat(start, F.col("steps.object_id"))).alias("at", "concept_id"))
+    nodes = paths.select("pair_id", "path_id", F.posexplode(_walk()).alias("at", "concept_id"))
     known = nodes.join(concepts.select("concept_id", "vocabulary_id", "standard_concept", F.col("invalid_reason").alias("gone"), F.lit(True).alias("known")), "concept_id", "left")
     order = Window.partitionBy("pair_id", "path_id").orderBy("at")
     known = known.withColumn("before", F.lag("vocabulary_id").over(order))
@@ -137,7 +141,7 @@ def explain_paths(concepts: DataFrame, relationship: DataFrame, paths: DataFrame
 def path_concepts(pairs: DataFrame, ranked: DataFrame) -> DataFrame:
     """Distinct concepts of each pair's paths: source, target, then by path rank and place."""
     ends = pairs.select("pair_id", F.explode(F.array(F.struct(F.lit(0).alias("r"), F.lit(0).alias("p"), F.col("source").alias("c")), F.struct(F.lit(0).alias("r"), F.lit(1).alias("p"), F.col("target").alias("c")))).alias("x"))
-    nodes = ranked.select("pair_id", "rank", F.posexplode(F.concat(F.array(F.col("steps")[0]["subject_id"]), F.col("steps.object_id"))).alias("p", "c"))
+    nodes = ranked.select("pair_id", "rank", F.posexplode(_walk()).alias("p", "c"))
     rows = ends.select("pair_id", F.col("x.r").cast("long").alias("r"), F.col("x.p").cast("long").alias("p"), F.col("x.c").alias("concept_id")).union(nodes.select("pair_id", "rank", F.col("p").cast("long"), "c"))
     first = rows.groupBy("pair_id", "concept_id").agg(F.min(F.struct("r", "p")).alias("place"))
     return top(first, ["pair_id"], ["place", "concept_id"], None, "position").select("pair_id", "position", "concept_id")

@@ -34,19 +34,19 @@ def _(g):
 
 
 def path_pairs(g):
-    """The item of a branded item and the one 37 places on, in id order, and each with itself."""
-    ids = g.parts.select("branded").distinct()
-    placed = ids.withColumn("n", F.row_number().over(Window.orderBy("branded")).cast("long"))
-    far = placed.join(placed.select((F.col("n") - 37).alias("n"), F.col("branded").alias("target")), "n")
-    return far.select(F.col("n").alias("pair_id"), F.col("branded").alias("source"), "target").union(placed.select(F.col("n") + 1000000, "branded", "branded"))
+    """Every branded item with the first one of the next brand, and with itself."""
+    items = g.parts.select("branded", "bn").distinct()
+    firsts = items.groupBy((F.col("bn") - 1).alias("bn")).agg(F.min("branded").alias("target"))
+    far = items.join(firsts, "bn").select(F.col("branded").alias("pair_id"), F.col("branded").alias("source"), "target")
+    return far.union(items.select(F.col("branded") + 100000000, "branded", "branded"))
 
 
-_PATHS = """, placed AS (SELECT branded, row_number() OVER (ORDER BY branded) AS n FROM (SELECT DISTINCT branded FROM parts)),
-    pairs AS (SELECT a.n AS pair_id, a.branded AS source, b.branded AS target FROM placed a JOIN placed b ON b.n = a.n + 37),
+_PATHS = """, items AS (SELECT DISTINCT branded, bn FROM parts), firsts AS (SELECT bn - 1 AS bn, min(branded) AS target FROM items GROUP BY bn),
+    pairs AS (SELECT branded AS pair_id, branded AS source, target FROM items JOIN firsts USING (bn)),
     one AS (SELECT pair_id, concat(source, '|', e.relationship_id, '|', target) AS steps, e.relationship_id AS r1, CAST(NULL AS BIGINT) AS m, CAST(NULL AS VARCHAR) AS r2, 1 AS hops, source, target FROM pairs JOIN edges e ON e.concept_id_1 = source AND e.concept_id_2 = target),
     two AS (SELECT pair_id, concat(source, '|', e.relationship_id, '|', e.concept_id_2, ' ', e.concept_id_2, '|', f.relationship_id, '|', target) AS steps, e.relationship_id AS r1, e.concept_id_2 AS m, f.relationship_id AS r2, 2 AS hops, source, target FROM pairs JOIN edges e ON e.concept_id_1 = source JOIN edges f ON f.concept_id_1 = e.concept_id_2 AND f.concept_id_2 = target
       WHERE pair_id NOT IN (SELECT pair_id FROM one)),
-    paths AS (SELECT * FROM one UNION ALL SELECT * FROM two UNION ALL SELECT n + 1000000, '', NULL, NULL, NULL, 0, branded, branded FROM placed)"""
+    paths AS (SELECT * FROM one UNION ALL SELECT * FROM two UNION ALL SELECT branded + 100000000, '', NULL, NULL, NULL, 0, branded, branded FROM items)"""
 
 
 def paths(g):
@@ -92,8 +92,8 @@ def _(g):
 
 @query("e8_path_concepts")
 def _(g):
-    pairs = path_pairs(g).where("source <> target")
-    ranked = graph.rank_paths(graph.path_profile(g.concept, g.relationship, paths(g).where(F.size("steps") > 0)))
+    pairs = path_pairs(g)
+    ranked = graph.rank_paths(graph.path_profile(g.concept, g.relationship, paths(g)))
     return graph.path_concepts(pairs, ranked)
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import picks
 from ..plans.derive import with_vocabulary as v
+from ..sources import files
+from ..sources.scratch import scratch_dir
 from . import query
 
 #: Truth and predictions as derived from parts: the same rows and keys, h being half the part key.
@@ -40,6 +44,47 @@ def preds(g):
     return m.select(*_KEY, target.cast("long").alias("target_concept_id"), name.alias("target_concept_name"), case.alias("predicate"), F.when(k % 4 != 0, F.concat(F.lit("s"), k.cast("string"))).alias("session_id"), F.when(k % 9 == 0, "timeout").alias("error"), F.lit("why").alias("reasoning"))
 
 
+def stored(g, df, form="csv"):
+    """A path in the shared folder where df was written."""
+    path = f"{scratch_dir(g.spark).rstrip('/')}/{uuid.uuid4().hex}"
+    files.write_predictions(df, path, form)
+    return path
+
+
+_PREDS = f"{_TRUTH} SELECT source_data_identifier, source_code, CAST(row_id AS VARCHAR) AS row_id, CAST(target_concept_id AS VARCHAR) AS target_concept_id, predicate FROM preds"
+
+
+@query("a8_read_predictions", v(_PREDS))
+def _(g):
+    return files.read_predictions(g.spark, stored(g, preds(g))).select(*_KEY, "target_concept_id", "predicate")
+
+
+@query("a9_read_truth", v(f"{_TRUTH} SELECT source_data_identifier, source_code, CAST(target_concept_id AS VARCHAR) AS target_concept_id, CAST(alternative_target_concept_id AS VARCHAR) AS alternative_target_concept_id, predicate FROM truth"))
+def _(g):
+    return files.read_truth(g.spark, stored(g, truth(g)))
+
+
+@query("a10_write_detail", v(f"{_TRUTH} SELECT row_id, validation_error FROM valid"))
+def _(g):
+    return g.spark.read.parquet(stored(g, picks.validate_picks(preds(g), g.concept), "parquet")).select("row_id", "validation_error")
+
+
+@query("a5_read_catalogue", "SELECT CAST(p_partkey AS BIGINT) AS \"cohortId\", p_name AS \"cohortName\", 'a, \"b\" ' || p_type AS status FROM part")
+def _(g):
+    rows = g.read("part").select(F.col("p_partkey").cast("string").alias(" cohortId"), F.col("p_name").alias("cohortName "), F.concat(F.lit('a, "b" '), "p_type").alias("status"))
+    bad = rows.select(F.lit("none").alias(" cohortId"), "cohortName ", "status")
+    return files.read_catalogue_csv(g.spark, stored(g, rows.union(bad)), files.CATALOGUE_COLUMNS).select("cohortId", "cohortName", "status")
+
+
+@query("a1_load_vocabulary", v("SELECT concept_id, concept_name, standard_concept, invalid_reason FROM concept"))
+def _(g):
+    folder = f"{scratch_dir(g.spark).rstrip('/')}/{uuid.uuid4().hex}"
+    columns = [c.split()[0] for c in files.VOCABULARY_FILES["concept"].split(", ")]
+    rows = g.concept.withColumns({c: F.lit(None).cast("string") for c in columns if c not in g.concept.columns}).select(*columns)
+    rows.write.csv(f"{folder}/CONCEPT.csv", sep="\t", header=True, quote="")
+    return files.load_vocabulary(g.spark, folder, ["concept"])["concept"].select("concept_id", "concept_name", "standard_concept", "invalid_reason")
+
+
 @query("i1_dedupe_sources", v(f"{_TRUTH} SELECT source_data_identifier, source_code, row_id FROM (SELECT *, row_number() OVER (PARTITION BY source_data_identifier, source_code ORDER BY row_id) AS n FROM truth) WHERE n = 1"))
 def _(g):
     return picks.dedupe_sources(truth(g)).select(*_KEY)

@@ -22,9 +22,9 @@ PREDICTION_COLUMNS = ["source_data_identifier", "source_code", "target_concept_i
 TRUTH_COLUMNS = ["source_data_identifier", "source_code", "target_concept_id", "alternative_target_concept_id", "predicate"]
 
 
-def load_vocabulary(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Tab-delimited vocabulary files with a header and no quoting, by table."""
-    return {name: spark.read.schema(schema).csv(f"{folder}/{name.upper()}.csv", sep="\t", header=True, quote="") for name, schema in VOCABULARY_FILES.items()}
+def load_vocabulary(spark: SparkSession, folder: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
+    """Tab-delimited vocabulary files with a header and no quoting, by table; all nine unless told which."""
+    return {name: spark.read.schema(VOCABULARY_FILES[name]).csv(f"{folder}/{name.upper()}.csv", sep="\t", header=True, quote="") for name in tables or VOCABULARY_FILES}
 
 
 def table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
