@@ -8,12 +8,12 @@ shingle and one size band: the sets of the band, and those of the band below,
 as only these can be similar enough.
 
 Each set has a bitmap of its members' hashes. Bits that differ between two
-bitmaps bound the overlap from above; pairs that pass are intersected exactly as
-sorted arrays. In a first round every set meets its tiles' least member. Links
-found join sets to classes, and a tile of one class is done. In what is left,
-pairs of different classes are tried, best bound first and one for two classes;
-where such a pair fails the exact test, further rounds try the others, at last
-all of them, so that no link between classes is lost.
+bitmaps bound the overlap from above, so pairs of a tile that fail the bound are
+done with. Those that pass only matter for what they connect: a tile gives a
+spanning forest of them, never all pairs, and the forests of all tiles part the
+sets into clusters that no link can leave. Each set then goes once to its cluster,
+where pairs not yet connected are intersected exactly as sorted arrays, behind a
+finer bitmap. Clusters beyond a bounded size are dealt in pairs of blocks.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -33,10 +33,10 @@ from .textops import Words, mix, run_hashes, signed, slices
 COMMON_SHARE = 0.005
 #: Rows of a tile that are compared at once; larger tiles are dealt in pairs of blocks.
 TILE_ROWS = 2000
+#: Shingles of a cluster that are compared in one task; larger clusters are dealt in pairs of blocks.
+CLUSTER_SHINGLES = 2_000_000
 #: Ids that may be broadcast to find their texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-#: Rounds that try one pair for two classes before all pairs are tried.
-FOREST_ROUNDS = 2
 
 
 def _sets(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, shingle: int) -> list[np.ndarray]:
@@ -57,9 +57,9 @@ def _sets(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, shingle:
     return out
 
 
-def _bitmap(members: np.ndarray) -> bytes:
-    """A power of two of bits, at least twice the members; member h sets bit h mod size."""
-    size = max(64, 1 << int(2 * len(members) - 1).bit_length()) if len(members) else 64
+def _bitmap(members: np.ndarray, times: int = 1) -> bytes:
+    """A power of two of bits, at least `times` the members; member h sets bit h mod size."""
+    size = max(64, 1 << (times * len(members)).bit_length())
     bits = np.zeros(size, bool)
     bits[(members & np.uint64(size - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -133,30 +133,76 @@ def _signatures(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id long, n long, k1 long, k2 long, bits binary, prefix array<long>")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """pairs(a, b) with ok: whether the sets of the two ids really are that similar."""
-    ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+def _linked(clusters: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Exact links (a, b) that join each cluster(rep, cluster, n) as far as all its links do."""
+    few = clusters.count() <= BROADCAST_IDS
+    whole = clusters.groupBy("cluster").agg(F.ceil(F.sum("n") / CLUSTER_SHINGLES).alias("blocks"))
+    dealt = clusters.join(whole, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    members = dealt.select(F.col("rep").alias("doc_id"), "cluster", "blocks", "block")
+    texts = docs.join(F.broadcast(members) if few else members, "doc_id").select("doc_id", "cluster", "blocks", "block", "text")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in _sets(part, data, offsets, shingle)], pa.binary())], ["doc_id", "members"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array([s.tobytes() for s in _sets(part, data, offsets, shingle)], pa.binary())], ["rep", "cluster", "blocks", "block", "members"])
 
-    sets = written(texts.mapInArrow(gather, "doc_id long, members binary"))
+    sets = texts.mapInArrow(gather, "rep long, cluster long, blocks long, block long, members binary")
+    spread = sets.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "block", "members")
 
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.searchsorted(t, s)
-                inter = int((t[np.minimum(at, len(t) - 1)] == s).sum()) if len(t) else 0
-                ok.append(100 * inter >= percent * (len(s) + len(t) - inter))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
+            out = []
+            for row in range(batch.num_rows):
+                own = tuple(batch.column(c)[row].as_py() for c in range(3))
+                if own != key:
+                    out += _cluster_links(held, percent, bool(key) and key[1] != key[2])
+                    key, held = own, []
+                held.append((batch.column(3)[row].as_py(), batch.column(4)[row].as_py(), np.frombuffer(batch.column(5)[row].as_py(), np.uint64)))
+            yield _pairs_out(out)
+        yield _pairs_out(_cluster_links(held, percent, bool(key) and key[1] != key[2]))
+
+    return spread.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j").mapInArrow(link, "a long, b long").where("a <> b")
+
+
+def _pairs_out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["a", "b"])
+
 
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("s")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("members").alias("t")), "b")
-    return both.select("a", "b", "s", "t").mapInArrow(test, "a long, b long, ok boolean")
+class _Union:
+    """Union-find over positions."""
+
+    def __init__(self, n: int) -> None:
+        self.top = list(range(n))
+
+    def root(self, x: int) -> int:
+        top = self.top
+        while top[x] != x:
+            top[x] = x = top[top[x]]
+        return x
+
+
+def _cluster_links(rows: list[tuple[int, int, np.ndarray]], percent: int, cross: bool) -> list[tuple[int, int]]:
+    """Exact links between rows (rep, block, set) of a cluster, leaving out pairs that earlier links connect."""
+    rows = sorted(rows, key=lambda r: (len(r[2]), r[0]))
+    bits = [_unpack(_bitmap(s, 8)) for _, _, s in rows]
+    union, out, first = _Union(len(rows)), [], 0
+    for j, (rep, block, s) in enumerate(rows):
+        while 100 * len(rows[first][2]) < percent * len(s):
+            first += 1
+        own = union.root(j)
+        for i in range(first, j):
+            if (at := union.root(i)) == own or cross and rows[i][1] == block:
+                continue
+            t = rows[i][2]
+            if not _bound_passes(len(t), bits[i], len(s), bits[j], percent):
+                continue
+            place = np.minimum(np.searchsorted(s, t), len(s) - 1)
+            inter = int((s[place] == t).sum())
+            if 100 * inter >= percent * (len(s) + len(t) - inter):
+                out.append((rows[i][0], rep))
+                union.top[own] = at
+                own = at
+    return out
 
 
 def _bounded(pairs: DataFrame, signed_sets: DataFrame, percent: int) -> DataFrame:
@@ -173,49 +219,39 @@ def _bounded(pairs: DataFrame, signed_sets: DataFrame, percent: int) -> DataFram
     return both.mapInArrow(test, "a long, b long")
 
 
-def _tile_pairs(rows: list[tuple], percent: int, forest: bool, cross: bool) -> Iterator[tuple[int, int]]:
-    """Pairs of one tile whose classes differ and whose bitmaps allow the similarity.
+def _tile_pairs(rows: list[tuple], percent: int, cross: bool) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the tile's pairs of different classes whose bitmaps allow the similarity.
 
-    rows: (rep, n, home, label, bits, block). forest: only as many, best first, as join all classes that could be joined.
+    rows: (rep, n, home, label, bits, block), in order of n.
     """
-    by_class: dict[int, list[tuple]] = {}
-    for rep, n, home, label, bits, block in rows:
-        by_class.setdefault(label, []).append((rep, n, home, _unpack(bits), block))
-    classes, found = list(by_class.items()), []
-    for i, (label, own) in enumerate(classes):
-        for other, theirs in classes[:i]:
-            for rep, n, home, bits, block in own:
-                for rep2, m, home2, bits2, block2 in theirs:
-                    if not (home or home2) or 100 * min(n, m) < percent * max(n, m) or cross and block == block2 or rep == rep2:
-                        continue
-                    bound = _bound_passes(n, bits, m, bits2, percent)
-                    if bound:
-                        found.append((-bound, min(rep, rep2), max(rep, rep2), label, other))
-    if not forest:
-        yield from {(a, b) for _, a, b, _, _ in found}
-        return
-    top = {label: label for label in by_class}
-
-    def root(x: int) -> int:
-        while top[x] != x:
-            top[x] = x = top[top[x]]
-        return x
-
-    for _, a, b, label, other in sorted(found):
-        if (p := root(label)) != (q := root(other)):
-            top[p] = q
-            yield a, b
+    rows = sorted(rows, key=lambda r: (r[1], r[0]))
+    bits = [_unpack(r[4]) for r in rows]
+    union, by_label, first = _Union(len(rows)), {}, 0
+    for j, row in enumerate(rows):
+        by_label.setdefault(row[3], j)
+        union.top[j] = union.root(by_label[row[3]])
+    for j, (rep, n, home, _, _, block) in enumerate(rows):
+        while 100 * rows[first][1] < percent * n:
+            first += 1
+        own = union.root(j)
+        for i in range(first, j):
+            if (at := union.root(i)) == own or not (home or rows[i][2]) or cross and rows[i][5] == block:
+                continue
+            if _bound_passes(rows[i][1], bits[i], n, bits[j], percent):
+                yield min(rep, rows[i][0]), max(rep, rows[i][0])
+                union.top[own] = at
+                own = at
 
 
 def _open_posts(posts: DataFrame, labels: DataFrame) -> DataFrame:
     """Posts of shingles that more than one class holds, with their classes."""
     rows = posts.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("token", "rep", "n", "own", F.coalesce("label", "rep").alias("label"))
-    several = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
+    several = written(rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token"))
     return rows.join(several, "token", "left_semi")
 
 
-def _tile_candidates(rows: DataFrame, signed_sets: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """Candidate pairs of all tiles that hold more than one class."""
+def _tile_candidates(rows: DataFrame, signed_sets: DataFrame, percent: int) -> DataFrame:
+    """Forests of all tiles that hold more than one class."""
     rows = rows.withColumn("band", F.explode(F.array("own", F.col("own") + 1))).withColumn("home", F.col("band") == F.col("own"))
     tiles = rows.groupBy("token", "band").agg(F.count("*").alias("held"), F.min("label").alias("low"), F.max("label").alias("high"), F.max("home").alias("some")).where("low < high and some")
     open_rows = rows.join(tiles.select("token", "band", "held"), ["token", "band"]).join(signed_sets.select("rep", "bits"), "rep")
@@ -229,7 +265,7 @@ def _tile_candidates(rows: DataFrame, signed_sets: DataFrame, percent: int, fore
 
         def flush() -> None:
             if len(held) > 1:
-                out.update(_tile_pairs(held, percent, forest, key[2] != key[3]))
+                out.update(_tile_pairs(held, percent, key[2] != key[3]))
 
         def batch_out() -> pa.RecordBatch:
             a, b = zip(*out)
@@ -253,7 +289,7 @@ def _tile_candidates(rows: DataFrame, signed_sets: DataFrame, percent: int, fore
 
 
 def similar_components(docs: DataFrame, shingle: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, n_shingles, component_id and n_links (tested links of the row's set) of every row.
+    """key, n_shingles and component_id (least id that links reach) of every row.
 
     Null and empty texts, and texts without words, have no shingles and no links:
     their component is their own id. Fewer words than a shingle make one shingle.
@@ -268,26 +304,20 @@ def similar_components(docs: DataFrame, shingle: int = 5, percent: int = 80, tex
     node = written(sets)
     reps = signs.join(node.select(F.col("rep").alias("doc_id"), "k1", "k2", "n"), ["doc_id", "k1", "k2", "n"], "left_semi").dropDuplicates(["doc_id", "k1", "k2", "n"]).select(F.col("doc_id").alias("rep"), "n", "bits", "prefix")
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / percent)) + 1e-9)
-    by_size = Window.partitionBy("token").orderBy("own", "n")
     posted = reps.select(F.explode("prefix").alias("token"), "rep", "n", band.alias("own"))
-    sized = posted.select("*", (100 * F.lag("n").over(by_size) >= percent * F.col("n")).alias("below"), (100 * F.col("n") >= percent * F.lead("n").over(by_size)).alias("above"))
-    posts = written(sized.where("below or above").select("token", "rep", "n", "own", F.min("rep").over(Window.partitionBy("token", "own")).alias("hub")))
+    # Counted with map-side sums and joined back, so that a shingle of very many sets is dealt to several tasks.
+    hub = F.min(F.struct("rep", "n"))
+    shared = posted.groupBy("token").agg(F.count("*").alias("held"), F.min("n").alias("least"), F.max("n").alias("most"), hub.alias("hub")).where(f"held > 2 or held = 2 and 100 * least >= {percent} * most")
+    shared = written(shared.select("token", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")))
+    posts = written(posted.join(shared, "token"))
     small = written(reps.select("rep", "n", "bits"))
-    first = posts.where("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    tested = written(_verified(written(_bounded(first, small, percent)), usable, shingle, percent))
-    labels, rows, turn = components(tested.where("ok")), posts, 0
-    while True:
-        rows = written(_open_posts(rows.select("token", "rep", "n", "own"), labels))
-        found = _tile_candidates(rows, small, percent, turn < FOREST_ROUNDS)
-        new = written(found.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-        none = new.isEmpty()
-        if not none:
-            tested = written(tested.union(_verified(new, usable, shingle, percent)))
-            labels = components(tested.where("ok"))
-        if turn >= FOREST_ROUNDS and none or tested.where("not ok").isEmpty():
-            break
-        turn = FOREST_ROUNDS if none else turn + 1
-    degree = tested.where("ok").select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    classes = node.join(labels.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left").select("k1", "k2", "n", F.coalesce("label", "rep").alias("label"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    alike = f"rep <> hub and 100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"
+    first = posts.where(alike).select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    near = written(_bounded(first, small, percent))
+    rows = written(_open_posts(posts.select("token", "rep", "n", "own"), components(near)))
+    near = near.union(_tile_candidates(rows, small, percent))
+    clusters = written(components(near).join(small, F.col("node") == F.col("rep")).select("rep", F.col("label").alias("cluster"), "n"))
+    labels = components(_linked(clusters, usable, shingle, percent))
+    classes = node.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", "n", F.coalesce("label", "rep").alias("label"))
     out = signs.select("doc_id", "n", "k1", "k2").join(classes, ["k1", "k2", "n"], "left")
-    return out.select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out.select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("component_id"))
