@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from .tables import written
+
 #: A block of fewer characters stays: such lines repeat by chance.
 BLOCK_CHARS = 20
 
@@ -97,6 +99,7 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", carry: list[
     )
     held = lined.select("doc", "tag", F.explode(F.array_distinct("hashes")).alias("line")).where("line <> 0")
     first = held.groupBy("line").agg(F.min("doc").alias("partner"), F.max("doc").alias("last")).where("partner < last").select("line", "partner")
+    first = written(first)  # so that both sides of the next join are dealt anew and a very common line can be split
     pairs = held.join(first, "line").where("partner < doc").select("doc", "tag", "partner").distinct()
     lists = lined.select(F.col("doc").alias("partner"), F.col("hashes").alias("others")).dropDuplicates()
     both = pairs.join(lined.dropDuplicates(["doc", "tag"]), ["doc", "tag"]).join(lists, "partner").select("doc", "tag", "hashes", "sizes", "others")
