@@ -56,7 +56,7 @@ def cherry_pick(rows: DataFrame, picks: DataFrame) -> DataFrame:
 def exclude(rows: DataFrame, keywords: DataFrame) -> DataFrame:
     """Children of keywords(result_id, child_id, keyword): all rows, those whose name holds the keyword excluded."""
     hit = F.lower("concept_name").contains(F.lower("keyword"))
-    return rows.join(F.broadcast(keywords), "result_id").withColumn("is_excluded", F.col("is_excluded") | hit).drop("result_id", "keyword").withColumnRenamed("child_id", "result_id")
+    return rows.join(keywords, "result_id").withColumn("is_excluded", F.col("is_excluded") | hit).drop("result_id", "keyword").withColumnRenamed("child_id", "result_id")
 
 
 def expand_descendants(rows: DataFrame, concepts: DataFrame, closure: DataFrame, limit: int | None = 500) -> DataFrame:
