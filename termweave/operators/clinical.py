@@ -85,7 +85,7 @@ def eras(events: DataFrame, concept: str, gap: int = 30) -> DataFrame:
     """
     key = ["person_id", concept]
     before = Window.partitionBy(*key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(*key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*key).orderBy("start", "end").rangeBetween(Window.unboundedPreceding, Window.currentRow)  # equal events share an era in any order
     rows = events.select(*key, "start", F.coalesce("end", "start").alias("end")).withColumn("reached", F.max("end").over(before))
     rows = rows.withColumn("new", F.when(F.col("reached").isNull() | (F.datediff("start", "reached") > gap), 1).otherwise(0))
     rows = rows.withColumn("idle", F.when(F.col("new") == 1, 0).otherwise(F.greatest(F.datediff("start", "reached") - 1, F.lit(0)))).withColumn("era", F.sum("new").over(upto))

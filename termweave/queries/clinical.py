@@ -76,7 +76,7 @@ def _(g):
 def _eras(table, concept, gap):
     return f""", o AS (SELECT person_id, {concept}, "start", "end", max("end") OVER (PARTITION BY person_id, {concept} ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM {table}),
     f AS (SELECT *, CASE WHEN reached IS NULL OR "start" - reached > {gap} THEN 1 ELSE 0 END AS new FROM o),
-    r AS (SELECT *, sum(new) OVER (PARTITION BY person_id, {concept} ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS era FROM f),
+    r AS (SELECT *, sum(new) OVER (PARTITION BY person_id, {concept} ORDER BY "start", "end") AS era FROM f),
     eras AS (SELECT person_id, {concept}, min("start") AS era_start, max("end") AS era_end, count(*) AS n_events, CAST(sum(CASE WHEN new = 1 THEN 0 ELSE greatest("start" - reached - 1, 0) END) AS BIGINT) AS gap_days FROM r GROUP BY person_id, {concept}, era)"""
 
 
