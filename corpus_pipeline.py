@@ -22,7 +22,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts the aligned common lines from later documents; a document with nothing left goes."""
-    kept = lines.dedup(docs, carry=[c for c in docs.columns if c not in ("doc_id", "text")])
+    kept = lines.dedup(docs, carry=[c for c in docs.columns if c not in ("doc_id", "text")], further=True)
     kept = kept.where((F.trim("kept") != "") | (F.col("n_removed") == 0)).withColumn("text", F.col("kept"))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

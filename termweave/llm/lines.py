@@ -4,16 +4,22 @@ A line is known by a hash of its stripped text. A document overlaps with the
 earliest holder of each line that it shares, so every shared line, rare or
 common, gives one partner and the partners of a document are no more than its
 lines: a line that a third of all documents hold makes one link a document, not
-one a pair. Each pair of line lists is aligned by patience diff: lines that occur
+one a pair. Where the earliest holder cannot show an overlap, because it repeats
+the line, holds only part of a block or has the lines in another order, further
+partners do: the earliest holder in which the line stands once, and both holders
+of each short run of shared lines. A document has at most two of them a line and
+a run, so links stay linear. Each pair of line lists is aligned by patience diff: lines that occur
 once on both sides anchor it, in the longest order common to both, and the gaps
 between are aligned alike. The aligned blocks go from the later document.
 """
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -85,22 +91,76 @@ def common_lines(later: list[int], earlier: list[int], sizes: list[int]) -> list
     return gone
 
 
-def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
+def run_keys(lines: list[int], sizes: list[int]) -> dict[int, bool]:
+    """Hashes that name the runs of a document's shared lines, and whether a line of the run stands once in it.
+
+    A run is two or three lines, or from each line on, and back, as few as make a
+    block; every line of a long enough block lies in such a run within the block.
+    """
+    count = Counter(lines)
+    spans = {(i, i + k) for k in (2, 3) for i in range(len(lines) - k + 1)}
+    for order in (1, -1):
+        i, total = 0, 0
+        ordered = sizes[::order]
+        for j, size in enumerate(ordered, 1):
+            total += size
+            while total - ordered[i] >= BLOCK_CHARS and i < j - 1:
+                total -= ordered[i]
+                i += 1
+            if total >= BLOCK_CHARS and j - i > 3:
+                spans.add((i, j) if order > 0 else (len(lines) - j, len(lines) - i))
+    out: dict[int, bool] = {}
+    for i, j in spans:
+        run = lines[i:j]
+        name = int.from_bytes(blake2b(array("q", run).tobytes(), digest_size=8).digest(), "little", signed=True)
+        out[name] = any(count[x] == 1 for x in run)
+    return out
+
+
+def _name_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [run_keys(a, b) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        where = pa.array([i for i, k in enumerate(keys) for _ in k], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(where), batch.column(1).take(where), pa.array([x for k in keys for x in k], pa.int64()), pa.array([x for k in keys for x in k.values()], pa.bool_())], ["doc", "tag", "run", "single"])
+
+
+def _partners(lined: DataFrame) -> DataFrame:
+    """doc, tag and the earliest holder of each line."""
+    held = lined.select("doc", "tag", F.explode(F.array_distinct("hashes")).alias("line")).where("line <> 0")
+    first = held.groupBy("line").agg(F.min("doc").alias("partner"), F.max("doc").alias("last")).where("partner < last").select("line", "partner")
+    first = written(first)  # so that both sides of the next join are dealt anew and a very common line can be split
+    return held.join(first, "line").where("partner < doc").select("doc", "tag", "partner").distinct()
+
+
+def _further_partners(lined: DataFrame) -> DataFrame:
+    """doc, tag and the earliest holders of each line and run, and the earliest in which it can be an anchor."""
+    held = lined.select("doc", "tag", F.posexplode(F.arrays_zip("hashes", "sizes")).alias("at", "x")).select("doc", "tag", "at", F.col("x.hashes").alias("line"), F.col("x.sizes").alias("size")).where("line <> 0")
+    once = held.groupBy("doc", "tag", "line").agg((F.min("at") == F.max("at")).alias("once"))
+    leaders = lambda df, name, alone: df.groupBy(name).agg(F.min("doc").alias("partner"), F.min(F.when(F.col(alone), F.col("doc"))).alias("anchor"), F.max("doc").alias("last")).where("partner < last").select(name, "partner", "anchor")
+    # Each side of a join is written first, so that it is dealt anew and a very common line or run can be split.
+    shared = written(held.join(written(leaders(once, "line", "once")), "line"))
+    sequences = shared.groupBy("doc", "tag").agg(F.array_sort(F.collect_set(F.struct("at", "line", "size"))).alias("x")).where(F.size("x") > 1)
+    runs = written(sequences.select("doc", "tag", F.col("x.line").alias("lines"), F.col("x.size").alias("sizes")).mapInArrow(_name_runs, "doc long, tag long, run long, once boolean"))
+    held_runs = runs.join(written(leaders(runs, "run", "once")), "run")
+    both = shared.select("doc", "tag", "partner", "anchor").union(held_runs.select("doc", "tag", "partner", "anchor"))
+    return both.select("doc", "tag", F.explode(F.array("partner", "anchor")).alias("partner")).where("partner < doc").distinct()
+
+
+def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", carry: list[str] | None = None, further: bool = False) -> DataFrame:
     """key, n_lines, n_removed and kept (the text without removed lines) of every row, and the columns named in carry.
 
     Null counts as empty, one blank line; blank lines go only within a block.
     Null ids lose nothing and take nothing. Rows that repeat an id never count
     against each other. Columns not named are not read, so their names can't clash.
+    further: also pair documents by the runs they share and by holders in which a
+    line or run can be an anchor; without it, only by each line's earliest holder.
     """
     rows = docs.select(docs[key].cast("long").alias("doc"), F.coalesce(docs[text], F.lit("")).alias("text"), F.struct(*(docs[c] for c in carry or []), F.lit(0).alias("_")).alias("carried")).withColumn("tag", F.xxhash64("text"))
     stripped = F.transform(F.split("text", "\n"), lambda x: F.trim(x))
     lined = rows.where("doc is not null").select("doc", "tag", stripped.alias("lines")).select(
         "doc", "tag", F.transform("lines", lambda x: F.when(x == "", F.lit(0).cast("long")).otherwise(F.xxhash64(x))).alias("hashes"), F.transform("lines", F.length).alias("sizes")
     )
-    held = lined.select("doc", "tag", F.explode(F.array_distinct("hashes")).alias("line")).where("line <> 0")
-    first = held.groupBy("line").agg(F.min("doc").alias("partner"), F.max("doc").alias("last")).where("partner < last").select("line", "partner")
-    first = written(first)  # so that both sides of the next join are dealt anew and a very common line can be split
-    pairs = held.join(first, "line").where("partner < doc").select("doc", "tag", "partner").distinct()
+    pairs = _further_partners(lined) if further else _partners(lined)
     lists = lined.select(F.col("doc").alias("partner"), F.col("hashes").alias("others")).dropDuplicates()
     both = pairs.join(lined.dropDuplicates(["doc", "tag"]), ["doc", "tag"]).join(lists, "partner").select("doc", "tag", "hashes", "sizes", "others")
 

@@ -52,7 +52,7 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = lines.dedup(read(spark, sf_dir, "documents"))
+    cut = lines.dedup(read(spark, sf_dir, "documents"), further=True)
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 

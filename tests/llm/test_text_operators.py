@@ -239,6 +239,47 @@ def test_lines_are_brute_force(spark):
     assert lines.dedup(empty(spark)).count() == 0
 
 
+def brute_all_lines(rows):
+    """Aligned with every earlier holder of a shared line."""
+    cut = [(i, (t or "").split("\n")) for i, t in rows]
+    key = lambda x: hash(x.strip(" ")) if x.strip(" ") else 0
+    out = []
+    for i, ls in cut:
+        gone = set()
+        for j, other in cut:
+            if i is not None and j is not None and j < i and {x.strip(" ") for x in ls} & {x.strip(" ") for x in other} - {""}:
+                gone |= set(lines.common_lines([key(x) for x in ls], [key(x) for x in other], [len(x.strip(" ")) for x in ls]))
+        out.append((i, len(ls), len(gone), "\n".join(x for n, x in enumerate(ls) if n not in gone)))
+    return sorted(out, key=str)
+
+
+def test_lines_are_aligned_with_further_holders(spark):
+    x, y = "a line that several documents hold", "another line that several documents hold"
+    short = [f"short {i}" for i in range(5)]
+    texts = [
+        *(f"{x}\np\n{x}\nq", f"r1\n{x}\nr2", f"s1\n{x}\ns2", f"t1\n{x}\nt2"),  # the earliest holder repeats the line
+        *(f"o{i}\n{s}\nu{i}" for i, s in enumerate(short)), "\n".join(["v1", *short, "v2"]), "\n".join(["w1", *short, "w2"]),  # each line of the block stands in another document
+        *(f"{y}\nk1\n{y[::-1]}", f"{y[::-1]}\nm1\n{y}\nm2", f"n1\n{y[::-1]}\nn2\n{y}\nn3"),  # the earliest holder has the lines crossed
+    ]
+    rows = list(enumerate(texts))
+    rng = random.Random(8)
+    pool = [[f"line {i} of block {b}" + " and more" * (i % 2) for i in range(4)] for b in range(12)]
+    rows += [(100 + i, "\n".join(x for b in sorted(rng.sample(pool, 2)) for x in [f"own {i} {b[0]}", *b[rng.randrange(2) :]])) for i in range(40)]
+    rows += [(100, rows[-1][1]), (140, rows[-1][1]), (140, rows[-1][1]), (None, rows[-1][1])]
+    df = docs(spark, [t for _, t in rows], [i for i, _ in rows])
+    found = {r.doc_id: r.n_removed for r in lines.dedup(df, further=True).collect() if (r.doc_id or 99) < 50}
+    assert [found[i] for i in (1, 2, 3)] == [0, 1, 1] and found[10] == 5 and found[13] == 2
+    assert sorted(((r.doc_id, r.n_lines, r.n_removed, r.kept) for r in lines.dedup(df, further=True).collect()), key=str) == brute_all_lines(rows)
+    assert brute_all_lines(rows) != brute_lines(rows)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=12))
+def test_runs_cover_every_block(sizes):
+    wide = lines.run_keys(list(range(1, len(sizes) + 1)), sizes)
+    assert len(wide) <= 4 * len(sizes) and all(wide.values())
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 6)), st.lists(st.integers(0, 6)))
 def test_patience_aligns_equal_lines_in_order(a, b):
