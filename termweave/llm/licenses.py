@@ -1,9 +1,13 @@
 """Licence scan by sentence rules (operator 2).
 
-A text is cut into sentences; a sentence is normalised and looked up among the
-known licence sentences, which gives an identifier. The identifiers found, in
-order, are then matched against the rules: a rule is an ordered list of
-identifiers, met when they follow one another with few other sentences between.
+A known licence sentence is looked up as a sequence of words from each place
+where a sentence or a line begins, to the end of a sentence or line; what stands
+between words, such as line breaks and comment marks, does not count. That gives
+identifiers. A notice such as SPDX-License-Identifier gives one for each licence
+that it names. The identifiers found, in order, are then matched against the
+rules: a rule is an ordered list of identifiers, met when they follow one another
+with few other sentences between. Sentences are counted after joining wrapped
+lines: they end at an end mark, a blank line or a known sentence's border.
 """
 
 from __future__ import annotations
@@ -14,7 +18,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Known sentences of public licences and notices, by identifier.
+_FREE = "This {} is free software: you can redistribute it and/or modify it under the terms of"
+#: Known sentences of public licences and notices, by identifier; {} is up to NAME_WORDS words.
 SENTENCES = {
     "mit-released": ("Released under the MIT License.", "This project is licensed under the MIT License.", "Licensed under the MIT License."),
     "mit-grant": (
@@ -26,11 +31,42 @@ SENTENCES = {
     "apache-comply": ("you may not use this file except in compliance with the License.",),
     "apache-obtain": ("You may obtain a copy of the License at",),
     "gpl-3": ("This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 3."),
-    "gpl-free": ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
+    "gpl-2": ("This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU General Public License, version 2."),
+    "gpl-2-free": (f"{_FREE} the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",),
+    "gpl-2-only": (
+        f"{_FREE} the GNU General Public License as published by the Free Software Foundation; version 2 of the License.",
+        f"{_FREE} the GNU General Public License version 2 as published by the Free Software Foundation.",
+    ),
+    "gpl-free": (f"{_FREE} the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
+    "gpl-3-only": (f"{_FREE} the GNU General Public License as published by the Free Software Foundation, version 3 of the License.", f"{_FREE} the GNU General Public License as published by the Free Software Foundation, version 3."),
+    "lgpl-21-free": (f"{_FREE} the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",),
+    "lgpl-3-free": (f"{_FREE} the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
+    "lgpl-3": ("Licensed under the GNU Lesser General Public License, version 3.", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    "agpl-3-free": (f"{_FREE} the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
+    "agpl-3": ("Licensed under the GNU Affero General Public License, version 3.", "This work is licensed under the GNU Affero General Public License, version 3."),
     "gpl-hope": ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",),
     "bsd-redistribution": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",),
     "bsd-source": ("Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",),
     "bsd-binary": ("Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",),
+    "bsd-endorse": (
+        "Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "Neither the name of {} nor the names of {} contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "The name of {} may not be used to endorse or promote products derived from this software without specific prior written permission.",
+    ),
+    "bsd-3": ("Licensed under the BSD 3-Clause License.", "This project is licensed under the BSD 3-Clause License.", "Released under the BSD 3-Clause License."),
+    "bsd-2": ("Licensed under the BSD 2-Clause License.", "This project is licensed under the BSD 2-Clause License.", "Released under the BSD 2-Clause License."),
+    "mpl-2": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, Version 2.0.", "Licensed under the Mozilla Public License 2.0."),
+    "isc-grant": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "0bsd-grant": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",),
+    "isc": ("Licensed under the ISC License.", "This project is licensed under the ISC License.", "Released under the ISC License."),
+    "unlicense": ("This is free and unencumbered software released into the public domain.",),
+    "zlib-grant": ("Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",),
+    "boost": ("Distributed under the Boost Software License, Version 1.0.",),
+    "epl-2": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at",),
+    "cc0": ("Licensed under CC0 1.0.", "This work is licensed under CC0 1.0."),
+    "cc-by-sa-4": ("Licensed under CC BY-SA 4.0.", "This work is licensed under CC BY-SA 4.0."),
+    "cc-by-nd-4": ("Licensed under CC BY-ND 4.0.", "This work is licensed under CC BY-ND 4.0."),
+    "cc-by-nc-sa-4": ("Licensed under CC BY-NC-SA 4.0.", "This work is licensed under CC BY-NC-SA 4.0."),
     "cc-by-nc-4": ("Licensed under CC BY-NC 4.0.", "This work is licensed under CC BY-NC 4.0."),
     "cc-by-4": ("Licensed under CC BY 4.0.", "This work is licensed under CC BY 4.0."),
 }
@@ -43,52 +79,93 @@ RULES = (
     ("Apache-2.0", ("apache-licensed",)),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-hope")),
     ("GPL-3.0-or-later", ("gpl-free",)),
+    ("GPL-3.0-only", ("gpl-3-only",)),
     ("GPL-3.0-only", ("gpl-3",)),
+    ("GPL-2.0-or-later", ("gpl-2-free",)),
+    ("GPL-2.0-only", ("gpl-2-only",)),
+    ("GPL-2.0-only", ("gpl-2",)),
+    ("LGPL-2.1-or-later", ("lgpl-21-free",)),
+    ("LGPL-3.0-or-later", ("lgpl-3-free",)),
+    ("LGPL-3.0-only", ("lgpl-3",)),
+    ("AGPL-3.0-or-later", ("agpl-3-free",)),
+    ("AGPL-3.0-only", ("agpl-3",)),
+    ("BSD-3-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("BSD-3-Clause", ("bsd-3",)),
     ("BSD-2-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary")),
+    ("BSD-2-Clause", ("bsd-2",)),
+    ("MPL-2.0", ("mpl-2",)),
+    ("ISC", ("isc-grant",)),
+    ("ISC", ("isc",)),
+    ("0BSD", ("0bsd-grant",)),
+    ("Unlicense", ("unlicense",)),
+    ("Zlib", ("zlib-grant",)),
+    ("BSL-1.0", ("boost",)),
+    ("EPL-2.0", ("epl-2",)),
+    ("CC0-1.0", ("cc0",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa-4",)),
+    ("CC-BY-ND-4.0", ("cc-by-nd-4",)),
+    ("CC-BY-NC-SA-4.0", ("cc-by-nc-sa-4",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-4",)),
     ("CC-BY-4.0", ("cc-by-4",)),
 )
 #: Other sentences allowed between two neighbours of a rule.
 GAP = 2
 
-_BREAK = re.compile(r"(?<=[.!?:;])\s+|\n")
+#: Words that {} in a known sentence stands for, at most.
+NAME_WORDS = 12
+
+#: Ends of sentences, and blank lines, which may hold a comment mark.
+_BREAK = re.compile(r"(?<=[.!?:;])\s+|\n(?:[^\w\n]|_)*\n")
+#: What stands between two words; dnl and rem are comment marks.
+_JOINT = r"(?:[\W_]++(?:(?<=[\s])(?:dnl|rem)(?=[\W_])[\W_]++)?)"
+#: The first word after a line break or the end of a sentence, and past a number such as 1. or (a).
+_START = re.compile(r"(?:\A|\n|(?<=[.!?:;])\s)[\W_]*+(?:(?:dnl|rem|DNL|REM)(?=[\W_])[\W_]*+)?(?:(?:\d{1,2}|[A-Za-z])[.)]\s[\W_]*+)?([^\W_]*+)")
+_END = r"(?=(?:[^\w\n]|_)*?(?:[.!?:;]\s|\n|\Z))"
 _WORD = re.compile(r"[^\W_]+")
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*([^\n]+)")
+_SPDX_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+-]*")
+#: Names that SPDX no longer uses, and what they mean.
+_OLD_IDS = {f"{g}-{v}{e}": f"{g}-{v}{n}" for g, v in (("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.1"), ("LGPL", "3.0"), ("AGPL", "3.0")) for e, n in (("", "-only"), ("+", "-or-later"))}
+_SPDX_IDS = {name.lower(): new for name, new in (*((x, x) for x in (*(x for x, _ in RULES), *_OLD_IDS.values(), "CC-BY-3.0", "CC-BY-SA-3.0", "EPL-1.0", "Apache-1.1", "MPL-1.1", "Artistic-2.0", "WTFPL", "Python-2.0", "OFL-1.1", "MIT-0", "BSD-4-Clause")), *_OLD_IDS.items())}
 
 
-def normal(sentence: str) -> str:
-    """Lower-case words, joined by one space."""
-    return " ".join(_WORD.findall(sentence.lower()))
+def _pattern(form: str) -> re.Pattern:
+    """The words of a known sentence with anything but words between them."""
+    parts = [_JOINT.join(_WORD.findall(x)) for x in form.split("{}")]
+    return re.compile(rf"{_JOINT}(?:[^\W_]++{_JOINT}){{1,{NAME_WORDS}}}?".join(parts) + r"(?![^\W_])" + _END, re.IGNORECASE)
 
 
 class Recogniser:
     """Sentences and rules made ready for lookup."""
 
     def __init__(self, sentences: dict[str, tuple[str, ...]] = SENTENCES, rules: tuple = RULES) -> None:
-        # A known sentence may itself be cut in several; each piece but the last then only leads to the next.
-        self.known: dict[tuple[str, ...], str] = {}
-        for name, forms in sentences.items():
-            for form in forms:
-                parts = tuple(p for p in map(normal, _BREAK.split(form)) if p)
-                self.known[parts] = name
-        self.heads: dict[str, list[tuple[str, ...]]] = {}
-        for parts in sorted(self.known, key=len, reverse=True):
-            self.heads.setdefault(parts[0], []).append(parts)
-        self.starts = {h.split(" ", 1)[0] for h in self.heads}
-        self.rules = rules
+        known = sorted(((form, name) for name, forms in sentences.items() for form in forms), key=lambda x: -len(x[0]))
+        self.heads: dict[str, list[tuple[re.Pattern, str]]] = {}
+        for form, name in known:
+            self.heads.setdefault(_WORD.search(form)[0].lower(), []).append((_pattern(form), name))
+        self.rules = (*rules, *((x, (f"spdx:{x}",)) for x in sorted(set(_SPDX_IDS.values()))))
 
     def identify(self, text: str) -> list[tuple[int, str]]:
         """(sentence number, identifier) of every known sentence."""
-        sentences = [s for s in _BREAK.split(text) if s and not s.isspace()]
-        out, at = [], 0
-        while at < len(sentences):
-            first = _WORD.search(sentences[at])
-            if first and first[0].lower() in self.starts:
-                for parts in self.heads.get(normal(sentences[at]), ()):
-                    if parts == tuple(map(normal, sentences[at : at + len(parts)])):
-                        out.append((at, self.known[parts]))
-                        at += len(parts) - 1
-                        break
-            at += 1
+        found, last = [], 0
+        for m in _START.finditer(text):
+            forms = self.heads.get(m[1].lower()) if m.start(1) >= last else None
+            for pattern, name in forms or ():
+                if hit := pattern.match(text, m.start(1)):
+                    last = hit.end()
+                    found.append((m.start(1), last, name))
+                    break
+        if "SPDX" in text:
+            for m in _SPDX.finditer(text):
+                found += [(m.start(), m.end(), f"spdx:{_SPDX_IDS[x.lower()]}") for x in _SPDX_ID.findall(m[1]) if x.lower() in _SPDX_IDS]
+            found.sort(key=lambda x: x[:2])
+        out, at, number = [], 0, 0
+        for start, end, name in found:
+            number += sum(1 for x in _BREAK.split(text[at:start]) if _WORD.search(x))
+            if at and start < at:  # a further licence of one notice
+                number -= 1
+            out.append((number, name))
+            at, number = max(at, end), number + 1
         return out
 
     def match(self, found: list[tuple[int, str]]) -> list[tuple[str, int, int]]:

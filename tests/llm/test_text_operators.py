@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -349,6 +350,38 @@ def test_licences(spark):
     assert licenses.scan(empty(spark)).count() == 0
 
 
+def _wrapped(text, mark="", width=60):
+    return "\n".join(mark + x for x in textwrap.wrap(text, width))
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "// ", "# ", "dnl ", "REM ", "-- "])
+def test_licences_of_wrapped_and_commented_texts(mark):
+    form = lambda *names: "\n\n".join(licenses.SENTENCES[k][0].replace("{}", "Example Corp. and others") for k in names)
+    show = lambda text: [x for x, _, _ in R.match(R.identify("\n".join(["Some words.", *(_wrapped(x, mark) for x in text.split("\n\n")), "More words"])))]
+    R = licenses.Recogniser()
+    assert show(form("mit-grant", "mit-notice", "as-is")) == ["MIT"]
+    assert show(form("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-endorse")) == ["BSD-3-Clause"]
+    assert show(form("bsd-redistribution", "bsd-source", "bsd-binary")) == ["BSD-2-Clause"]
+    numbered = form("bsd-redistribution") + "\n\n1. " + form("bsd-source") + "\n\n2. " + form("bsd-binary") + "\n\n3. " + form("bsd-endorse")
+    assert show(numbered) == ["BSD-3-Clause"]
+    for names, licence in ((("gpl-free", "gpl-hope"), "GPL-3.0-or-later"), (("gpl-2-free", "gpl-hope"), "GPL-2.0-or-later"), (("lgpl-21-free",), "LGPL-2.1-or-later"), (("agpl-3-free",), "AGPL-3.0-or-later"), (("mpl-2",), "MPL-2.0"), (("isc-grant",), "ISC"), (("0bsd-grant",), "0BSD"), (("apache-licensed", "apache-comply", "apache-obtain"), "Apache-2.0")):
+        assert show(form(*names)) == [licence]
+    assert show("SPDX-License-Identifier: MIT OR GPL-2.0+") == ["GPL-2.0-or-later", "MIT"]
+    assert show("This is not Licensed under the MIT License.") == [] and show("Licensed under the MIT License we wrote") == []
+
+
+def test_every_known_sentence_is_found_and_numbered():
+    r = licenses.Recogniser()
+    for name, forms in licenses.SENTENCES.items():
+        for form in forms:
+            text = form.replace("{}", "the library")
+            for shown in (text, _wrapped(text, "/* ", 30), text.upper()):
+                assert [x for _, x in r.identify("One.\n" + shown + "\nTwo.")] == [name], (name, shown)
+    wrapped = "a first line that goes\non here. And two.\n\nLicensed under CC BY 4.0.\nlast words\nLicensed under CC BY-NC 4.0."
+    assert r.identify(wrapped) == [(2, "cc-by-4"), (4, "cc-by-nc-4")]
+    assert r.identify("\n" * 200_000) == []
+
+
 def test_rules_need_order_and_closeness():
     r = licenses.Recogniser({"a": ("A one.",), "b": ("B two.",)}, (("X", ("a", "b")), ("Y", ("b",))))
     match = lambda t: [x[0] for x in r.match(r.identify(t))]
