@@ -1,5 +1,6 @@
 import difflib
 import json
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from termweave.functions import text as tx
 from termweave.operators import catalogue, clinical, conceptset, governance, graph, hierarchy, mapping, picks, search, semantic, staging
 from termweave.plans.derive import RELATIONSHIPS
+from termweave.queries import _QUERIES
+from termweave.queries.graphs import path_pairs
 from termweave.sources import files
 
 CONCEPT = "concept_id long, concept_name string, domain_id string, vocabulary_id string, concept_class_id string, concept_code string, standard_concept string, invalid_reason string"
@@ -253,3 +256,31 @@ def test_unknown_domain_is_an_error(spark):
     df = spark.createDataFrame([(1,)], "cohortId long")
     with pytest.raises(ValueError, match="unknown domain"):
         catalogue.search_phenotypes(df, df, "weather")
+
+
+def test_path_queries_reach_beyond_two_hops(spark, relationship):
+    """Four hops from item to item by adjectives and a product, and as many as a search level by level finds."""
+    there = [(10, 1), (11, 2), (1, 5), (2, 5), (12, 2), (13, 3), (3, 4), (4, 5)]
+    edges = spark.createDataFrame([(a, b, r, None) for x, y in there for a, b, r in ((x, y, "Is a"), (y, x, "Subsumes"))], "concept_id_1 long, concept_id_2 long, relationship_id string, invalid_reason string")
+    known = spark.createDataFrame([(i, f"c{i}", "D", "V", "K", f"k{i}", "S", None) for i in (1, 2, 3, 4, 5, 10, 11, 12, 13, 14)], CONCEPT)
+    parts = spark.createDataFrame([(10, 1), (13, 1), (12, 2), (11, 2), (14, 3)], "branded long, bn long")
+    g = SimpleNamespace(edges=edges, parts=parts, concept=known, relationship=relationship)
+    near: dict[int, list[int]] = {}
+    for x, y in there:
+        near.setdefault(x, []).append(y)
+        near.setdefault(y, []).append(x)
+    want = {}
+    for r in path_pairs(g).collect():
+        level, seen, hops = {r.source}, {r.source}, 0
+        while level and r.target not in level:
+            level = {y for x in level for y in near.get(x, [])} - seen
+            seen |= level
+            hops += 1
+        if level:
+            want[r.pair_id] = hops
+    found = _QUERIES["e6_rank_paths"](g).collect()
+    assert {r.pair_id: r.hops for r in found} == want and want[10] == 4 and want[13] == 5
+    walked = {}
+    for r in sorted(_QUERIES["e8_path_concepts"](g).collect(), key=lambda r: r.position):
+        walked.setdefault(r.pair_id, []).append(r.concept_id)
+    assert walked[10] == [10, 11, 1, 5, 2] and set(walked[13]) == {13, 11, 3, 4, 5, 2}
