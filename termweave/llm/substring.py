@@ -13,7 +13,12 @@ no phrase of the reference is missed. Factors of at least one phrase are the
 duplicate spans; all words under them go.
 
 One shuffle carries the runs (about a fifth of the words), one the texts to be
-cut. Copies that one task sees itself are settled there before the shuffle, so a
+A block whose anchor is very common, by a count over a sample of documents, is
+dealt phrase by phrase instead: equal phrases still meet, and a task sends only
+the least document of each, so no block grows with the occurrences of an anchor.
+The sample decides only how rows are dealt, never what is found.
+
+One shuffle carries the runs sees itself are settled there before the shuffle, so a
 passage that a third of all documents hold reaches its block once a task.
 """
 
@@ -26,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import written
 from .textops import Words, mix, run_hashes, signed, slices
 
 #: Bytes of a phrase's digest beside its anchor.
@@ -34,6 +40,11 @@ DIGEST = 5
 _U16 = np.uint64(16)
 #: Runs that a task gathers before it settles its own copies.
 LOCAL_RUNS = 400_000
+#: An anchor of more runs than this, and than this share of all, is dealt phrase by phrase.
+HOT_RUNS = 20_000
+HOT_SHARE = 1e-5
+#: Of so many documents one is counted.
+HOT_SAMPLE = 16
 #: payload: the digests of a run's phrases, or of a run that is settled already its source, place there and number of phrases.
 _MOVED = "block long, doc long, at long, payload binary"
 _SETTLED = 17
@@ -70,6 +81,37 @@ def _pick(flat: np.ndarray, counts: np.ndarray, keep: np.ndarray) -> np.ndarray:
     return flat[np.repeat(keep, counts)]
 
 
+def _by_phrase(doc: np.ndarray, at: np.ndarray, n: np.ndarray, block: np.ndarray, flat: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The runs with those of hot anchors cut into single phrases, each in the block of its anchor and digest."""
+    split = np.isin(block, hot)
+    if not split.any():
+        return doc, at, n, block, flat
+    counts = n[split]
+    row = np.repeat(np.flatnonzero(split), counts)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    own = _pick(flat, n, split)
+    value = np.zeros((len(own), 8), np.uint8)
+    value[:, :DIGEST] = own
+    blocks = mix(block[row] ^ mix(value.view(np.uint64).reshape(-1))) >> _U16
+    one = np.ones(len(row), n.dtype)
+    return tuple(map(np.concatenate, ((doc[~split], doc[row]), (at[~split], at[row] + step), (n[~split], one), (block[~split], blocks), (_pick(flat, n, ~split), own))))
+
+
+def _hot_anchors(rows: DataFrame, phrase: int, anchor: int) -> np.ndarray:
+    """Anchors of very many runs, counted over a sample of the documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, data, offsets in slices(batches, "text"):
+            block, runs = np.unique(_runs(Words(data, offsets), phrase, anchor)[3], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(block)), pa.array(runs.astype(np.int64))], ["block", "runs"])
+
+    sample = rows.where(F.pmod(F.xxhash64("doc"), F.lit(HOT_SAMPLE)) == 0)
+    runs = written(sample.mapInArrow(count, "block long, runs long").groupBy("block").agg(F.sum("runs").alias("runs")))
+    least = max(HOT_RUNS / HOT_SAMPLE, HOT_SHARE * (runs.agg(F.sum("runs")).first()[0] or 0))
+    found = runs.where(F.col("runs") > least).select("block").toArrow()
+    return np.sort(found.column(0).to_numpy().astype(np.int64)).view(np.uint64)
+
+
 def _settle(doc: np.ndarray, at: np.ndarray, n: np.ndarray, block: np.ndarray, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Sends each distinct run's first holder on, and the other holders as factors already."""
     begin = np.cumsum(n) - n
@@ -144,10 +186,10 @@ def parse(docs: DataFrame, phrase: int = 13, anchor: int = 4, text: str = "text"
             held.append((ids[which], at + (tags[which] << 40), n, block, digests))
             rows += len(n)
             if rows >= LOCAL_RUNS:
-                yield from _settle(*map(np.concatenate, zip(*held)))
+                yield from _settle(*_by_phrase(*map(np.concatenate, zip(*held)), hot.value))
                 held, rows = [], 0
         if rows:
-            yield from _settle(*map(np.concatenate, zip(*held)))
+            yield from _settle(*_by_phrase(*map(np.concatenate, zip(*held)), hot.value))
 
     def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc", "at", "n", "source", "source_at"]
@@ -187,6 +229,7 @@ def parse(docs: DataFrame, phrase: int = 13, anchor: int = 4, text: str = "text"
         yield from parsed()
 
     rows = docs.where(docs[key].isNotNull()).select(docs[key].cast("long").alias("doc"), _tag(docs[text]).alias("tag"), docs[text].alias("text"))
+    hot = docs.sparkSession.sparkContext.broadcast(_hot_anchors(rows, phrase, anchor))
     moved = rows.mapInArrow(send, _MOVED).repartition("block").sortWithinPartitions("block", "doc", "at")
     return moved.mapInArrow(receive, "doc long, at long, n long, source long, source_at long")
 

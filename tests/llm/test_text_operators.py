@@ -125,6 +125,29 @@ def test_substring_odd_rows(spark, monkeypatch):
     assert [(f.start, f.n, f.source) for f in factors] == [(0, 20, 20)] and factors[0].source_start in (0, 1)  # either text of 20
 
 
+def test_common_anchors_are_dealt_by_phrase(spark, monkeypatch):
+    monkeypatch.setattr(substring, "HOT_RUNS", 4)
+    monkeypatch.setattr(substring, "HOT_SAMPLE", 1)
+    monkeypatch.setattr(substring, "HOT_SHARE", 0)
+    rng = random.Random(11)
+    shared = [words(rng, n, 500) for n in (20, 30, 13)]
+    common = words(rng, 4, 500)
+    texts = [" ".join(x for _ in range(3) for x in (words(rng, rng.randrange(20), 30) + common + rng.choice(shared))) for _ in range(60)]
+    rows = [*zip(rng.sample(range(1000), 60), texts), (2000, texts[0]), (2000, texts[0]), (None, texts[1])]
+    df = docs(spark, [t for _, t in rows], [i for i, _ in rows]).repartition(5)
+    hot = substring._hot_anchors(df.selectExpr("doc_id doc", "text").where("doc is not null"), 13, 4)
+    assert len(hot) > 3
+    assert cut_rows(df) == brute_cut(rows)
+    # in one task, then over all that are sent: no block holds a document's rows beyond one a phrase
+    n = np.array([3, 2, 1])
+    flat = np.arange(30, dtype=np.uint8).reshape(6, 5)
+    flat[3:5] = flat[0:2]
+    block = np.array([7, 7, 9], np.uint64)
+    doc, at, one, blocks, digests = substring._by_phrase(np.array([1, 2, 3]), np.array([10, 20, 30]), n, block, flat, np.array([7], np.uint64))
+    assert doc.tolist() == [3, 1, 1, 1, 2, 2] and at.tolist() == [30, 10, 11, 12, 20, 21] and one.tolist() == [1] * 6
+    assert blocks[0] == 9 and len(set(blocks.tolist())) == 4 and blocks[1:3].tolist() == blocks[4:6].tolist() and len(digests) == 6
+
+
 # Jaccard join
 
 
