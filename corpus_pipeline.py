@@ -42,8 +42,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def bpe_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian unsigned 32-bit) of what is left."""
-    return bpe.encode_decode(docs, TOKENIZER).where("doc_id is not null").select("doc_id", "n_tokens", "ids")
+    """doc_id, n_tokens and ids (little-endian unsigned 32-bit) of all that is left, null ids too."""
+    return bpe.encode_decode(docs, TOKENIZER).select("doc_id", "n_tokens", "ids")
 
 
 STAGES = [

@@ -74,6 +74,14 @@ def test_bpe_frame(spark, own, library):
     assert bpe.encode_decode(empty(spark), PATH).count() == 0
 
 
+def test_last_stage_keeps_null_ids(spark):
+    import corpus_pipeline
+
+    df = docs(spark, ["one", "two", "three"], [1, None, None])
+    found = corpus_pipeline.bpe_codec(spark, df, "").collect()
+    assert sorted(map(str, (r.doc_id for r in found))) == ["1", "None", "None"] and all(r.n_tokens for r in found)
+
+
 def test_word_cache_may_be_cleared(library, monkeypatch):
     monkeypatch.setattr(bpe, "WORD_CACHE", 2)
     enc = bpe.TrieEncoder(PATH)
