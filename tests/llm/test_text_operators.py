@@ -239,53 +239,83 @@ def test_components_of_chains(spark):
 # line dedup
 
 
-def brute_lines(rows):
-    split_rows = [(i, (t or "").split("\n")) for i, t in rows]
-    first = {}
-    for i, ls in split_rows:
-        for x in map(lambda s: s.strip(" "), ls):
-            if x and i is not None:
-                first[x] = min(first.get(x, i), i)
+def plain_runs(ls):
+    """(first, end) of the fewest lines that hold a block's characters, from each line on and back."""
+    size = [len(x.strip(" ")) for x in ls]
+    out = set()
+    for i in (n for n, x in enumerate(size) if x):
+        out |= {(i, j) for j in [next((j for j in range(i + 1, len(ls) + 1) if sum(size[i:j]) >= lines.BLOCK_CHARS), None)] if j}
+        out |= {(j, i + 1) for j in [next((j for j in range(i, -1, -1) if sum(size[j : i + 1]) >= lines.BLOCK_CHARS), None)] if j is not None}
+    return out
+
+
+def brute_lines(rows, rare=lines.RARE_ROWS):
+    """Every document against every earlier one: whole frames if they share a rare run, frames of common runs if a common one."""
+    cut = [(i, (t or "").split("\n")) for i, t in rows]
+    holders = {}
+    for n, (i, ls) in enumerate(cut):
+        for a, b in plain_runs(ls) if i is not None else ():
+            holders.setdefault(tuple(x.strip(" ") for x in ls[a:b]), set()).add(n)
+    holders = {k: v for k, v in holders.items() if len({cut[n][0] for n in v}) > 1}
+
+    def frame(ls, keys):
+        held = {x for a, b in plain_runs(ls) if tuple(y.strip(" ") for y in ls[a:b]) in keys for x in range(a, b)}
+        out = []
+        for n in range(len(ls)):
+            if n in held:
+                out.append(n)
+            elif not out or out[-1] is not None:
+                out.append(None)
+        return out
+
+    few, many = ({k for k, v in holders.items() if (len(v) <= rare) == want} for want in (True, False))
     out = []
-    for i, ls in split_rows:
+    for n, (i, ls) in enumerate(cut):
         gone = set()
-        partners = {first[x.strip(" ")] for x in ls if x.strip(" ") and i is not None} - {i}
-        key = lambda x: hash(x.strip(" ")) if x.strip(" ") else 0
-        for p in (p for p in partners if p < i):
-            for j, other in split_rows:
-                if j == p:
-                    gone |= set(lines.common_lines([key(x) for x in ls], [key(x) for x in other], [len(x.strip(" ")) for x in ls]))
-        out.append((i, len(ls), len(gone), "\n".join(x for n, x in enumerate(ls) if n not in gone)))
+        mine = {k for k, v in holders.items() if n in v}
+        for m, (j, other) in enumerate(cut):
+            if i is None or j is None or j >= i:
+                continue
+            both = {k for k in mine if m in holders[k]}
+            for keys in ([few | many] if both & few else []) + ([many] if both & many else []):
+                x, y = frame(ls, keys), frame(other, keys)
+                code = lambda row, at, gap: [gap if p is None else hash(row[p].strip(" ")) if row[p].strip(" ") else 0 for p in at]
+                sizes = [0 if p is None else len(ls[p].strip(" ")) for p in x]
+                gone |= {x[p] for p in lines.common_lines(code(ls, x, -1), code(other, y, -2), sizes)}
+        gone = lines.without_lines(ls, gone)
+        out.append((i, len(ls), len(gone), "\n".join(x for p, x in enumerate(ls) if p not in gone)))
     return sorted(out, key=str)
 
 
-def test_lines_are_brute_force(spark):
+def cut_lines(df, **more):
+    return sorted(((r.doc_id, r.n_lines, r.n_removed, r.kept) for r in lines.dedup(df, **more).collect()), key=str)
+
+
+@pytest.mark.parametrize("rare", [1, 3, 1000])
+def test_lines_are_brute_force(spark, monkeypatch, rare):
+    monkeypatch.setattr(lines, "RARE_ROWS", rare)
     rng = random.Random(5)
-    pool = [f"a line of some length number {i}" for i in range(30)] + ["", " ", "}", "short"]
+    pool = [f"a line of some length number {i}" for i in range(30)] + ["", " ", "}", "short", "less short"]
     rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 12)))) for i in rng.sample(range(500), 40)]
-    rows += [(600, None), (601, ""), (602, rows[0][1]), (602, rows[0][1]), (602, rows[1][1]), (None, rows[0][1]), (603, "\n".join(pool * 40))]
+    rows += [(600, None), (601, ""), (602, rows[0][1]), (602, rows[0][1]), (602, rows[1][1]), (None, rows[0][1]), (603, "\n".join(pool * 40)), (604, " \n  \n")]
     df = docs(spark, [t for _, t in rows], [i for i, _ in rows]).withColumn("tag", F.lit("x")).withColumn("kept", F.lit("x"))
-    found = lines.dedup(df, carry=["lang", "tag"]).collect()
-    assert sorted(((r.doc_id, r.n_lines, r.n_removed, r.kept) for r in found), key=str) == brute_lines(rows)
-    assert {r.tag for r in found} == {"x"}
+    assert cut_lines(df, carry=["lang", "tag"]) == brute_lines(rows, rare)
+    assert {r.tag for r in lines.dedup(df, carry=["tag"]).collect()} == {"x"}
     assert lines.dedup(empty(spark)).count() == 0
 
 
-def brute_all_lines(rows):
-    """Aligned with every earlier holder of a shared line."""
-    cut = [(i, (t or "").split("\n")) for i, t in rows]
-    key = lambda x: hash(x.strip(" ")) if x.strip(" ") else 0
-    out = []
-    for i, ls in cut:
-        gone = set()
-        for j, other in cut:
-            if i is not None and j is not None and j < i and {x.strip(" ") for x in ls} & {x.strip(" ") for x in other} - {""}:
-                gone |= set(lines.common_lines([key(x) for x in ls], [key(x) for x in other], [len(x.strip(" ")) for x in ls]))
-        out.append((i, len(ls), len(gone), "\n".join(x for n, x in enumerate(ls) if n not in gone)))
-    return sorted(out, key=str)
+def test_overlaps_are_found_past_the_earliest_holders(spark, monkeypatch):
+    first, second = "alpha line 1", "beta line 22"
+    texts = [f"{first}\nq0", f"q1\n{second}", f"q2\n{first}\n{second}\nq3", f"q4\n{first}\n{second}\nq5"]
+    df = docs(spark, texts, [1, 2, 3, 4])
+    assert [(i, n) for i, _, n, _ in cut_lines(df)] == [(1, 0), (2, 0), (3, 0), (4, 2)]
+    monkeypatch.setattr(lines, "RARE_ROWS", 1)
+    assert [(i, n) for i, _, n, _ in cut_lines(df)] == [(1, 0), (2, 0), (3, 0), (4, 2)]
 
 
-def test_lines_are_aligned_with_further_holders(spark):
+@pytest.mark.parametrize("rare", [1, 8])
+def test_lines_are_aligned_with_further_holders(spark, monkeypatch, rare):
+    monkeypatch.setattr(lines, "RARE_ROWS", rare)
     x, y = "a line that several documents hold", "another line that several documents hold"
     short = [f"short {i}" for i in range(5)]
     texts = [
@@ -296,20 +326,28 @@ def test_lines_are_aligned_with_further_holders(spark):
     rows = list(enumerate(texts))
     rng = random.Random(8)
     pool = [[f"line {i} of block {b}" + " and more" * (i % 2) for i in range(4)] for b in range(12)]
-    rows += [(100 + i, "\n".join(x for b in sorted(rng.sample(pool, 2)) for x in [f"own {i} {b[0]}", *b[rng.randrange(2) :]])) for i in range(40)]
-    rows += [(100, rows[-1][1]), (140, rows[-1][1]), (140, rows[-1][1]), (None, rows[-1][1])]
+    for i in range(60):  # in any order, so that many earlier holders have them crossed
+        rows.append((100 + i, "\n".join(z for b in rng.sample(pool, 3) for z in [f"own {i} {b[0]}", *b[rng.randrange(2) :], ""])))
+    rows += [(100, rows[-1][1]), (160, rows[-1][1]), (160, rows[-1][1]), (None, rows[-1][1])]
     df = docs(spark, [t for _, t in rows], [i for i, _ in rows])
-    found = {r.doc_id: r.n_removed for r in lines.dedup(df, further=True).collect() if (r.doc_id or 99) < 50}
+    found = {i: n for i, _, n, _ in cut_lines(df) if (i or 99) < 50}
     assert [found[i] for i in (1, 2, 3)] == [0, 1, 1] and found[10] == 5 and found[13] == 2
-    assert sorted(((r.doc_id, r.n_lines, r.n_removed, r.kept) for r in lines.dedup(df, further=True).collect()), key=str) == brute_all_lines(rows)
-    assert brute_all_lines(rows) != brute_lines(rows)
-
-
-@settings(max_examples=100, deadline=None)
-@given(st.lists(st.integers(1, 30), max_size=12))
-def test_runs_cover_every_block(sizes):
-    wide = lines.run_keys(list(range(1, len(sizes) + 1)), sizes)
-    assert len(wide) <= 4 * len(sizes) and all(wide.values())
+    assert cut_lines(df) == brute_lines(rows, rare)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["", " ", "a", "bc d ", " e" * 5, "long " * 5, "é" * 9]), min_size=1, max_size=10), min_size=1, max_size=3))
+def test_runs_are_plain_runs(texts):
+    data, offsets = text_bytes(pa.array(["\n".join(t) for t in texts]))
+    first, hashes, sizes = lines.split_lines(data, offsets)
+    assert np.diff(first).tolist() == [len(t) for t in texts] and sizes.tolist() == [len(x.strip(" ")) for t in texts for x in t]
+    text, a, b, run = lines.runs(first, hashes, sizes)
+    got = list(zip(text.tolist(), (a - first[text]).tolist(), (b - first[text]).tolist()))
+    assert sorted(got) == sorted((i, *x) for i, t in enumerate(texts) for x in plain_runs(t))
+    named = {}
+    for (i, x, y), h in zip(got, run.tolist()):
+        assert named.setdefault(tuple(z.strip(" ") for z in texts[i][x:y]), h) == h
+    assert len(set(named.values())) == len(named)
 
 
 @settings(max_examples=100, deadline=None)
