@@ -487,9 +487,10 @@ def test_tags_are_whole_viterbi_and_learned():
     texts = [" ".join(words(rng, 12)) + (f' token = "{rng.getrandbits(160):040x}" ' if rng.random() < 0.5 else " ") + " ".join(words(rng, 12)) for _ in range(200)] + ["", None]
     batch = pa.record_batch([pa.array(texts, pa.string())], ["text"])
     found = [b for b in secrets._windows(iter([batch]))]
-    rows = [(np.array(f.as_py()).reshape(-1, 9), np.array(t.as_py())) for b in found for f, t in zip(b.column(0), b.column(1))]
+    k = secrets.KINDS_OF_FEATURES
+    rows = [(np.array(f.as_py()).reshape(-1, k), np.array(t.as_py())) for b in found for f, t in zip(b.column(0), b.column(1))]
     width = max(len(t) for _, t in rows)
-    features, tags, mask = np.zeros((len(rows), width, 9), np.int64), np.zeros((len(rows), width), np.int64), np.zeros((len(rows), width), bool)
+    features, tags, mask = np.zeros((len(rows), width, k), np.int64), np.zeros((len(rows), width), np.int64), np.zeros((len(rows), width), bool)
     for i, (f, t) in enumerate(rows):
         features[i, : len(t)], tags[i, : len(t)], mask[i, : len(t)] = f, t, True
     chain = secrets.train(features, tags, mask)
@@ -511,6 +512,30 @@ def test_secret_frame(spark):
     assert secrets.scan(empty(spark), secrets.fit(empty(spark))).count() == 0
 
 
+def test_the_chain_finds_what_patterns_miss(spark):
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    value = lambda: "".join(rng.choice(letters) for _ in range(rng.randrange(22, 40)))
+    plain = lambda: " ".join([*words(rng, 15), str(rng.getrandbits(40)), "AND", f"v{rng.randrange(9)}.{rng.randrange(99)}", *words(rng, 15)])
+    taught = [f'{plain()} token = "{value()}" {plain()}' if i % 3 == 0 else plain() for i in range(300)]
+    chain = secrets.fit(docs(spark, taught + ODD))
+    hidden = [value() for _ in range(40)]
+    texts = [f"é {a} {v} {plain()}" for a, v in zip((plain() for _ in hidden), hidden)] + [plain() for _ in range(200)]
+    found = {r.doc_id: r.spans for r in secrets.scan(docs(spark, texts), chain).collect()}
+    hit = sum(any(s.kind == "crf" and texts[i][s.start : s.end] == v for s in found[i]) for i, v in enumerate(hidden))
+    assert hit >= 36 and sum(bool(found[i]) for i in range(40, 240)) <= 2
+
+
+def test_training_places_are_bounded_and_right():
+    text = "é x " + " ".join(f'token = "{i:x}ab{i:040x}" and more' for i in range(30_000))
+    batch = pa.record_batch([pa.array([text, None, "plain"])], ["text"])
+    got = [b for b in secrets._windows(iter([batch]))]
+    assert sum(b.num_rows for b in got) <= secrets.SPANS_A_DOC * (2 + len(secrets.ALPHABETS)) + 4
+    assert all(len(f.as_py()) == len(t.as_py()) * secrets.KINDS_OF_FEATURES for b in got for f, t in zip(b.column(0), b.column(1)))
+    assert sum(1 in t.as_py() for b in got for t in b.column(1)) >= secrets.SPANS_A_DOC * (2 + len(secrets.ALPHABETS))
+    assert secrets._apart([(2, 9, 0), (3, 4, 2)], [(0, 2, 3), (5, 6, 3), (8, 10, 3), (9, 12, 3)]) == [(0, 2, 3), (2, 9, 0), (3, 4, 2), (9, 12, 3)]
+
+
 # quality
 
 
