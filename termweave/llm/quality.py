@@ -1,9 +1,10 @@
 """Quality classifier by supervised subword embeddings (operator 9).
 
-A document is the average of learned vectors of its words, of the byte n-grams
-inside its words, word borders included, each hashed to a bucket, and of a mark
-at each word that tells whether it repeats a word just before; a
-softmax of two outputs scores it. Vectors and outputs are learned on the driver
+A document is the average of learned vectors of its words, of pairs of neighbouring
+words, and of byte n-grams inside a word or across the border of two, each hashed
+to a bucket; a softmax of two outputs scores it. A pair's bucket is the exclusive
+or of both words' hashes, so pairs are unordered, and a word beside itself, whatever
+the word, falls in one bucket, whose vector is learned like any other. Vectors and outputs are learned on the driver
 by numpy stochastic gradient descent from a bounded sample of labelled rows. As
 output and average are both linear, scoring needs one number a bucket, summed
 over a text, so whole texts are scored at the speed of a table lookup.
@@ -22,12 +23,13 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from .textops import SEPARATOR, Words, slices
 
-#: Labelled rows that a model is fitted on, about; chosen by a hash of the id.
+#: Labelled rows that a model is fitted on, half of each label: those of least hash of the id.
 TRAIN_ROWS = 4000
-#: log2 of the buckets of words, and of n-grams.
+#: log2 of the buckets of words, of pairs, and of n-grams of each size.
 BUCKET_BITS = 17
 DIMENSIONS = 8
-EPOCHS = 6
+#: Steps of descent, and rows of each label in one.
+STEPS, BATCH = 1500, 8
 RATE = 0.5
 NGRAMS = (3, 4)
 
@@ -45,11 +47,10 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
     words = Words(data, offsets)
     mask = np.uint64((1 << BUCKET_BITS) - 1)
     yield (words.hashes & mask).astype(np.int64), words.starts
-    again = np.zeros(len(words.hashes), bool)
-    within = np.arange(len(again)) - np.repeat(words.first[:-1], words.counts())
-    for back in range(1, 4):
-        again[back:] |= (words.hashes[back:] == words.hashes[:-back]) & (within[back:] >= back)
-    yield again + ((1 + len(NGRAMS)) << BUCKET_BITS), words.starts
+    follows = np.ones(len(words.hashes), bool)
+    follows[words.first[:-1][words.counts() > 0]] = False
+    at = np.flatnonzero(follows)
+    yield ((words.hashes[at] ^ words.hashes[at - 1]) & mask).astype(np.int64) + ((1 + len(NGRAMS)) << BUCKET_BITS), words.starts[at]
     values = data.astype(np.uint64)
     values[SEPARATOR[data]] = 32
     gap = np.concatenate(([0], np.cumsum(SEPARATOR[data])))
@@ -58,8 +59,8 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
     border = np.cumsum(border)
     for kind, n in enumerate(NGRAMS, 1):
         at = np.arange(max(0, len(data) - n + 1))
-        # inside one text, and no separator but at either end
-        at = at[(border[at] == border[at + n - 1]) & (gap[at + n - 1] == gap[at + 1])]
+        # inside one text, and one separator at most between the ends
+        at = at[(border[at] == border[at + n - 1]) & (gap[at + n - 1] - gap[at + 1] <= 1)]
         code = values[at] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(n)
         for i in range(1, n):
             code = (code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + values[at + i]
@@ -67,8 +68,8 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
         yield ((code >> np.uint64(64 - BUCKET_BITS)).astype(np.int64) + kind * (1 << BUCKET_BITS)), at
 
 
-#: Buckets of words, of each n-gram size, and two for whether a word is one of the three before it.
-BUCKETS = ((1 + len(NGRAMS)) << BUCKET_BITS) + 2
+#: Buckets of words, of each n-gram size, and of pairs.
+BUCKETS = (2 + len(NGRAMS)) << BUCKET_BITS
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,33 +87,34 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(buckets: list[np.ndarray], shares: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
-    """Stochastic gradient descent on the softmax loss of averaged vectors; the two labels weigh the same in all."""
+    """Stochastic gradient descent on the softmax loss of averaged vectors; each step takes rows of both labels alike."""
     rng = np.random.default_rng(seed)
     vectors = (rng.random((BUCKETS, DIMENSIONS), dtype=np.float32) - 0.5) / DIMENSIONS
     out, bias = (rng.random((DIMENSIONS, 2), dtype=np.float32) - 0.5), np.zeros(2, np.float32)
     rows = [i for i in range(len(labels)) if len(buckets[i])]
-    weight = np.array([len(rows) / (2 * max(1, (labels == k).sum())) for k in (0, 1)], np.float32)
+    of_label = [x for x in ([i for i in rows if labels[i] == k] for k in (0, 1)) if x]
+    turns = [np.concatenate([rng.permutation(x) for _ in range(-(-STEPS * BATCH // len(x)))]) for x in of_label]
     squares, out_squares = np.full(BUCKETS, 1e-8, np.float32), np.full((DIMENSIONS, 2), 1e-8, np.float32)
-    for epoch in range(EPOCHS if rows else 0):
-        rng.shuffle(rows)
-        rate = RATE * (1 - epoch / EPOCHS)
-        for begin in range(0, len(rows), 16):
-            batch = rows[begin : begin + 16]
-            flat, part = np.concatenate([buckets[i] for i in batch]), np.concatenate([shares[i] for i in batch])[:, None]
-            cuts = np.cumsum([0, *(len(buckets[i]) for i in batch[:-1])])
-            mean = np.add.reduceat(vectors[flat] * part, cuts)
-            logits = mean @ out + bias
-            p = np.exp(logits - logits.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(batch)), labels[batch]] -= 1
-            p *= weight[labels[batch]][:, None] / len(batch)
-            back = np.repeat(p @ out.T, [len(buckets[i]) for i in batch], axis=0) * part
-            grad = mean.T @ p
-            out_squares += grad * grad
-            out -= rate * grad / np.sqrt(out_squares)
-            bias -= rate * 0.1 * p.sum(0)
-            np.add.at(squares, flat, (back * back).mean(1))
-            np.add.at(vectors, flat, -rate * back / np.sqrt(squares[flat])[:, None])
+    for step in range(STEPS if rows else 0):
+        rate = RATE * (1 - step / STEPS)
+        batch = np.concatenate([x[step * BATCH : (step + 1) * BATCH] for x in turns])
+        sizes = [len(buckets[i]) for i in batch]
+        flat, part = np.concatenate([buckets[i] for i in batch]), np.concatenate([shares[i] for i in batch])[:, None]
+        mean = np.add.reduceat(vectors[flat] * part, np.cumsum([0, *sizes[:-1]]))
+        logits = mean @ out + bias
+        p = np.exp(logits - logits.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        p[np.arange(len(batch)), labels[batch]] -= 1
+        p /= len(batch)
+        back = np.repeat(p @ out.T, sizes, axis=0) * part
+        grad = mean.T @ p
+        out_squares += grad * grad
+        out -= rate * grad / np.sqrt(out_squares)
+        bias -= rate * 0.1 * p.sum(0)
+        touched, place = np.unique(flat, return_inverse=True)
+        squares[touched] += np.bincount(place, (back * back).mean(1)).astype(np.float32)
+        back *= rate / np.sqrt(squares[flat])[:, None]
+        vectors[touched] -= np.stack([np.bincount(place, back[:, k]) for k in range(DIMENSIONS)], 1).astype(np.float32)
     return Model(vectors @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0]))
 
 
@@ -121,17 +123,18 @@ def held_out(key: str):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1
 
 
-def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", train_rows: int = TRAIN_ROWS) -> Model:
-    """A model of labels(doc_id, target) on docs(doc_id, text), from about `train_rows` rows that are not held out.
+def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", train_rows: int = TRAIN_ROWS, text: str = "text", key: str = "doc_id") -> Model:
+    """A model of labels(key, target) on docs(key, text), from at most `train_rows` rows that are not held out.
 
-    Rows are taken by a hash of their id, so the sample stays when tables grow in
-    other rows' order. Null ids, labels other than 0 and 1, and ids without a
-    document are left out. Without labelled rows every score is one half.
+    Of each label the half of train_rows with the least hash of the id is learned
+    from. Null ids, labels other than 0 and 1, and ids without a document are left
+    out. Without labelled rows every score is one half.
     """
-    usable = labels.where(F.col("doc_id").isNotNull() & F.col(target).isin(0, 1) & ~held_out("doc_id")).select("doc_id", F.col(target).alias("label"))
-    share = min(1.0, train_rows / max(1, usable.count()))
-    sample = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(2 * train_rows)
-    bags = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text").mapInArrow(_bags, "label int, buckets array<int>, shares array<float>").toArrow().combine_chunks()
+    usable = labels.where(labels[key].isNotNull() & ~held_out(key)).select(labels[key].alias("id"), labels[target].alias("label"))
+    least = lambda label: usable.where(F.col("label") == label).distinct().orderBy(F.xxhash64("id"), "id").limit(train_rows // 2)
+    sample = least(0).union(least(1))
+    rows = docs.select(docs[key].alias("id"), docs[text].alias("text")).join(F.broadcast(sample), "id").orderBy(F.xxhash64("id"), "label", F.xxhash64("text"))
+    bags = rows.select("label", "text").mapInArrow(_bags, "label int, buckets array<int>, shares array<float>").toArrow().combine_chunks()
     lists = [[x.values.to_numpy() for x in bags.column(c)] for c in (1, 2)]
     return train(lists[0], lists[1], bags.column(0).to_numpy().astype(np.int64))
 
