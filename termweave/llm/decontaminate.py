@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of items that are broadcast at once; more items are matched block after block.
+from .tables import written
+
+#: Characters of items that are broadcast at once, about; more items are matched block after block.
 BLOCK_CHARS = 8_000_000
-#: Items of fewer characters must appear unchanged.
-EDITABLE_CHARS = 24
 
 
 def normal(text: str | None) -> str:
@@ -29,7 +29,8 @@ def normal(text: str | None) -> str:
 
 
 def budget(length: int, percent: int) -> int:
-    return length * percent // 100 if length >= EDITABLE_CHARS else 0
+    """Edits allowed in an item of so many characters; the rule is the same for all lengths."""
+    return length * percent // 100
 
 
 def pieces(length: int, edits: int) -> list[tuple[int, int]]:
@@ -112,7 +113,9 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = 8, text: str = "text
     Distances count characters of the normalised texts, as start and end do; the
     best place counts. Null and empty texts hold nothing, null and empty items are
     held by nothing; null ids stay as they are, repeated rows give repeated
-    results. Other columns are not read.
+    results. Other columns are not read. Of items, one block of about BLOCK_CHARS
+    characters is broadcast at once; where there are more, each block's results are
+    written before the next is read.
     """
     spark = docs.sparkSession
     listed = items.select(items[item_key].cast("long").alias("item_id"), items[item_text].alias("text")).where("text is not null")
@@ -131,6 +134,11 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = 8, text: str = "text
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["doc", "item_id", "distance", "start", "end"])
 
-        return rows.mapInArrow(run, "doc long, item_id long, distance long, start long, end long")
+        found = rows.mapInArrow(run, "doc long, item_id long, distance long, start long, end long")
+        if blocks == 1:
+            return found
+        found = written(found)
+        shared.destroy()
+        return found
 
     return reduce(DataFrame.union, map(matched, range(blocks))).withColumnRenamed("doc", key)

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 import textwrap
@@ -406,6 +407,12 @@ def test_leaks_are_brute_force(spark, monkeypatch):
     assert decontaminate.leaks(docs(spark, texts), b.where("false")).count() == 0
 
 
+def test_short_items_have_the_same_rule(spark):
+    items = spark.createDataFrame([(1, "twenty char item ab!"), (2, "thirteen char"), (3, "only twelve!")], "item_id long, text string")
+    texts = ["so twenty chXr item ab! it is", "a thirtXeen char b", "x only twelvX! x", "an only twelve! x", "twenty cXXr item ab!"]
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in decontaminate.leaks(docs(spark, texts), items).collect()) == [(0, 1, 1), (1, 2, 1), (3, 3, 0)]
+
+
 # licences
 
 
@@ -560,3 +567,13 @@ def test_quality_learns_and_holds_out(spark):
     assert quality.score(empty(spark), model).count() == 0
     none = quality.score(df, quality.fit(df, marks.where("false"))).first()
     assert none.score is not None
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="the given tables aren't here")
+def test_quality_of_held_out_rows(spark):
+    table = lambda name: spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet")
+    df, marks = table("documents").select("doc_id", "text"), table("labels").select("doc_id", "quality")
+    found = quality.score(df.join(marks.where(quality.held_out("doc_id")), "doc_id"), quality.fit(df, marks)).select("quality", "predicted").collect()
+    for label, least in ((0, 0.95), (1, 0.99)):
+        mine = [r for r in found if r.quality == label]
+        assert len(mine) > 100 and sum(r.predicted == label for r in mine) >= least * len(mine)
