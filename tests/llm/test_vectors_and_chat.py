@@ -51,16 +51,26 @@ def test_unusable_vectors_take_no_part(spark):
     assert hnsw.nearest(table.where("false"), table).count() == 0 == hnsw.nearest(table, table.where("false")).count()
 
 
-def test_perspectives(spark):
-    turns = [(1, 0, "ann", "hi é"), (1, 1, "bob", "yo"), (1, 64, "ann", "later"), (2, None, None, None), (2, 0, "x", ""), (None, 0, "x", "lone"), (1, 1, "bob", "yo")]
-    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("part", F.lit("x")).withColumn("speaker", F.lit("x"))
+@pytest.mark.parametrize("size", [2, 1024])
+def test_perspectives(spark, monkeypatch, size):
+    monkeypatch.setattr(chat, "PART_MESSAGES", size)
+    turns = [(1, 0, "ann", "hi é"), (1, 1, "bob", "yo"), (1, 64, "ann", "later"), (2, None, None, None), (2, 0, "x", ""), (None, 0, "x", "lone"), (1, 1, "bob", "yo"), *[(3, None, "a", None)] * 5]
+    turns += [(4, i, "ann" if i % 2 else "bob", f"message {i}") for i in range(300)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("part", F.lit("x")).withColumn("speaker", F.lit("x")).repartition(3)
     found = {(r.conv_id, r.speaker, r.part): r for r in chat.rotate(df).collect()}
-    assert found.keys() == {(1, "ann", 0), (1, "ann", 1), (1, "bob", 0), (1, "bob", 1), (2, "unknown", -1), (2, "unknown", 0), (2, "x", -1), (2, "x", 0), (None, "x", 0)}
-    r = found[1, "ann", 0]
-    assert r.rendered == "<|assistant|>\nhi é<|end|>\n" + "<|user|>\nbob: yo<|end|>\n" * 2 and r.n_turns == 3 and r.n_own == 1
-    for (c, s, p), r in found.items():
-        own = [t or "" for i, n, who, t in sorted(turns, key=lambda x: (x[1] is not None, x[1] or 0)) if i == c and (who or "unknown") == s and (-1 if n is None else n // 64) == p]
-        assert [r.rendered[slice(*map(int, m.split(":")))] for m in r.mask.split(",") if m] == own
+    want = {}
+    for c in {t[0] for t in turns}:
+        said = sorted(((n is not None, n or 0, who or "unknown", t or "") for i, n, who, t in turns if i == c))
+        for speaker in {x[2] for x in said}:
+            for part in range(0, len(said), size):
+                whole, mask, own = "", [], 0
+                for _, _, who, t in said[part : part + size]:
+                    whole += chat.ASSISTANT_OPEN if who == speaker else chat.USER_OPEN + who + chat.USER_NAMED
+                    if who == speaker:
+                        mask.append(f"{len(whole)}:{len(whole) + len(t)}")
+                    whole += t + chat.CLOSE
+                want[c, speaker, part // size] = (len(said[part : part + size]), len(mask), whole, ",".join(mask))
+    assert {k: (r.n_turns, r.n_own, r.rendered, r.mask) for k, r in found.items()} == want
     assert chat.rotate(df.where("false")).count() == 0
 
 
