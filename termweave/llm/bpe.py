@@ -19,10 +19,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .textops import SLICE_BYTES, slices
+
 #: Fixed values of byte-level BPE: the pattern that cuts texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Distinct words that a Python worker remembers; beyond, it starts afresh.
-WORD_CACHE = 400_000
+#: Distinct words and fitting pairs of tokens that a Python worker remembers; beyond, it starts afresh.
+WORD_CACHE, PAIR_CACHE = 400_000, 2_000_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -113,6 +115,8 @@ class TrieEncoder:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
         if len(self.cache) > WORD_CACHE:
             self.cache = {}
+        if len(self.fitting) > PAIR_CACHE:
+            self.fitting.clear()
         out = []
         for text in texts:
             parts = self.split_special.split(text) if self.split_special else [text]
@@ -139,28 +143,32 @@ _ENCODERS: dict[str, TrieEncoder] = {}
 def encoder(path: str) -> TrieEncoder:
     """The worker's own encoder; fitting pairs and words stay for its next tasks."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = TrieEncoder(path)
+        if "/" in path:
+            _ENCODERS[path] = TrieEncoder(path)
+        else:
+            import public_tokenizers
+
+            _ENCODERS[path] = TrieEncoder(public_tokenizers.path(path))
     return _ENCODERS[path]
 
 
-def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", rows: int = 1000) -> DataFrame:
+def encode_decode(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", size: int = SLICE_BYTES) -> DataFrame:
     """key, n_tokens, ids (little-endian uint32) and decoded (the text of those ids) for every row.
 
-    A null text counts as empty: no ids, decoded empty. Repeated rows give
-    repeated results; a null key stays. Other columns are not read. `rows` bounds
-    how many texts a worker holds as Python objects at once.
+    tokenizer: the file's path, or the name of a public tokenizer's file, which is
+    looked up where the work is done. A null text counts as empty: no ids, decoded
+    empty. Repeated rows give repeated results; a null key stays. Other columns are
+    not read. About `size` bytes of whole texts are Python objects at once.
     """
     kind = docs.schema[key].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows)
-                ids = enc.encode([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(map(enc.decode, ids), pa.string())],
-                    ["key", "n_tokens", "ids", "decoded"],
-                )
+        for part, _, _ in slices(batches, "text", size):
+            ids = enc.encode([t or "" for t in part.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(map(enc.decode, ids), pa.string())],
+                ["key", "n_tokens", "ids", "decoded"],
+            )
 
     return docs.select(docs[key].alias("key"), docs[text].alias("text")).mapInArrow(run, f"key {kind.simpleString()}, n_tokens long, ids binary, decoded string").withColumnRenamed("key", key)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from . import bpe, chat, decontaminate, hnsw, jaccard, licenses, lines, quality, secrets, substring
 from .tables import read
 
-#: Where the tokenizer file is; every worker reads it there.
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+#: The public tokenizer's file; every worker finds its own copy.
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,11 +68,13 @@ def test_ids_are_the_librarys(own, library, text):
 
 def test_bpe_frame(spark, own, library):
     texts = [*ODD, "a<|endoftext|>b <|endoftext|>", "same", "same", LONG]
-    found = {(r.doc_id): r for r in bpe.encode_decode(docs(spark, texts).withColumn("ids", F.lit(1)).withColumn("key", F.lit(2)), PATH, rows=2).collect()}
+    found = {(r.doc_id): r for r in bpe.encode_decode(docs(spark, texts).withColumn("ids", F.lit(1)).withColumn("key", F.lit(2)), PATH, size=9).collect()}
     for i, t in enumerate(texts):
         assert np.frombuffer(found[i].ids, "<u4").tolist() == library.encode(t or "", add_special_tokens=False).ids
         assert found[i].decoded == (t or "") and found[i].n_tokens == len(found[i].ids) // 4
     assert bpe.encode_decode(empty(spark), PATH).count() == 0
+    named = {r.doc_id: r.ids for r in bpe.encode_decode(docs(spark, texts), "byte_bpe_50k.json").collect()}
+    assert named == {i: r.ids for i, r in found.items()}
 
 
 def test_last_stage_keeps_null_ids(spark):
@@ -85,6 +87,7 @@ def test_last_stage_keeps_null_ids(spark):
 
 def test_word_cache_may_be_cleared(library, monkeypatch):
     monkeypatch.setattr(bpe, "WORD_CACHE", 2)
+    monkeypatch.setattr(bpe, "PAIR_CACHE", 2)
     enc = bpe.TrieEncoder(PATH)
     for t in ("one two three four", "five six seven", "one two"):
         assert np.frombuffer(enc.encode([t])[0], "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
