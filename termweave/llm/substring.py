@@ -1,25 +1,28 @@
 """Substring dedup by relative Lempel-Ziv parsing (operator 10).
 
-The reference that a document is parsed against is all documents of smaller id,
-indexed in blocks by content. A phrase is `phrase` consecutive words; its anchor
-is the least hash among its `anchor`-word grams, so equal phrases have equal
-anchors and meet in the same block, while neighbouring phrases mostly share one.
-A block gets, for every run of phrases with one anchor, the anchor, the document,
-the place and a digest of each phrase, ordered by document. Each run is parsed
-greedily from its left end against the block's earlier documents: a factor goes
-on while the next phrase continues in the same source place, a new factor starts
-at the boundary, and every phrase that straddles a boundary is looked up too, so
-no phrase of the reference is missed. Factors of at least one phrase are the
-duplicate spans; all words under them go.
-
-One shuffle carries the runs (about a fifth of the words), one the texts to be
-A block whose anchor is very common, by a count over a sample of documents, is
-dealt phrase by phrase instead: equal phrases still meet, and a task sends only
-the least document of each, so no block grows with the occurrences of an anchor.
-The sample decides only how rows are dealt, never what is found.
-
-One shuffle carries the runs sees itself are settled there before the shuffle, so a
-passage that a third of all documents hold reaches its block once a task.
+The reference that a document is parsed against is the new text of all documents
+of smaller id: every phrase (`phrase` consecutive words) at the place where it
+first stands, by document and then by word. A factor is as long a stretch of the
+document as goes on without a break in that reference; the parse takes such
+factors from left to right. As each phrase has one place in the reference, the
+longest factor from a word on is found by following places, across any number of
+index blocks. Every phrase, those that straddle the boundary of two factors too,
+is looked up, so none of the reference is missed. Factors of at least one phrase
+are the duplicate spans; all words under them go.
+
+The index is dealt in blocks by content. A phrase's anchor is the least hash among
+its `anchor`-word grams, so equal phrases have equal anchors and meet in one block,
+while neighbouring phrases mostly share one. A block gets, for every run of phrases
+with one anchor, the anchor, the document, the place and a digest of each phrase.
+
+An anchor that is very common, by a count over a sample of documents, is dealt
+phrase by phrase: equal phrases still meet, and a task sends only the first holder
+of each that it has seen. The others wait for what that holder finds, by a join
+once all blocks are done. So no block grows with the occurrences of an anchor, and
+a passage that a third of all documents hold reaches its block once a task. The
+sample decides only how rows are dealt, never what is found.
+
+One shuffle carries the runs (about a fifth of the words), one the texts to be cut.
 """
 
 from __future__ import annotations
@@ -38,16 +41,17 @@ from .textops import Words, mix, run_hashes, signed, slices
 DIGEST = 5
 #: An anchor keeps its upper 48 bits; with a phrase's digest, 88 bits tell phrases apart.
 _U16 = np.uint64(16)
-#: Runs that a task gathers before it settles its own copies.
+#: Runs that a task gathers before it joins its own holders of common phrases.
 LOCAL_RUNS = 400_000
-#: An anchor of more runs than this, and than this share of all, is dealt phrase by phrase.
+#: An anchor of more runs than this, and than this share of all, is dealt phrase by phrase; there are at most 1 / HOT_SHARE of them.
 HOT_RUNS = 20_000
-HOT_SHARE = 1e-5
+HOT_SHARE = 1e-6
 #: Of so many documents one is counted.
 HOT_SAMPLE = 16
-#: payload: the digests of a run's phrases, or of a run that is settled already its source, place there and number of phrases.
+#: payload: the digests of a run's phrases, or of a phrase that waits its holder and the place there.
 _MOVED = "block long, doc long, at long, payload binary"
-_SETTLED = 17
+_WAITS = 16
+_FOUND = "doc long, at long, n long, source long, source_at long, waits boolean"
 
 
 def _runs(words: Words, phrase: int, anchor: int) -> tuple[np.ndarray, ...]:
@@ -81,20 +85,33 @@ def _pick(flat: np.ndarray, counts: np.ndarray, keep: np.ndarray) -> np.ndarray:
     return flat[np.repeat(keep, counts)]
 
 
-def _by_phrase(doc: np.ndarray, at: np.ndarray, n: np.ndarray, block: np.ndarray, flat: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The runs with those of hot anchors cut into single phrases, each in the block of its anchor and digest."""
+def _send(doc: np.ndarray, at: np.ndarray, n: np.ndarray, block: np.ndarray, flat: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows for the blocks: runs as they are, those of hot anchors as single phrases, of which only first holders are looked up."""
+    names = ["block", "doc", "at", "payload"]
     split = np.isin(block, hot)
+    plain = ~split
+    if plain.any():
+        yield pa.RecordBatch.from_arrays([pa.array(signed(block[plain])), pa.array(doc[plain]), pa.array(at[plain]), _binary(_pick(flat, n, plain), n[plain] * DIGEST)], names)
     if not split.any():
-        return doc, at, n, block, flat
+        return
     counts = n[split]
     row = np.repeat(np.flatnonzero(split), counts)
     step = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
     own = _pick(flat, n, split)
     value = np.zeros((len(own), 8), np.uint8)
     value[:, :DIGEST] = own
-    blocks = mix(block[row] ^ mix(value.view(np.uint64).reshape(-1))) >> _U16
-    one = np.ones(len(row), n.dtype)
-    return tuple(map(np.concatenate, ((doc[~split], doc[row]), (at[~split], at[row] + step), (n[~split], one), (block[~split], blocks), (_pick(flat, n, ~split), own))))
+    doc, at, block = doc[row], at[row] + step, mix(block[row] ^ mix(value.view(np.uint64).reshape(-1))) >> _U16
+    order = np.lexsort((at, doc, value.view(np.uint64).reshape(-1), block))
+    first = np.ones(len(order), bool)
+    first[1:] = (block[order][1:] != block[order][:-1]) | (own[order][1:] != own[order][:-1]).any(1)
+    holder = np.empty(len(order), np.int64)
+    holder[order] = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
+    waits = doc[holder] < doc
+    asks = ~waits
+    yield pa.RecordBatch.from_arrays([pa.array(signed(block[asks])), pa.array(doc[asks]), pa.array(at[asks]), _binary(own[asks], np.full(int(asks.sum()), DIGEST))], names)
+    if waits.any():
+        held = np.stack((doc[holder][waits], at[holder][waits]), 1).view(np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array(signed(mix(at[waits].astype(np.uint64)))), pa.array(doc[waits]), pa.array(at[waits]), _binary(held, np.full(len(held), _WAITS))], names)
 
 
 def _hot_anchors(rows: DataFrame, phrase: int, anchor: int) -> np.ndarray:
@@ -112,34 +129,8 @@ def _hot_anchors(rows: DataFrame, phrase: int, anchor: int) -> np.ndarray:
     return np.sort(found.column(0).to_numpy().astype(np.int64)).view(np.uint64)
 
 
-def _settle(doc: np.ndarray, at: np.ndarray, n: np.ndarray, block: np.ndarray, flat: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Sends each distinct run's first holder on, and the other holders as factors already."""
-    begin = np.cumsum(n) - n
-    words = np.zeros((len(flat), 8), np.uint8)
-    words[:, :DIGEST] = flat
-    value = words.view(np.uint64).reshape(-1)
-    same = run_hashes(value, begin, begin + n) ^ block
-    order = np.lexsort((at, doc, same))
-    first = np.ones(len(order), bool)
-    first[1:] = same[order][1:] != same[order][:-1]
-    holder = order[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
-    source = np.empty(len(order), np.int64)
-    source[order] = holder
-    done = (doc[source] < doc) & (n[source] == n) & (block[source] == block)
-    names = ["block", "doc", "at", "payload"]
-    if not done.all():
-        open_rows = [signed(block[~done]), doc[~done], at[~done]]
-        yield pa.RecordBatch.from_arrays([*map(pa.array, open_rows), _binary(_pick(flat, n, ~done), n[~done] * DIGEST)], names)
-    if done.any():
-        found = np.zeros((int(done.sum()), _SETTLED), np.uint8)
-        found[:, :16] = np.stack((doc[source][done], at[source][done]), 1).view(np.uint8)
-        found[:, 16] = n[done]
-        spread = [signed(mix(at[done].astype(np.uint64))), doc[done], at[done]]
-        yield pa.RecordBatch.from_arrays([*map(pa.array, spread), _binary(found, np.full(len(found), _SETTLED))], names)
-
-
 def _factors(block: np.ndarray, doc: np.ndarray, at: np.ndarray, n: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Greedy parse of whole blocks, whose rows are ordered by block and document."""
+    """Phrases of whole blocks that stand in an earlier document: document, place, number, and where the first first stands. Rows are ordered by block, document and place."""
     shared = np.zeros(len(block), bool)
     if len(block) > 1:
         equal = block[1:] == block[:-1]
@@ -170,7 +161,7 @@ def _factors(block: np.ndarray, doc: np.ndarray, at: np.ndarray, n: np.ndarray,
 
 
 def parse(docs: DataFrame, phrase: int = 13, anchor: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Factors of all documents: doc, at (tag and first word), n (phrases), source, source_at.
+    """Places of all documents' phrases in the reference: doc, at (tag and first word), n (phrases in a row), source, source_at.
 
     `at` holds a 20-bit tag of the text above bit 40, so that rows of one id but
     different texts stay apart; see untagged().
@@ -186,37 +177,37 @@ def parse(docs: DataFrame, phrase: int = 13, anchor: int = 4, text: str = "text"
             held.append((ids[which], at + (tags[which] << 40), n, block, digests))
             rows += len(n)
             if rows >= LOCAL_RUNS:
-                yield from _settle(*_by_phrase(*map(np.concatenate, zip(*held)), hot.value))
+                yield from _send(*map(np.concatenate, zip(*held)), hot.value)
                 held, rows = [], 0
         if rows:
-            yield from _settle(*_by_phrase(*map(np.concatenate, zip(*held)), hot.value))
+            yield from _send(*map(np.concatenate, zip(*held)), hot.value)
 
     def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "at", "n", "source", "source_at"]
+        names = ["doc", "at", "n", "source", "source_at", "waits"]
         held: list[tuple[np.ndarray, ...]] = []
 
         def parsed() -> Iterator[pa.RecordBatch]:
             if held:
                 out = _factors(*map(np.concatenate, zip(*held)))
                 if len(out[0]):
-                    yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], names)
+                    yield pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int64)) for x in out), pa.array(np.zeros(len(out[0]), bool))], names)
 
         for batch in batches:
             payload = batch.column(3)
             offsets = np.frombuffer(payload.buffers()[1], np.int32)[payload.offset : payload.offset + len(payload) + 1]
-            settled = np.diff(offsets) % DIGEST != 0
+            waits = np.diff(offsets) == _WAITS
             flat = np.frombuffer(payload.buffers()[2], np.uint8)
             block, doc, at = (batch.column(i).to_numpy() for i in range(3))
-            if settled.any():
-                found = flat[offsets[:-1][settled][:, None] + np.arange(_SETTLED)]
-                source = np.ascontiguousarray(found[:, :16]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[settled], at[settled], found[:, 16].astype(np.int64), source[:, 0], source[:, 1])], names)
-            if settled.all():
+            if waits.any():
+                found = np.ascontiguousarray(flat[offsets[:-1][waits][:, None] + np.arange(_WAITS)]).view(np.int64)
+                one = np.ones(len(found), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[waits], at[waits], one, found[:, 0], found[:, 1], one.astype(bool))], names)
+            if waits.all():
                 continue
-            flat = flat[offsets[0] : offsets[-1]][np.repeat(~settled, np.diff(offsets))]
+            flat = flat[offsets[0] : offsets[-1]][np.repeat(~waits, np.diff(offsets))]
             digests = flat.reshape(-1, DIGEST)
-            n = np.diff(offsets)[~settled].astype(np.int64) // DIGEST
-            block, doc, at = block[~settled], doc[~settled], at[~settled]
+            n = np.diff(offsets)[~waits].astype(np.int64) // DIGEST
+            block, doc, at = block[~waits], doc[~waits], at[~waits]
             columns = (block, doc, at, n)
             cut = int(np.searchsorted(block, block[-1], "left"))  # the last block may go on in the next batch
             ends = int(n[:cut].sum())
@@ -229,9 +220,32 @@ def parse(docs: DataFrame, phrase: int = 13, anchor: int = 4, text: str = "text"
         yield from parsed()
 
     rows = docs.where(docs[key].isNotNull()).select(docs[key].cast("long").alias("doc"), _tag(docs[text]).alias("tag"), docs[text].alias("text"))
-    hot = docs.sparkSession.sparkContext.broadcast(_hot_anchors(rows, phrase, anchor))
+    anchors = _hot_anchors(rows, phrase, anchor)
+    hot = docs.sparkSession.sparkContext.broadcast(anchors)
     moved = rows.mapInArrow(send, _MOVED).repartition("block").sortWithinPartitions("block", "doc", "at")
-    return moved.mapInArrow(receive, "doc long, at long, n long, source long, source_at long")
+    found = moved.mapInArrow(receive, _FOUND)
+    columns = ["doc", "at", "n", "source", "source_at"]
+    if not len(anchors):
+        return found.select(*columns)
+    # What waits takes over what its holder found, or the holder itself where that is the first of all.
+    found = written(found)
+    known = found.where("not waits and n = 1").select(F.col("doc").alias("h"), F.col("at").alias("h_at"), F.col("source").alias("s"), F.col("source_at").alias("s_at")).distinct()
+    waiting = found.where("waits").join(known, (F.col("source") == F.col("h")) & (F.col("source_at") == F.col("h_at")), "left")
+    waiting = waiting.select("doc", "at", "n", F.coalesce("s", "source").alias("source"), F.when(F.col("s").isNull(), F.col("source_at")).otherwise(F.col("s_at")).alias("source_at"))
+    return found.where("not waits").select(*columns).union(waiting)
+
+
+def factors(places: list[dict], phrase: int) -> list[dict]:
+    """The greedy parse: places (start, n, source, source_at) of a document's phrases joined as long as the reference goes on."""
+    out: list[dict] = []
+    for x in sorted(places, key=lambda x: x["start"]):
+        last = out[-1] if out else None
+        if last and x["start"] == last["start"] + last["n"] and x["source"] == last["source"] and x["source_at"] == last["source_at"] + last["n"]:
+            last["n"] += x["n"]
+        else:
+            out.append(dict(x))
+    low = (1 << 40) - 1
+    return [{"start": x["start"], "n": x["n"] + phrase - 1, "source": x["source"], "source_start": x["source_at"] & low} for x in out]
 
 
 def _tag(text):
@@ -241,42 +255,36 @@ def _tag(text):
 def dedup(docs: DataFrame, phrase: int = 13, anchor: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, n_words, n_removed, kept (the words left, joined by one space) and factors of every row.
 
-    factors: array of start (word), n (words), source (id), source_start (word).
-    Null text counts as empty: no words. Texts shorter than a phrase stay whole.
-    A null id is no reference and loses nothing. Repeated rows of one id never
+    factors: array of start (word), n (words), source (id), source_start (word), by
+    start. Null text counts as empty: no words. Texts shorter than a phrase stay
+    whole. A null id is no reference and loses nothing. Repeated rows of one id never
     count against each other and get the same result. Other columns are not read.
     """
-    low = (1 << 40) - 1
     found = parse(docs, phrase, anchor, text, key)
-    spans = found.groupBy(F.col("doc").alias("_doc"), F.shiftright("at", 40).alias("_tag")).agg(
-        F.collect_set(F.struct(F.col("at").bitwiseAND(low).alias("start"), (F.col("n") + phrase - 1).alias("n"), "source", F.col("source_at").bitwiseAND(low).alias("source_start"))).alias("factors")
-    )
+    place = F.struct(F.col("at").bitwiseAND((1 << 40) - 1).alias("start"), "n", "source", "source_at")
+    spans = found.groupBy(F.col("doc").alias("_doc"), F.shiftright("at", 40).alias("_tag")).agg(F.collect_set(place).alias("places"))
     rows = docs.select(docs[key].cast("long").alias("doc"), _tag(docs[text]).alias("tag"), docs[text].alias("text"))
-    joined = rows.join(spans, (rows.doc == spans._doc) & (rows.tag == spans._tag), "left").select("doc", "text", "factors")
+    joined = rows.join(spans, (rows.doc == spans._doc) & (rows.tag == spans._tag), "left").select("doc", "text", "places")
+    kind = pa.list_(pa.struct([(name, pa.int64()) for name in ("start", "n", "source", "source_start")]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
-                lists = part.column(2)
-                flat = lists.flatten()
-                counts = np.where(lists.is_valid().to_numpy(zero_copy_only=False), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), 0)
-                ends = np.cumsum(counts)
-                start, length = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                total, gone, kept = [], [], []
-                for i, t in enumerate(part.column(1).to_pylist()):
+                total, gone, kept, parsed = [], [], [], []
+                for t, places in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
                     words = (t or "").encode().split()
                     total.append(len(words))
-                    if counts[i]:
-                        a = start[ends[i] - counts[i] : ends[i]].astype(np.int64)
-                        cover = np.zeros(len(words) + 1, np.int64)
-                        np.add.at(cover, a, 1)
-                        np.add.at(cover, a + length[ends[i] - counts[i] : ends[i]].astype(np.int64), -1)
-                        stay = np.cumsum(cover[:-1]) == 0
-                        words = [w for w, s in zip(words, stay.tolist()) if s]
+                    spans = factors(places, phrase) if places else []
+                    parsed.append(spans)
+                    left, end = [], 0
+                    for x in spans:
+                        left += words[end : max(end, x["start"])]
+                        end = max(end, x["start"] + x["n"])
+                    words = left + words[end:]
                     gone.append(total[-1] - len(words))
                     kept.append(b" ".join(words))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), lists], ["doc", "n_words", "n_removed", "kept", "factors"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(parsed, kind)], ["doc", "n_words", "n_removed", "kept", "factors"])
 
     schema = "doc long, n_words long, n_removed long, kept string, factors array<struct<start:bigint,n:bigint,source:bigint,source_start:bigint>>"
     return joined.mapInArrow(cut, schema).withColumnRenamed("doc", key)

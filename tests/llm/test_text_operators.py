@@ -150,14 +150,64 @@ def test_common_anchors_are_dealt_by_phrase(spark, monkeypatch):
     hot = substring._hot_anchors(df.selectExpr("doc_id doc", "text").where("doc is not null"), 13, 4)
     assert len(hot) > 3
     assert cut_rows(df) == brute_cut(rows)
-    # in one task, then over all that are sent: no block holds a document's rows beyond one a phrase
+    assert parsed(df) == brute_factors(rows)
+    # in one task only the first holder of a phrase is looked up
     n = np.array([3, 2, 1])
     flat = np.arange(30, dtype=np.uint8).reshape(6, 5)
     flat[3:5] = flat[0:2]
     block = np.array([7, 7, 9], np.uint64)
-    doc, at, one, blocks, digests = substring._by_phrase(np.array([1, 2, 3]), np.array([10, 20, 30]), n, block, flat, np.array([7], np.uint64))
-    assert doc.tolist() == [3, 1, 1, 1, 2, 2] and at.tolist() == [30, 10, 11, 12, 20, 21] and one.tolist() == [1] * 6
-    assert blocks[0] == 9 and len(set(blocks.tolist())) == 4 and blocks[1:3].tolist() == blocks[4:6].tolist() and len(digests) == 6
+    plain, asks, waits = substring._send(np.array([1, 2, 3]), np.array([10, 20, 30]), n, block, flat, np.array([7], np.uint64))
+    assert [c.to_pylist() for c in plain.columns[:3]] == [[9], [3], [30]]
+    assert asks.column(1).to_pylist() == [1, 1, 1] and asks.column(2).to_pylist() == [10, 11, 12] and len(set(asks.column(0).to_pylist())) == 3
+    assert waits.column(1).to_pylist() == [2, 2] and waits.column(2).to_pylist() == [20, 21]
+    assert [np.frombuffer(x, np.int64).tolist() for x in waits.column(3).to_pylist()] == [[1, 10], [1, 11]]
+
+
+def brute_factors(rows, phrase=13):
+    """The greedy parse of each document against the first place of every phrase of smaller ids."""
+    first = {}
+    rows = sorted({(i, t or "") for i, t in rows if i is not None})
+    for i, t in rows:
+        w = split(t)
+        for p in range(len(w) - phrase + 1):
+            first.setdefault(tuple(w[p : p + phrase]), (i, p))
+    out = {}
+    for i, t in rows:
+        w, p, found = split(t), 0, []
+        place = lambda x: first.get(tuple(w[x : x + phrase]), (i, 0)) if x + phrase <= len(w) else (i, 0)
+        while p < len(w):
+            source, at = place(p)
+            n = 0
+            while source < i and place(p + n) == (source, at + n):
+                n += 1
+            if n:
+                found.append((p, n + phrase - 1, source, at))
+            p += max(n, 1)
+        out.setdefault(i, set()).add(tuple(found))
+    return out
+
+
+def parsed(df):
+    out = {}
+    for r in substring.dedup(df).collect():
+        if r.doc_id is not None:
+            out.setdefault(r.doc_id, set()).add(tuple((f.start, f.n, f.source, f.source_start) for f in r.factors))
+    return out
+
+
+def test_factors_are_greedy_and_longest(spark):
+    rng = random.Random(4)
+    long = " ".join(words(rng, 1000, 100_000))
+    other = " ".join(words(rng, 300, 100_000))
+    mixed = " ".join([*long.split()[100:200], *other.split()[5:250], *long.split()[150:400]])
+    rows = [(1, long), (2, long), (3, "before " + long + " after"), (4, other), (5, mixed), (6, mixed), (7, "x " + other[: len(other) // 2])]
+    piece = lambda a: long.split()[a : a + rng.randrange(8, 90)]
+    rows += [(10 + i, " ".join(x for _ in range(4) for x in words(rng, rng.randrange(9), 9) + piece(rng.randrange(900)))) for i in range(20)]
+    df = docs(spark, [t for _, t in rows], [i for i, _ in rows]).repartition(4)
+    found = parsed(df)
+    assert found == brute_factors(rows) and cut_rows(df) == brute_cut(rows)
+    assert found[2] == {((0, 1000, 1, 0),)} and found[3] == {((1, 1000, 1, 0),)}
+    assert found[5] == {((0, 100, 1, 100), (100, 245, 4, 5), (345, 250, 1, 150))}
 
 
 # Jaccard join
