@@ -307,8 +307,22 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, secret_docs: int = SECRET
     learned from as well as frequent ones. A document gives SPANS_A_DOC labelled
     places at most, so what is gathered is bounded.
     """
-    rows = docs.select(docs[text].alias("text"), F.xxhash64(docs[key], docs[text]).alias("hash"))
-    chosen = rows.where(F.col("text").rlike(MAYBE)).orderBy("hash").limit(secret_docs).union(rows.orderBy("hash").limit(train_docs))
+    hash_ = F.shiftrightunsigned(F.xxhash64(docs[key], docs[text]), 1)
+    rows = docs.select(docs[text].alias("text"), hash_.alias("hash"), F.log2(hash_ + F.lit(1)).cast("int").alias("level"))
+    maybe = F.coalesce(F.col("text").rlike(MAYBE), F.lit(False))
+    counts = sorted(rows.groupBy("level").agg(F.count_if(maybe), F.count("*")).collect())
+
+    def least(column: int, wanted: int) -> DataFrame:
+        """Rows of the lowest levels of the hash that hold enough: each level holds about as many as all below it."""
+        total, level = 0, 64
+        for at, *n in counts:
+            total += n[column]
+            if total >= wanted:
+                level = at
+                break
+        return rows.where(F.col("level") <= level)
+
+    chosen = least(0, secret_docs).where(maybe).orderBy("hash").limit(secret_docs).union(least(1, train_docs).orderBy("hash").limit(train_docs))
     found = chosen.select("text").mapInArrow(_windows, "features array<int>, tags array<int>").toArrow().combine_chunks()
     count, width = found.num_rows, 2 * REACH + 1
     features, tags, mask = np.zeros((count, width, KINDS_OF_FEATURES), np.int64), np.zeros((count, width), np.int64), np.zeros((count, width), bool)
