@@ -33,7 +33,7 @@ def jaccard_tokens(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(0.0)).otherwise(F.size(F.array_intersect(x, y)) / union)
 
 
-def hybrid_score(query: Column, name: Column, ratio=levenshtein_ratio) -> Column:
+def hybrid_score(query: Column, name: Column, ratio=gestalt_ratio) -> Column:
     """0.4 text ratio + 0.4 word overlap + 0.2 preference for short names."""
     return 0.4 * ratio(query, name) + 0.4 * jaccard_tokens(query, name) + 0.2 / (1 + F.length(name) / 100)
 

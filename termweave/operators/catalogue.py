@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._rank import maybe_broadcast, top
-
-#: Domain flag columns of a cohort catalogue.
-DOMAIN_FLAGS = ["domainConditionOccurrence", "domainDrugExposure", "domainProcedureOccurrence", "domainMeasurement", "domainObservation", "domainVisitOccurrence", "domainDeviceExposure", "domainDeath"]
+from ._pieces import contained
+from ._rank import top
+
+#: Domain names as users give and read them, and the flag columns of a cohort catalogue.
+DOMAINS = {
+    "condition": "domainConditionOccurrence",
+    "drug": "domainDrugExposure",
+    "procedure": "domainProcedureOccurrence",
+    "measurement": "domainMeasurement",
+    "observation": "domainObservation",
+    "visit": "domainVisitOccurrence",
+    "device": "domainDeviceExposure",
+    "death": "domainDeath",
+}
+DOMAIN_FLAGS = list(DOMAINS.values())
 _TRUE = ["1", "TRUE", "true"]
 
 
@@ -21,28 +32,33 @@ def catalogue_score(keyword: Column, name: Column, description: Column, tag: Col
     return (hit.cast("long") * 10 + begins.cast("long") * 5 + low(description).contains(k).cast("long") * 5 + low(tag).contains(k).cast("long") * 3).cast("long")
 
 
+def scored_pairs(rows: DataFrame, queries: DataFrame, name: str, description: str, tag: str) -> DataFrame:
+    """Rows with each query(query_id, keyword) that scores for them, and the score."""
+    score = catalogue_score(F.col("keyword"), F.col(name), F.col(description), F.col(tag))
+    return contained(rows, F.concat_ws("\n", name, description, tag), queries, score > 0).withColumn("score", score)
+
+
 def search_catalogue(rows: DataFrame, queries: DataFrame, name: str, description: str, tag: str, tie: str, limit: int | None = 20) -> DataFrame:
     """Rows that score for queries(query_id, keyword): total found, and the best by score and tie."""
-    scored = rows.join(maybe_broadcast(queries), F.lit(True)).withColumn("score", catalogue_score(F.col("keyword"), F.col(name), F.col(description), F.col(tag))).where("score > 0")
+    scored = scored_pairs(rows, queries, name, description, tag)
     totals = scored.groupBy("query_id").agg(F.count("*").alias("total"))
     return top(scored, ["query_id"], [F.col("score").desc(), tie], limit).join(totals, "query_id")
 
 
 def search_phenotypes(catalogue: DataFrame, queries: DataFrame, domain: str | None = None, status: str | None = None, limit: int = 20) -> DataFrame:
-    """Cohorts of a domain and status that match, 1..30 a query; an unknown domain is an error."""
-    if domain is not None:
-        flags = {f.removeprefix("domain").lower(): f for f in DOMAIN_FLAGS}
-        if domain.lower() not in flags:
-            raise ValueError(f"unknown domain {domain}: one of {', '.join(flags)}")
-        catalogue = catalogue.where(F.col(flags[domain.lower()]).isin(_TRUE))
+    """Cohorts of a domain (see DOMAINS) and status that match, 1..30 a query; an unknown domain is an error."""
+    if domain:
+        if domain.lower() not in DOMAINS:
+            raise ValueError(f"unknown domain {domain}: one of {', '.join(sorted(DOMAINS))}")
+        catalogue = catalogue.where(F.col(DOMAINS[domain.lower()]).isin(_TRUE))
     if status is not None:
         catalogue = catalogue.where(F.lower("status").contains(status.lower()))
     return search_catalogue(catalogue, queries, "cohortName", "logicDescription", "hashTag", "cohortName", min(max(limit, 1), 30))
 
 
-def active_domains(flags: list[str] = DOMAIN_FLAGS) -> Column:
-    """Names of the flags set, comma-joined, or none."""
-    found = F.array_compact(F.array(*(F.when(F.col(f).isin(_TRUE), F.lit(f.removeprefix("domain"))) for f in flags)))
+def active_domains(domains: dict[str, str] = DOMAINS) -> Column:
+    """Names of the domains whose flags are set, comma-joined, or none."""
+    found = F.array_compact(F.array(*(F.when(F.col(flag).isin(_TRUE), F.lit(name)) for name, flag in domains.items())))
     return F.when(F.size(found) == 0, F.lit("none")).otherwise(F.array_join(found, ", "))
 
 

@@ -11,9 +11,6 @@ from ..sources.scratch import written
 from ._rank import top
 from .mapping import classify_predicates, outgoing_edges, relationship_ids_for_kinds
 
-#: Paths built for a pair before ranking; a pair with more keeps those of least step text.
-PATH_CAP = 1000
-
 
 def explore_subgraph(concepts: DataFrame, edges: DataFrame, seeds: DataFrame, relationship: DataFrame | None = None, kinds: list[str] | None = None, max_depth: int = 2, max_nodes: int | None = 50, edge_cap: int | None = 200) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, edges, flags) around the seeds(set_id, concept_id) of each set.
@@ -25,7 +22,7 @@ def explore_subgraph(concepts: DataFrame, edges: DataFrame, seeds: DataFrame, re
     wanted = relationship_ids_for_kinds(relationship, kinds) if relationship is not None and kinds else None
     seen = written(seeds.select("set_id", "concept_id").distinct().withColumn("depth", F.lit(0).cast("long")))
     found, refused = [], []
-    for depth in range(1, min(max(max_depth, 1), 4) + 1):
+    for depth in range(1, max(max_depth, 1) + 1):
         frontier = seen.where(F.col("depth") == depth - 1)
         out = outgoing_edges(edges, frontier, wanted, edge_cap)
         walked = written(frontier.select("set_id", F.col("concept_id").alias("concept_id_1")).join(out, "concept_id_1").select("set_id", "concept_id_1", "relationship_id", "concept_id_2"))
@@ -33,7 +30,7 @@ def explore_subgraph(concepts: DataFrame, edges: DataFrame, seeds: DataFrame, re
         new = walked.select("set_id", F.col("concept_id_2").alias("concept_id")).distinct().join(seen.select("set_id", "concept_id"), ["set_id", "concept_id"], "left_anti")
         if max_nodes is not None:
             held = seen.groupBy("set_id").agg(F.count("*").alias("held"))
-            ranked = top(new, ["set_id"], ["concept_id"], None).join(held, "set_id").withColumn("fits", F.col("rank") + F.col("held") <= min(max_nodes, 200))
+            ranked = top(new, ["set_id"], ["concept_id"], None).join(held, "set_id").withColumn("fits", F.col("rank") + F.col("held") <= max_nodes)
             refused.append(ranked.where(~F.col("fits")).select("set_id"))
             new = ranked.where("fits")
         new = written(new.select("set_id", "concept_id").withColumn("depth", F.lit(depth).cast("long")))
@@ -88,7 +85,7 @@ def _paths(meets: DataFrame, left: list[DataFrame], right: list[DataFrame], step
         rows = rows.join(edges.withColumnRenamed("concept_id_2", "first"), ["pair_id", "first"]).withColumn("concept_id_2", F.col("first")).select("pair_id", F.col("concept_id_1").alias("first"), "last", F.concat(F.array(step), "steps").alias("steps"))
     for edges in reversed(right):
         rows = rows.join(edges.withColumnRenamed("concept_id_1", "last"), ["pair_id", "last"]).withColumn("concept_id_1", F.col("last")).select("pair_id", "first", F.col("concept_id_2").alias("last"), F.concat("steps", F.array(step)).alias("steps"))
-    return top(rows.select("pair_id", "steps"), ["pair_id"], [F.to_json("steps")], PATH_CAP, "turn").select("pair_id", "steps")
+    return rows.select("pair_id", "steps")
 
 
 def _walk() -> Column:
@@ -121,11 +118,11 @@ def rank_paths(profiles: DataFrame, max_paths: int | None = 10) -> DataFrame:
 
 
 def find_ranked_paths(concepts: DataFrame, edges: DataFrame, relationship: DataFrame, pairs: DataFrame, kinds: list[str] | None = None, max_depth: int = 6, max_paths: int = 10, max_hops: int | None = None) -> DataFrame:
-    """All shortest paths of each pair, profiled and ranked, the first max_paths (1..20) of them."""
+    """All shortest paths of each pair, profiled and ranked, and of these the first max_paths."""
     wanted = relationship_ids_for_kinds(relationship, kinds) if kinds else None
-    found = shortest_paths(edges, pairs, wanted, min(max(max_depth, 1), 8), max_hops)
+    found = shortest_paths(edges, pairs, wanted, max(max_depth, 1), max_hops)
     numbered = written(top(found, ["pair_id"], [F.to_json("steps")], None, "path_id"))
-    return rank_paths(path_profile(concepts, relationship, numbered), min(max(max_paths, 1), 20))
+    return rank_paths(path_profile(concepts, relationship, numbered), max(max_paths, 1))
 
 
 def explain_paths(concepts: DataFrame, relationship: DataFrame, paths: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._rank import maybe_broadcast, small, top
+from ._pieces import contained
+from ._rank import top
 
 COLUMNS = ["concept_id", "concept_name", "domain_id", "vocabulary_id", "concept_class_id", "concept_code", "standard_concept", "invalid_reason"]
 MAX_RESULTS = 50
@@ -49,19 +50,9 @@ def concept_batch(concepts: DataFrame, frontier: DataFrame) -> DataFrame:
 
 
 def _name_hits(names: DataFrame, queries: DataFrame) -> DataFrame:
-    """Rows of names(text, ...) that contain a query's keyword, whatever the case.
-
-    Few queries are broadcast against the names. Of many, those with a literal
-    three-character piece meet only the names that hold that piece.
-    """
-    contains = F.ilike(F.col("text"), F.concat(F.lit("%"), F.col("keyword"), F.lit("%")))
-    if small(queries):
-        return names.join(F.broadcast(queries), contains)
-    piece = F.regexp_extract(F.lower("keyword"), r"[^%_\\]{3}", 0)
-    keyed = queries.withColumn("piece", piece)
-    grams = names.withColumn("piece", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("text") - 2, F.lit(1))), lambda i: F.lower(F.col("text")).substr(i, F.lit(3))))))
-    exact = grams.join(keyed.where("piece <> ''"), "piece").where(contains).drop("piece")
-    return exact.unionByName(names.join(keyed.where("piece = ''").drop("piece"), contains))
+    """Rows of names(text, ...) that contain a query's keyword, whatever the case."""
+    holds = F.ilike(F.col("text"), F.concat(F.lit("%"), F.col("keyword"), F.lit("%")))
+    return contained(names, F.col("text"), queries, holds, special=r"%_\\")
 
 
 def search_concepts(concepts: DataFrame, queries: DataFrame, synonyms: DataFrame | None = None, limit: int = 25, max_limit: int = MAX_RESULTS, **filters) -> DataFrame:

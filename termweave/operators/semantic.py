@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +16,10 @@ from .hierarchy import ancestry_check
 from .mapping import valid_maps
 from .search import search_concepts
 
-#: Query vectors scored at once; more are scored block after block.
-QUERY_BLOCK = 4096
+#: Query and index vectors of a block.
+QUERY_BLOCK, INDEX_BLOCK = 1024, 4096
+#: Queries up to which their blocks are broadcast; more are dealt by a shuffle.
+BROADCAST_QUERIES = 32_768
 
 
 def hashing_encoder(names: list[str], dims: int = 64) -> np.ndarray:
@@ -60,47 +61,57 @@ def cosine_similarity(a, b):
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-def cosine_topk(queries: DataFrame, index: DataFrame, k: int = 10, key: str = "concept_id", **equal: str | None) -> DataFrame:
+def _packed(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """df(key, embedding) as blocks of at most `rows` rows: keys, unit vectors as bytes, their length. Null vectors are left out."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                x = np.stack([v.values.to_numpy(zero_copy_only=False) for v in part.column(1)])
+                x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+                yield pa.RecordBatch.from_arrays([pa.array([part.column(0).to_numpy().tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary()), pa.array([x.shape[1]], pa.int32())], ["keys", "vectors", "dims"])
+
+    return df.select(F.col(key).cast("long").alias("key"), F.col("embedding").cast("array<double>").alias("embedding")).where("key is not null and embedding is not null").mapInArrow(pack, "keys binary, vectors binary, dims int")
+
+
+def cosine_topk(queries: DataFrame, index: DataFrame, k: int = 10, key: str = "concept_id", own: bool = True, **equal: str | None) -> DataFrame:
     """query_id, rank, key, similarity (6 places) of the k nearest index rows of each query, exactly.
 
     queries(query_id, embedding), index(key, embedding, ...). Filters such as
-    domain_id="Product" hold before scoring. A task scores a batch of rows against
-    a block of queries in one matrix product and keeps only k a query, so what is
-    shuffled is k rows for each query and task. Order: similarity, then key.
+    domain_id="Product" hold before scoring; with own=False a row is no neighbour
+    of the query of its id. Both sides are packed in blocks of rows, and each pair
+    of blocks is scored in a task by one matrix product, of which only k a query go
+    on; neither side passes through the driver, but for query blocks that are few
+    enough to be broadcast. Order: similarity, then key.
     """
     for column, value in equal.items():
         if value is not None:
             index = index.where(F.col(column) == value)
-    spark = index.sparkSession
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    rows = index.select(F.col(key).cast("long").alias("key"), F.col("embedding").cast("array<double>").alias("embedding")).where("embedding is not null")
-
-    def scored(block: int) -> DataFrame:
-        part = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).select(F.col("query_id").cast("long"), F.col("embedding").cast("array<double>")).where("embedding is not null").toArrow()
-        vectors = np.array(part.column(1).to_pylist(), np.float64)
-        vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300) if len(vectors) else vectors
-        shared = spark.sparkContext.broadcast((np.array(part.column(0).to_pylist(), np.int64), vectors))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, q = shared.value
-            best = None
-            for batch in batches:
-                if not len(ids) or not batch.num_rows:
+    n = queries.count()
+    blocks = max(1, -(-n // QUERY_BLOCK))
+    asked = _packed(queries.repartition(blocks), "query_id", QUERY_BLOCK).select(F.col("keys").alias("asked"), F.col("vectors").alias("wanted"), F.col("dims").alias("wanted_dims"))
+    # A stated set of queries meets all rows, block by block.
+    pairs = _packed(index, key, INDEX_BLOCK).crossJoin(F.broadcast(asked) if n <= BROADCAST_QUERIES else asked).select("keys", "vectors", "asked", "wanted", "dims", "wanted_dims")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                dims = batch.column(4)[row].as_py()
+                if dims != batch.column(5)[row].as_py():
                     continue
-                keys, x = batch.column(0).to_numpy(), np.array(batch.column(1).to_pylist(), np.float64)
-                x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+                keys, ids = (np.frombuffer(batch.column(c)[row].as_buffer(), np.int64) for c in (0, 2))
+                x, q = (np.frombuffer(batch.column(c)[row].as_buffer(), np.float64).reshape(-1, dims) for c in (1, 3))
                 near = np.floor((q @ x.T) * 1e6 + 0.5) / 1e6
-                keys = np.broadcast_to(keys, near.shape)
-                if best:
-                    near, keys = np.concatenate((best[0], near), 1), np.concatenate((best[1], keys), 1)
-                order = np.lexsort((keys, -near), axis=1)[:, :k]
-                best = np.take_along_axis(near, order, 1), np.take_along_axis(keys, order, 1)
-            if best:
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, best[0].shape[1])), pa.array(best[1].reshape(-1)), pa.array(best[0].reshape(-1))], ["query_id", "key", "similarity"])
-
-        return rows.mapInArrow(run, "query_id long, key long, similarity double")
-
-    found = reduce(DataFrame.union, map(scored, range(blocks)))
+                if not own:
+                    near[ids[:, None] == keys] = -np.inf
+                order = np.lexsort((np.broadcast_to(keys, near.shape), -near), axis=1)[:, :k]
+                best = np.take_along_axis(near, order, 1).reshape(-1)
+                real = best > -np.inf
+                columns = np.repeat(ids, order.shape[1])[real], keys[order.reshape(-1)][real], best[real]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "key", "similarity"])
+
+    found = pairs.mapInArrow(run, "query_id long, key long, similarity double")
     return top(found, ["query_id"], [F.col("similarity").desc(), "key"], k).select("query_id", "rank", F.col("key").alias(key), "similarity")
 
 
@@ -142,7 +153,7 @@ def rerank_cosine(hits: DataFrame, k: int = 10) -> DataFrame:
     return top(hits.withColumn("score", F.round(score, 6)), ["query_id"], [F.col("score").desc(), "concept_id"], k)
 
 
-def ground_terms(concepts: DataFrame, synonyms: DataFrame, queries: DataFrame, closure: DataFrame | None = None, vectors: tuple[DataFrame, DataFrame] | None = None, require_standard: bool = True, max_results: int = 5, ratio=tx.levenshtein_ratio, **filters) -> DataFrame:
+def ground_terms(concepts: DataFrame, synonyms: DataFrame, queries: DataFrame, closure: DataFrame | None = None, vectors: tuple[DataFrame, DataFrame] | None = None, require_standard: bool = True, max_results: int = 5, ratio=tx.gestalt_ratio, **filters) -> DataFrame:
     """query_id, rank, concept_id, concept_name, match_tier, score[, separation] of queries(query_id, keyword[, parent_concept_id]).
 
     Names are searched first; queries with fewer than three candidates also search

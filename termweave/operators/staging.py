@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
 from ._rank import top
 from .hierarchy import descendants
 
@@ -98,17 +99,23 @@ def draft_concepts(headers: DataFrame, rows: DataFrame, log: DataFrame) -> DataF
     return rows.join(drafts, "result_id").select("draft_name", "row_index", "concept_id", "is_excluded", "include_descendants", "include_mapped")
 
 
-def lineage(headers: DataFrame, ids: DataFrame, max_depth: int = 64) -> DataFrame:
-    """result_id, ancestor_id, generation from each result up to its root."""
-    spark = headers.sparkSession
-    ids.select("result_id").distinct().createOrReplaceTempView("_asked")
-    headers.select("result_id", "parent_result_id").createOrReplaceTempView("_headers")
-    return spark.sql(f"""
-        WITH RECURSIVE up(result_id, ancestor_id, generation) AS (
-          SELECT result_id, result_id, CAST(0 AS BIGINT) FROM _asked
-          UNION ALL SELECT u.result_id, h.parent_result_id, u.generation + 1 FROM up u JOIN _headers h ON h.result_id = u.ancestor_id
-          WHERE h.parent_result_id IS NOT NULL AND u.generation < {int(max_depth)})
-        SELECT * FROM up""")
+def lineage(headers: DataFrame, ids: DataFrame) -> DataFrame:
+    """result_id, ancestor_id, generation from each result up to its root, however far; a loop of parents is an error.
+
+    Steps double: parents, then parents of parents, so the rounds are the logarithm of the depth.
+    """
+    jump = headers.where("parent_result_id is not null").select("result_id", F.col("parent_result_id").alias("up"))
+    n, length = headers.count(), 1
+    found = ids.select("result_id").distinct().select("result_id", F.col("result_id").alias("ancestor_id"), F.lit(0).cast("long").alias("generation"))
+    while not jump.isEmpty():
+        if length > n:
+            raise ValueError("a result is among its own ancestors")
+        step = jump.select(F.col("result_id").alias("ancestor_id"), "up")
+        above = found.join(step, "ancestor_id").select("result_id", F.col("up").alias("ancestor_id"), (F.col("generation") + length).alias("generation"))
+        found = written(found.union(above))
+        jump = written(jump.join(jump.select(F.col("result_id").alias("up"), F.col("up").alias("next")), "up").select("result_id", F.col("next").alias("up")))
+        length *= 2
+    return found
 
 
 def expire(headers: DataFrame, rows: DataFrame, log: DataFrame, as_of: Column, minutes: int = 60) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+
 CONCEPT = ["concept_id", "concept_name", "domain_id", "vocabulary_id", "concept_class_id", "standard_concept", "concept_code", "invalid_reason"]
 
 #: Relationship id, name, reverse id, defines_ancestry.
@@ -23,12 +25,12 @@ RELATIONSHIPS = [
 ]
 
 
-#: Derived tables of this process's sessions, cached once each: queries of one session share a vocabulary.
+#: Derived tables of this process's sessions, each written once to the shared folder: queries of one session share a vocabulary.
 _TABLES: dict[tuple[str, str, str], DataFrame] = {}
 
 
 class Given:
-    """The given tables of one folder and what is derived from them, each as a cached DataFrame."""
+    """The given tables of one folder and what is derived from them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.dir = spark, sf_dir
@@ -40,7 +42,7 @@ class Given:
         def get(self) -> DataFrame:
             key = (self.spark.sparkContext.applicationId, self.dir, name)
             if key not in _TABLES:
-                _TABLES[key] = getattr(self, f"_{name}")().cache()
+                _TABLES[key] = written(getattr(self, f"_{name}")())
             return _TABLES[key]
 
         return property(get)

@@ -210,15 +210,13 @@ def _score(key, name, desc, tag):
 
 @query("j1_catalogue_score", k(f", {KEYWORDS_SQL}, s AS (SELECT query_id, p_partkey, {_score('lower(keyword)', 'p_name', 'p_type', 'p_brand')} AS score FROM keywords, part) SELECT query_id, p_partkey, CAST(score AS BIGINT) AS score FROM s WHERE score > 0"))
 def _(g):
-    rows = g.read("part").join(F.broadcast(keywords(g)), F.lit(True)).withColumn("score", catalogue.catalogue_score(F.col("keyword"), F.col("p_name"), F.col("p_type"), F.col("p_brand")))
-    return rows.where("score > 0").select("query_id", "p_partkey", "score")
+    return catalogue.scored_pairs(g.read("part"), keywords(g), "p_name", "p_type", "p_brand").select("query_id", "p_partkey", "score")
 
 
 @query("j1_document_score", "WITH q(query_id, keyword) AS (VALUES (1, 'the'), (2, 'src1'), (3, 'license')), s AS (SELECT query_id, doc_id, " + _score("keyword", "source", "text", "lang") + " AS score FROM q, documents) SELECT CAST(query_id AS BIGINT) AS query_id, doc_id, CAST(score AS BIGINT) AS score FROM s WHERE score > 0")
 def _(g):
     q = g.spark.createDataFrame([(1, "the"), (2, "src1"), (3, "license")], "query_id long, keyword string")
-    rows = g.read("documents").join(F.broadcast(q), F.lit(True)).withColumn("score", catalogue.catalogue_score(F.col("keyword"), F.col("source"), F.col("text"), F.col("lang")))
-    return rows.where("score > 0").select("query_id", "doc_id", "score")
+    return catalogue.scored_pairs(g.read("documents"), q, "source", "text", "lang").select("query_id", "doc_id", "score")
 
 
 _CATALOGUE = ", cat AS (SELECT CAST(p_partkey AS BIGINT) AS cohortId, p_name AS cohortName, CASE WHEN p_partkey % 4 = 0 THEN 'Pending' ELSE 'Accepted' END AS status, p_type AS logicDescription, p_brand AS hashTag, p_size > 25 AS drug, p_size % 2 = 0 AS death FROM part)"
@@ -234,10 +232,10 @@ def cohorts(g):
 @query("j2_search_phenotypes", k(f"""{_CATALOGUE}, {KEYWORDS_SQL}, s AS (SELECT query_id, cohortId, cohortName, {_score('lower(keyword)', 'cohortName', 'logicDescription', 'hashTag')} AS score FROM keywords, cat WHERE drug AND lower(status) LIKE '%accept%'),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, cohortName, cohortId) AS rank, count(*) OVER (PARTITION BY query_id) AS total FROM s WHERE score > 0) SELECT query_id, rank, CAST(score AS BIGINT) AS score, cohortName, total FROM r WHERE rank <= 20"""))
 def _(g):
-    return catalogue.search_phenotypes(cohorts(g), keywords(g), "drugexposure", "accept").select("query_id", "rank", "score", "cohortName", "total")
+    return catalogue.search_phenotypes(cohorts(g), keywords(g), "Drug", "accept").select("query_id", "rank", "score", "cohortName", "total")
 
 
-@query("j3_active_domains", k(f"{_CATALOGUE} SELECT cohortId, CASE WHEN drug AND death THEN 'DrugExposure, Death' WHEN drug THEN 'DrugExposure' WHEN death THEN 'Death' ELSE 'none' END AS domains FROM cat"))
+@query("j3_active_domains", k(f"{_CATALOGUE} SELECT cohortId, CASE WHEN drug AND death THEN 'drug, death' WHEN drug THEN 'drug' WHEN death THEN 'death' ELSE 'none' END AS domains FROM cat"))
 def _(g):
     return cohorts(g).select("cohortId", catalogue.active_domains().alias("domains"))
 

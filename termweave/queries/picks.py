@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import picks
+from ..operators import picks, search
 from ..plans.derive import with_vocabulary as v
 from ..sources import files
 from ..sources.scratch import scratch_dir
@@ -78,11 +80,49 @@ def _(g):
 
 @query("a1_load_vocabulary", v("SELECT concept_id, concept_name, standard_concept, invalid_reason FROM concept"))
 def _(g):
+    return vocabulary_files(g)["concept"].select("concept_id", "concept_name", "standard_concept", "invalid_reason")
+
+
+def vocabulary_files(g):
+    """All nine vocabulary files of the derived tables, written and loaded."""
+    folder = f"{scratch_dir(g.spark).rstrip('/')}/{uuid.uuid4().hex}"
+    strength = g.read("part").select((10000000 + F.col("p_partkey")).cast("long").alias("drug_concept_id"), F.col("p_size").cast("double").alias("amount_value"))
+    held = {"concept": g.concept, "concept_ancestor": g.closure, "concept_relationship": g.edges, "concept_synonym": g.synonym, "drug_strength": strength, "domain": g.domain, "vocabulary": g.vocabulary, "relationship": g.relationship, "concept_class": g.concept.select("concept_class_id").distinct()}
+    for name, schema in files.VOCABULARY_FILES.items():
+        kinds = dict(c.split() for c in schema.split(", "))
+        rows = held[name].select(*(F.col(c) if c in held[name].columns else F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()))
+        rows.write.csv(f"{folder}/{name.upper()}.csv", sep="\t", header=True, quote="")
+    return files.load_vocabulary(g.spark, folder)
+
+
+@query("a1_vocabulary_rows", v("""SELECT 'concept' AS name, count(*) AS n_rows FROM concept UNION ALL SELECT 'concept_ancestor', count(*) FROM closure UNION ALL SELECT 'concept_relationship', count(*) FROM edges UNION ALL SELECT 'concept_synonym', count(*) FROM synonym
+    UNION ALL SELECT 'drug_strength', count(*) FROM part UNION ALL SELECT 'domain', count(*) FROM domain UNION ALL SELECT 'vocabulary', count(*) FROM vocabulary UNION ALL SELECT 'relationship', count(*) FROM relationship UNION ALL SELECT 'concept_class', count(DISTINCT concept_class_id) FROM concept"""))
+def _(g):
+    counts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("name"), "n_rows") for name, df in vocabulary_files(g).items()]
+    return reduce(DataFrame.union, counts)
+
+
+def one_file_each(g, content, suffix):
+    """A folder in the shared space with a file a supplier, named by its key: the sources to be read are many small files."""
     folder = f"{scratch_dir(g.spark).rstrip('/')}/{uuid.uuid4().hex}"
-    columns = [c.split()[0] for c in files.VOCABULARY_FILES["concept"].split(", ")]
-    rows = g.concept.withColumns({c: F.lit(None).cast("string") for c in columns if c not in g.concept.columns}).select(*columns)
-    rows.write.csv(f"{folder}/CONCEPT.csv", sep="\t", header=True, quote="")
-    return files.load_vocabulary(g.spark, folder, ["concept"])["concept"].select("concept_id", "concept_name", "standard_concept", "invalid_reason")
+    path, conf = g.spark._jvm.org.apache.hadoop.fs.Path, g.spark._jsc.hadoopConfiguration()
+    for r in g.read("supplier").select(F.col("s_suppkey").alias("name"), content.alias("value")).toLocalIterator():
+        at = path(f"{folder}/{r.name}{suffix}")
+        out = at.getFileSystem(conf).create(at)
+        out.write(bytearray(r.value.encode()))
+        out.close()
+    return folder
+
+
+@query("a6_read_definitions", "SELECT CAST(s_suppkey AS BIGINT) AS \"cohortId\", '{\"ConceptSets\": [{\"name\": \"' || s_name || '\"}]}' AS json FROM supplier")
+def _(g):
+    return files.read_definitions(g.spark, one_file_each(g, F.concat(F.lit('{"ConceptSets": [{"name": "'), "s_name", F.lit('"}]}')), ".json"))
+
+
+@query("a7_read_query_corpus", "SELECT s_suppkey || '.md' AS file, '## ' || s_name || chr(10) || 'text' AS content FROM supplier")
+def _(g):
+    found = files.read_query_corpus(g.spark, one_file_each(g, F.concat(F.lit("## "), "s_name", F.lit("\ntext")), ".md"))
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
 
 
 @query("i1_dedupe_sources", v(f"{_TRUTH} SELECT source_data_identifier, source_code, row_id FROM (SELECT *, row_number() OVER (PARTITION BY source_data_identifier, source_code ORDER BY row_id) AS n FROM truth) WHERE n = 1"))
@@ -96,7 +136,7 @@ def _(g):
     return t.select("row_id", picks.request_text(t).alias("request"))
 
 
-@query("i3_extract_answers")
+@query("i3_extract_answers", "SELECT conv_id, turn, '{\"target_concept_id\": ' || turn || '}' AS answer FROM conversations")
 def _(g):
     c = g.read("conversations")
     wrapped = F.concat(F.coalesce("text", F.lit("")), F.lit(' {"target_concept_id": '), F.col("turn").cast("string"), F.lit("} "), F.col("role"))
@@ -207,7 +247,7 @@ def _(g):
 @query("i16_prefer_vocabulary", v("SELECT nr AS query_id, concept_id, CAST(CASE vocabulary_id WHEN 'BRAND' THEN 1 WHEN 'CAT' THEN 2 ELSE 3 END AS BIGINT) AS preference, row_number() OVER (PARTITION BY nr ORDER BY CASE vocabulary_id WHEN 'BRAND' THEN 1 WHEN 'CAT' THEN 2 ELSE 3 END, concept_id) AS rank FROM (SELECT DISTINCT nr, noun FROM parts) JOIN concept ON concept_name ILIKE '%' || noun || '%'"))
 def _(g):
     words = g.parts.select(F.col("nr").alias("query_id"), "noun").distinct()
-    found = g.concept.join(F.broadcast(words), F.ilike("concept_name", F.concat(F.lit("%"), "noun", F.lit("%")))).select("query_id", "concept_id", "vocabulary_id")
+    found = search._name_hits(g.concept.withColumn("text", F.col("concept_name")), words.withColumnRenamed("noun", "keyword")).select("query_id", "concept_id", "vocabulary_id")
     return picks.prefer_vocabulary(found, ["BRAND", "CAT"]).select("query_id", "concept_id", "preference", "rank")
 
 
