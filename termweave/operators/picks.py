@@ -200,7 +200,7 @@ def retrieval_metrics(ranked: DataFrame, truth: DataFrame, ks: tuple[int, ...] =
     first = ranked.join(truth.select("query_id", "target_id", "other_id"), "query_id").where(hit).groupBy("query_id").agg(F.min("rank").alias("rank"), F.min_by("similarity", "rank").alias("similarity"))
     rows = truth.join(first, "query_id", "left")
     at = [F.round(F.avg(F.coalesce((F.col("rank") <= k).cast("double"), F.lit(0.0))), 6).alias(f"acc_{k}") for k in ks]
-    return rows.groupBy(*by).agg(F.count("*").alias("n"), *at, F.round(F.avg(F.coalesce(1.0 / F.col("rank"), F.lit(0.0))), 6).alias("mrr"), F.round(F.avg("rank"), 6).alias("mean_rank"), F.round(F.avg("similarity"), 6).alias("mean_similarity"))
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), *at, F.round(F.avg(F.coalesce(1.0 / F.col("rank"), F.lit(0.0))), 6).alias("mrr"), F.round(F.avg("rank"), 6).alias("mean_rank"), F.round(F.avg("similarity"), 9).alias("mean_similarity"))
 
 
 def complementarity(found: DataFrame) -> DataFrame:

@@ -11,17 +11,22 @@ from ..plans.derive import with_vocabulary as v
 from . import query
 from .vocabulary import KEYWORDS_SQL, keywords
 
-_VECTORS = """, q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE vec_id % 50 = 0), idx AS (SELECT vec_id AS concept_id, label, CAST(embedding AS DOUBLE[]) AS y FROM embeddings WHERE vec_id % 50 <> 0),
-    sims AS (SELECT query_id, concept_id, label, floor(list_dot_product(x, y) / (sqrt(list_dot_product(x, x)) * sqrt(list_dot_product(y, y))) * 1e6 + 0.5) / 1e6 AS similarity FROM q, idx),
+_VECTORS = """, q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE vec_id % 20 = 0), idx AS (SELECT vec_id AS concept_id, label, CAST(embedding AS DOUBLE[]) AS y FROM embeddings),
+    sims AS (SELECT query_id, concept_id, label, floor(list_dot_product(x, y) / (sqrt(list_dot_product(x, x)) * sqrt(list_dot_product(y, y))) * 1e6 + 0.5) / 1e6 AS similarity FROM q, idx WHERE query_id <> concept_id),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, concept_id) AS rank FROM sims)"""
 _MAPS = """, vmaps AS (SELECT vec_id AS concept_id, 101 + label % (SELECT max(nr) FROM parts) AS target FROM embeddings WHERE vec_id % 7 <> 0)"""
 
 
 def vectors(g):
-    """The stated queries (ids divisible by 50) and the index (all others)."""
+    """The stated queries (ids divisible by 20) and the index (all rows)."""
     e = g.read("embeddings")
-    asked = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
-    return asked, e.where("vec_id % 50 <> 0").select(F.col("vec_id").alias("concept_id"), "embedding", "label")
+    asked = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return asked, e.select(F.col("vec_id").alias("concept_id"), "embedding", "label")
+
+
+def nearest(g, k=10, **more):
+    """The k nearest rows of each query, but for itself."""
+    return semantic.cosine_topk(*vectors(g), k=k, own=False, **more)
 
 
 def vector_maps(g):
@@ -48,12 +53,12 @@ def _(g):
 
 @query("g3_cosine_topk", v(f"{_VECTORS} SELECT query_id, rank, concept_id, similarity FROM ranked WHERE rank <= 10"))
 def _(g):
-    return semantic.cosine_topk(*vectors(g))
+    return nearest(g)
 
 
 @query("g3_cosine_filtered", v(f"{_VECTORS}, f AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, concept_id) AS r2 FROM sims WHERE label = 3) SELECT query_id, r2 AS rank, concept_id, similarity FROM f WHERE r2 <= 5"))
 def _(g):
-    return semantic.cosine_topk(*vectors(g), k=5, label=3)
+    return nearest(g, 5, label=3)
 
 
 _RESOLVED = f"""{_VECTORS}{_MAPS}, res AS (SELECT query_id, m.target AS concept_id, c.concept_name AS target_name, max(similarity) AS similarity, count(DISTINCT r.concept_id) AS n_sources,
@@ -63,7 +68,7 @@ _RESOLVED = f"""{_VECTORS}{_MAPS}, res AS (SELECT query_id, m.target AS concept_
 
 
 def resolved(g):
-    return semantic.resolve_via_nonstandard(semantic.cosine_topk(*vectors(g), k=20), g.concept, vector_maps(g))
+    return semantic.resolve_via_nonstandard(nearest(g, 20), g.concept, vector_maps(g))
 
 
 @query("g4_resolve_nonstandard", v(f"{_RESOLVED} SELECT query_id, rank, concept_id, target_name, similarity, n_sources, array_to_string(ids, ',') AS sources FROM resr WHERE rank <= 10"))
@@ -83,7 +88,9 @@ def _(g):
 
 @query("g6_approx_topk")
 def _(g):
-    return semantic.approx_topk(*vectors(g))
+    asked, index = vectors(g)
+    found = semantic.approx_topk(asked, index, 11).where("query_id <> concept_id").drop("rank")
+    return top(found, ["query_id"], [F.col("similarity").desc(), "concept_id"], 10)
 
 
 _NAMED = f"""{KEYWORDS_SQL}, m AS (SELECT query_id, keyword, concept_id, concept_name FROM keywords JOIN concept ON concept_name ILIKE '%' || keyword || '%')"""
@@ -92,6 +99,15 @@ _TOK = "list_distinct(list_filter(regexp_split_to_array(lower({0}), '\\s+'), lam
 _JAC = "len(list_intersect({a}, {b})) / CAST(len(list_distinct(list_concat({a}, {b}))) AS DOUBLE)".format(a=_TOK.format("keyword"), b=_TOK.format("concept_name"))
 
 
+def _gestalt(rows):
+    """CTEs whose last, gest, has the Ratcliff-Obershelp ratio of each row's keyword and name: the longest common piece, then those on both its sides."""
+    return f"""gm AS (SELECT DISTINCT query_id, concept_id, '' AS part, lower(keyword) AS a, lower(concept_name) AS b, 0 AS n FROM {rows}
+      UNION ALL SELECT query_id, concept_id, part || side, CASE side WHEN 'l' THEN substring(a, 1, i - 1) ELSE substring(a, i + size) END, CASE side WHEN 'l' THEN substring(b, 1, j - 1) ELSE substring(b, j + size) END, CASE side WHEN 'l' THEN size ELSE 0 END
+      FROM (SELECT *, strpos(b, substring(a, i, size)) AS j FROM (SELECT *, (best + 999) // 1000 AS size, (best + 999) // 1000 * 1000 - best AS i FROM (
+        SELECT query_id, concept_id, part, a, b, max(z * 1000 - y) AS best FROM (SELECT *, unnest(range(1, length(a) - y + 2)) AS z FROM (SELECT *, unnest(range(1, length(a) + 1)) AS y FROM gm WHERE a <> '' AND b <> '')) WHERE contains(b, substring(a, y, z)) GROUP BY ALL))), (VALUES ('l'), ('r')) t(side)),
+    gest AS (SELECT g.query_id, g.concept_id, CASE WHEN max(length(keyword) + length(concept_name)) = 0 THEN 1.0 ELSE 2.0 * sum(n) / max(length(keyword) + length(concept_name)) END AS gestalt FROM gm g JOIN (SELECT DISTINCT query_id, concept_id, keyword, concept_name FROM {rows}) USING (query_id, concept_id) GROUP BY ALL)"""
+
+
 def name_pairs(g):
     """Each keyword with every concept whose name holds it."""
     from ..operators.search import _name_hits
@@ -99,7 +115,7 @@ def name_pairs(g):
     return _name_hits(g.concept.select("concept_id", "concept_name", F.col("concept_name").alias("text")), keywords(g))
 
 
-@query("g7_gestalt_ratio")
+@query("g7_gestalt_ratio", v(f", {_NAMED}, {_gestalt('m')} SELECT query_id, concept_id, round(gestalt, 6) AS ratio FROM gest"))
 def _(g):
     return name_pairs(g).select("query_id", "concept_id", F.round(tx.gestalt_ratio("keyword", "concept_name"), 6).alias("ratio"))
 
@@ -115,18 +131,24 @@ def _(g):
 
 
 _HYBRID = f"0.4 * {_LEV} + 0.4 * {_JAC} + 0.2 / (1 + length(concept_name) / 100.0)"
+_HYBRID_G = f"0.4 * gestalt + 0.4 * {_JAC} + 0.2 / (1 + length(concept_name) / 100.0)"
 
 
-@query("g10_hybrid_score", v(f", {_NAMED} SELECT query_id, concept_id, round({_HYBRID}, 6) AS score FROM m"))
+@query("g10_hybrid_score", v(f", {_NAMED}, {_gestalt('m')} SELECT query_id, concept_id, round({_HYBRID_G}, 6) AS score FROM m JOIN gest USING (query_id, concept_id)"))
 def _(g):
     return name_pairs(g).select("query_id", "concept_id", F.round(tx.hybrid_score(F.col("keyword"), F.col("concept_name")), 6).alias("score"))
 
 
+@query("g10_hybrid_levenshtein", v(f", {_NAMED} SELECT query_id, concept_id, round({_HYBRID}, 6) AS score FROM m"))
+def _(g):
+    return name_pairs(g).select("query_id", "concept_id", F.round(tx.hybrid_score(F.col("keyword"), F.col("concept_name"), tx.levenshtein_ratio), 6).alias("score"))
+
+
 @query("g11_rerank_cosine", v(f"""{_VECTORS}, m AS (SELECT r.query_id, a.p_name AS keyword, r.concept_id, b.p_name AS concept_name, similarity FROM ranked r JOIN part a ON a.p_partkey = r.query_id JOIN part b ON b.p_partkey = r.concept_id WHERE rank <= 50),
     s AS (SELECT *, round(0.4 * similarity + 0.3 * ({_LEV}) + 0.3 * ({_JAC}), 6) AS score FROM m) SELECT query_id, concept_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, concept_id) AS n FROM s) WHERE n <= 10"""))
 def _(g):
     names = g.read("part").select("p_partkey", "p_name")
-    hits = semantic.cosine_topk(*vectors(g), k=50).drop("rank").join(names.select(F.col("p_partkey").alias("query_id"), F.col("p_name").alias("keyword")), "query_id").join(names.select(F.col("p_partkey").alias("concept_id"), F.col("p_name").alias("concept_name")), "concept_id")
+    hits = nearest(g, 50).drop("rank").join(names.select(F.col("p_partkey").alias("query_id"), F.col("p_name").alias("keyword")), "query_id").join(names.select(F.col("p_partkey").alias("concept_id"), F.col("p_name").alias("concept_name")), "concept_id")
     return semantic.rerank_cosine(hits).select("query_id", "concept_id", "score")
 
 
@@ -146,13 +168,20 @@ def terms(g):
     return keywords(g).union(g.parts.select(300 + F.col("item"), F.concat_ws(", ", "noun", "adj")).distinct())
 
 
-@query("g12_ground_terms", v(f""", {_ASKED}{_TIERS} s AS (SELECT *, round({_HYBRID}, 6) AS score FROM cand)
-    SELECT query_id, rank, concept_id, concept_name, CAST(match_tier AS BIGINT) AS match_tier, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, concept_id) AS rank FROM s) WHERE rank <= 5"""))
+_BEST = "SELECT query_id, rank, concept_id, concept_name, CAST(match_tier AS BIGINT) AS match_tier, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, concept_id) AS rank FROM s) WHERE rank <= 5"
+
+
+@query("g12_ground_terms", v(f", {_ASKED}{_TIERS} {_gestalt('cand')}, s AS (SELECT *, round({_HYBRID_G}, 6) AS score FROM cand JOIN gest USING (query_id, concept_id)) {_BEST}"))
 def _(g):
     return semantic.ground_terms(g.concept, g.synonym, terms(g))
 
 
-@query("g12_ground_under_parent", v(f""", {_ASKED}{_TIERS} s AS (SELECT c.*, round({_HYBRID}, 6) AS score, CASE WHEN concept_id = 101 THEN 0 ELSE (SELECT min(min_levels_of_separation) FROM closure WHERE ancestor_concept_id = 101 AND descendant_concept_id = concept_id AND min_levels_of_separation > 0) END AS separation FROM cand c),
+@query("g12_ground_levenshtein", v(f", {_ASKED}{_TIERS} s AS (SELECT *, round({_HYBRID}, 6) AS score FROM cand) {_BEST}"))
+def _(g):
+    return semantic.ground_terms(g.concept, g.synonym, terms(g), ratio=tx.levenshtein_ratio)
+
+
+@query("g12_ground_under_parent", v(f""", {_ASKED}{_TIERS} {_gestalt('cand')}, s AS (SELECT c.*, round({_HYBRID_G}, 6) AS score, CASE WHEN concept_id = 101 THEN 0 ELSE (SELECT min(min_levels_of_separation) FROM closure WHERE ancestor_concept_id = 101 AND descendant_concept_id = concept_id AND min_levels_of_separation > 0) END AS separation FROM cand c JOIN gest USING (query_id, concept_id)),
     k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY match_tier, place, concept_id) AS turn FROM s WHERE separation IS NOT NULL)
     SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY separation, score DESC, concept_id) AS rank, concept_id, concept_name, CAST(match_tier AS BIGINT) AS match_tier, score, CAST(separation AS BIGINT) AS separation FROM k WHERE turn <= 5"""))
 def _(g):
@@ -172,7 +201,7 @@ _LISTS = f"""{_VECTORS}, lists AS (SELECT query_id, 'a' AS source, concept_id, r
 
 def lists(g):
     """The nearest by cosine, and the nearest 40 by closeness of ids."""
-    found = semantic.cosine_topk(*vectors(g), k=40)
+    found = nearest(g, 40)
     by_id = top(found.drop("rank"), ["query_id"], [F.abs(F.col("concept_id") - F.col("query_id")), "concept_id"], None)
     one = found.where("rank <= 20").select("query_id", F.lit("a").alias("source"), "concept_id", "rank")
     return one.union(by_id.select("query_id", F.lit("b"), "concept_id", "rank"))
@@ -193,14 +222,14 @@ _TRUTH = f"""{_LISTS}, truth AS (SELECT query_id, query_id + 1 AS target_id, que
 
 
 def truth(g):
-    e = g.read("embeddings").where("vec_id % 50 = 0")
+    e = g.read("embeddings").where("vec_id % 20 = 0")
     return e.select(F.col("vec_id").alias("query_id"), (F.col("vec_id") + 1).alias("target_id"), (F.col("vec_id") + 2).alias("other_id"), F.col("label").cast("long").alias("tier"))
 
 
 @query("i13_retrieval_metrics", v(f"""{_TRUTH} SELECT CAST(tier AS BIGINT) AS tier, count(*) AS n, round(avg(CASE WHEN rank <= 1 THEN 1.0 ELSE 0 END), 6) AS acc_1, round(avg(CASE WHEN rank <= 5 THEN 1.0 ELSE 0 END), 6) AS acc_5, round(avg(CASE WHEN rank <= 10 THEN 1.0 ELSE 0 END), 6) AS acc_10,
-    round(avg(coalesce(1.0 / CAST(rank AS DOUBLE), 0)), 6) AS mrr, round(avg(rank), 6) AS mean_rank, round(avg(similarity), 6) AS mean_similarity FROM truth LEFT JOIN hit USING (query_id) GROUP BY 1"""))
+    round(avg(coalesce(1.0 / CAST(rank AS DOUBLE), 0)), 6) AS mrr, round(avg(rank), 6) AS mean_rank, round(avg(similarity), 9) AS mean_similarity FROM truth LEFT JOIN hit USING (query_id) GROUP BY 1"""))
 def _(g):
-    return picks.retrieval_metrics(semantic.cosine_topk(*vectors(g), k=200), truth(g), by=("tier",))
+    return picks.retrieval_metrics(nearest(g, 200), truth(g), by=("tier",))
 
 
 @query("i14_complementarity", v(f"{_LISTS}, e AS (SELECT DISTINCT source AS method, concept_id AS query_id FROM lists), n AS (SELECT *, count(*) OVER (PARTITION BY query_id) AS k FROM e) SELECT method, count(*) AS n_found, count(*) FILTER (k = 1) AS n_only, (SELECT count(DISTINCT query_id) FROM e) AS n_union FROM n GROUP BY method"))
