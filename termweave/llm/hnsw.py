@@ -6,12 +6,19 @@ shard builds one hierarchical navigable small-world graph, kept as flat arrays
 of neighbours, one row a shard. A stated query set is dealt to every shard in
 blocks; each (shard, block) row is searched on its own, and the nearest of all
 shards are merged by a window. Every vector is indexed.
+
+A graph is built by insertion: a new node is searched for in the graph so far, and
+linked to well-spread ones of the nodes found. Nodes are inserted, and queries are
+answered, a block at a time, so that each step of their searches is one operation
+on arrays; nodes of one block are also candidates for each other. Nodes are
+numbered by falling level, so a level's nodes are the first ones.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,108 +27,163 @@ from pyspark.sql import functions as F
 
 from .tables import written
 
-#: Points of a shard, about; its graph is built and searched in one task.
-SHARD_POINTS = 4096
-#: Queries of a block.
-BLOCK_QUERIES = 1024
+#: Points of a shard, about; its graph is built in one task. Work a point grows with the logarithm of this.
+SHARD_POINTS = 16_384
+#: Queries that meet a shard in one row.
+BLOCK_QUERIES = 8192
 #: Neighbours a node keeps (twice as many on the lowest level), and widths of the searches that build and that answer.
-M, EF_BUILD, EF_SEARCH = 16, 96, 128
+M, EF_BUILD, EF_SEARCH = 16, 128, 256
+#: Nodes or queries searched together, at most, and nodes that each of them expands in one step.
+TOGETHER, AHEAD = 512, 4
 
 
-def _choose(near: np.ndarray, distance: np.ndarray, between: np.ndarray, m: int) -> list[int]:
-    """The neighbour heuristic: nearest first, each kept if nearer to the node than to any kept one; then the nearest of the rest."""
-    kept: list[int] = []
-    rest: list[int] = []
-    for i in range(len(near)):
-        if len(kept) == m:
-            break
-        (kept if all(between[i, k] > distance[i] for k in kept) else rest).append(i)
-    return (kept + rest[: m - len(kept)])[:m]
+@dataclass
+class Graph:
+    """vectors of the nodes, links: neighbours of each level's nodes, lowest level first; -1 is none."""
 
+    vectors: np.ndarray
+    links: list[np.ndarray]
 
-def build(vectors: np.ndarray, seed: int = 11) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
-    """levels of the nodes, neighbours (level, node, slot; -1 is none), entry node, and node order of insertion.
+    def __post_init__(self) -> None:
+        self.small = self.vectors.astype(np.float32)
+        self.square = np.einsum("ij,ij->i", self.small, self.small)
 
-    Nodes are inserted one after another. As a shard is small, the nodes near a
-    new one are taken exactly, among those inserted before it, from blocks of
-    distances, which is what a search of unbounded width would find.
-    """
-    n = len(vectors)
-    rng = np.random.default_rng(seed)
-    levels = np.minimum((-np.log(1 - rng.random(n)) / np.log(M)).astype(np.int64), 6)
-    top = int(levels.max()) if n else 0
-    links = np.full((top + 1, n, 2 * M), -1, np.int32)
-    square = (vectors * vectors).sum(1)
-    for level in range(top, -1, -1):
-        nodes = np.flatnonzero(levels >= level)
-        room = 2 * M if level == 0 else M
-        held: list[list[int]] = [[] for _ in range(len(nodes))]
-        for begin in range(0, len(nodes), 512):
-            block = nodes[begin : begin + 512]
-            d = square[block, None] + square[nodes[: begin + len(block)]] - 2 * vectors[block] @ vectors[nodes[: begin + len(block)]].T
-            for row in range(len(block)):
-                own = begin + row
-                if not own:
-                    continue
-                earlier = d[row, :own]
-                take = min(EF_BUILD, own)
-                near = np.argpartition(earlier, take - 1)[:take]
-                near = near[np.argsort(earlier[near], kind="stable")]
-                points = vectors[nodes[near]]
-                between = square[nodes[near], None] + square[nodes[near]] - 2 * points @ points.T
-                for i in _choose(near, earlier[near], between, M):
-                    other = int(near[i])
-                    held[own].append(other)
-                    held[other].append(own)
-                    if len(held[other]) > room:
-                        mine = np.array(held[other])
-                        points = vectors[nodes[mine]]
-                        far = ((points - vectors[nodes[other]]) ** 2).sum(1)
-                        order = np.argsort(far, kind="stable")
-                        mine, points, far = mine[order], points[order], far[order]
-                        between = ((points[:, None] - points[None]) ** 2).sum(2) if len(mine) <= 2 * M + 1 else None
-                        held[other] = [int(mine[k]) for k in _choose(mine, far, between, room)]
-        for own, others in enumerate(held):
-            links[level, nodes[own], : len(others)] = nodes[others] if others else []
-    entry = int(np.flatnonzero(levels == top)[0]) if n else -1
-    return levels, links, entry, square
-
-
-def search(query: np.ndarray, vectors: np.ndarray, links: np.ndarray, entry: int, ef: int) -> list[tuple[float, int]]:
-    """(squared distance, node) of the nodes found, nearest first."""
-    at, best = entry, float(((vectors[entry] - query) ** 2).sum())
-    for level in range(len(links) - 1, 0, -1):
-        while True:
-            around = links[level, at]
-            around = around[around >= 0]
-            if not len(around):
-                break
-            d = ((vectors[around] - query) ** 2).sum(1)
-            i = int(d.argmin())
-            if d[i] >= best:
-                break
-            at, best = int(around[i]), float(d[i])
-    seen = np.zeros(len(vectors), bool)
-    seen[at] = True
-    ahead, found = [(best, at)], [(-best, at)]
-    while ahead:
-        d, node = heapq.heappop(ahead)
-        if d > -found[0][0] and len(found) >= ef:
-            break
-        around = links[0, node]
-        around = around[around >= 0]
-        around = around[~seen[around]]
-        if not len(around):
-            continue
-        seen[around] = True
-        far = ((vectors[around] - query) ** 2).sum(1)
-        for x, other in zip(far.tolist(), around.tolist()):
-            if len(found) < ef or x < -found[0][0]:
-                heapq.heappush(ahead, (x, other))
-                heapq.heappush(found, (-x, other))
-                if len(found) > ef:
-                    heapq.heappop(found)
-    return sorted((-d, node) for d, node in found)
+    def distances(self, queries: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """Squared distance of each query to its own row of nodes, about; for the order of a search."""
+        return self.square[nodes] - 2 * np.einsum("qd,qkd->qk", queries, self.small[nodes]) + np.einsum("qd,qd->q", queries, queries)[:, None]
+
+    def beam(self, level: int, queries: np.ndarray, entries: np.ndarray, ef: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ef nearest nodes found for each query on one level, nearest first, and their distances; -1 and infinity fill up."""
+        links, count = self.links[level], len(queries)
+        ids, far = np.full((count, ef), -1, np.int64), np.full((count, ef), np.inf, np.float32)
+        ids[:, 0], far[:, 0] = entries, self.distances(queries, entries[:, None])[:, 0]
+        todo = np.zeros((count, ef), bool)
+        todo[:, 0] = True
+        seen = np.zeros((count, len(links)), bool)
+        seen[np.arange(count), entries] = True
+        live = np.arange(count)
+        while len(live):
+            # the nearest few that were not expanded yet; lists are in order, so these are the first ones
+            place = np.cumsum(todo[live], 1)
+            turn = todo[live] & (place <= min(AHEAD, ef))
+            nodes = np.full((len(live), min(AHEAD, ef)), -1, np.int64)
+            row, column = np.nonzero(turn)
+            nodes[row, place[row, column] - 1] = ids[live[row], column]
+            todo[live] &= ~turn
+            near = np.where(nodes[:, :, None] >= 0, links[nodes], -1).reshape(len(live), -1).astype(np.int64)
+            near.sort(1)
+            fresh = near >= 0
+            fresh[:, 1:] &= near[:, 1:] != near[:, :-1]
+            fresh &= ~seen[live[:, None], near]
+            row, column = np.nonzero(fresh)
+            seen[live[row], near[row, column]] = True
+            d = np.where(fresh, self.distances(queries[live], near), np.inf).astype(np.float32)
+            both, far_both = np.concatenate((ids[live], near), 1), np.concatenate((far[live], d), 1)
+            open_both = np.concatenate((todo[live], fresh), 1)
+            order = np.argsort(far_both, axis=1, kind="stable")[:, :ef]
+            ids[live], far[live] = np.take_along_axis(both, order, 1), np.take_along_axis(far_both, order, 1)
+            todo[live] = np.take_along_axis(open_both, order, 1) & np.isfinite(far[live])
+            live = live[todo[live].any(1)]
+        ids[~np.isfinite(far)] = -1
+        return ids, far
+
+    def search(self, queries: np.ndarray, ef: int) -> np.ndarray:
+        """The nodes found near each query."""
+        queries, out = queries.astype(np.float32), []
+        step = together(len(self.vectors))
+        for at in range(0, len(queries), step):
+            part = queries[at : at + step]
+            entries = np.zeros(len(part), np.int64)
+            for level in range(len(self.links) - 1, 0, -1):
+                entries = self.beam(level, part, entries, 1)[0][:, 0]
+            out.append(self.beam(0, part, entries, ef)[0])
+        return np.concatenate(out) if out else np.zeros((0, ef), np.int64)
+
+    def choose(self, near: np.ndarray, far: np.ndarray, m: int) -> np.ndarray:
+        """m of each row's candidates (in order): nearest first, each if nearer to the node than to any taken; then the nearest of the rest."""
+        points = self.small[near]
+        square = self.square[near]
+        between = square[:, :, None] + square[:, None, :] - 2 * points @ points.transpose(0, 2, 1)
+        real = np.isfinite(far) & (near >= 0)
+        taken = np.zeros(near.shape, bool)
+        for i in range(near.shape[1]):
+            close = (taken[:, :i] & (between[:, i, :i] <= far[:, i, None])).any(1)
+            taken[:, i] = real[:, i] & ~close & (taken[:, :i].sum(1) < m)
+        order = np.argsort(np.where(taken, 0, np.where(real, 1, 2)), axis=1, kind="stable")[:, :m]
+        chosen = np.where(np.take_along_axis(real, order, 1), np.take_along_axis(near, order, 1), -1)
+        return np.pad(chosen, ((0, 0), (0, m - chosen.shape[1])), constant_values=-1)
+
+    def link(self, level: int, nodes: np.ndarray, near: np.ndarray, far: np.ndarray) -> None:
+        """Links the nodes to chosen candidates, and these back to them."""
+        links = self.links[level]
+        room = links.shape[1]
+        chosen = self.choose(near, far, M)
+        links[nodes, : chosen.shape[1]] = chosen
+        row, column = np.nonzero(chosen >= 0)
+        other, new = chosen[row, column], nodes[row]
+        order = np.argsort(other, kind="stable")
+        other, new = other[order], new[order]
+        ends = np.append(np.flatnonzero(np.append(True, other[1:] != other[:-1])), len(other)) if len(other) else np.zeros(1, np.int64)
+        most = int(np.diff(ends).max()) if len(other) else 0
+        added = np.full((len(ends) - 1, most), -1, np.int64)
+        group = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+        added[group, np.arange(len(other)) - ends[group]] = new
+        hosts = other[ends[:-1]] if len(other) else other
+        for at in range(0, len(hosts), TOGETHER):
+            host = hosts[at : at + TOGETHER]
+            lists = np.concatenate((links[host].astype(np.int64), added[at : at + TOGETHER]), 1)
+            d = np.where(lists >= 0, self.distances(self.small[host], lists), np.inf)
+            order = np.argsort(d, axis=1, kind="stable")[:, : 2 * room]
+            lists, d = np.take_along_axis(lists, order, 1), np.take_along_axis(d, order, 1)
+            full = np.isfinite(d).sum(1) > room
+            links[host[~full]] = lists[~full, :room]
+            if full.any():
+                links[host[full]] = self.choose(lists[full], d[full], room)
+
+
+def together(points: int) -> int:
+    """Searches of one block, so that what they have seen stays in some megabytes."""
+    return max(8, min(TOGETHER, (1 << 24) // max(points, 1)))
+
+
+def levels_of(n: int, seed: int = 11) -> np.ndarray:
+    """Levels of n nodes, falling."""
+    return np.sort(np.minimum((-np.log(1 - np.random.default_rng(seed).random(n)) / np.log(M)).astype(np.int64), 6))[::-1]
+
+
+def build(vectors: np.ndarray) -> Graph:
+    """The graph of vectors (one at least), inserted in their order; the first ones have the higher levels."""
+    n, levels = len(vectors), levels_of(len(vectors))
+    sizes = [int((levels >= level).sum()) for level in range(int(levels[0]) + 1)]
+    graph = Graph(vectors, [np.full((size, 2 * M if level == 0 else M), -1, np.int32) for level, size in enumerate(sizes)])
+    begin = 0
+    while begin < n:
+        end = min(n, begin + min(together(n), max(begin, 64)))
+        block = np.arange(begin, end)
+        queries = graph.small[block]
+        inner = graph.square[block][:, None] + graph.square[block] - 2 * queries @ queries.T
+        inner[np.arange(len(block))[:, None] <= np.arange(len(block))] = np.inf  # those before it in the block
+        entries = np.zeros(len(block), np.int64)
+        for level in range(len(sizes) - 1, -1, -1):
+            mine = block < sizes[level]
+            near, far = np.zeros((len(block), 0), np.int64), np.zeros((len(block), 0), np.float32)
+            if begin:
+                wide = graph.beam(level, queries[mine], entries[mine], EF_BUILD)
+                if not mine.all():
+                    entries[~mine] = graph.beam(level, queries[~mine], entries[~mine], 1)[0][:, 0]
+                entries[mine] = wide[0][:, 0]
+                near, far = wide
+            members = np.flatnonzero(mine)
+            if not len(members):
+                continue
+            if not begin:
+                near, far = near[mine], far[mine]
+            far = np.concatenate((far, inner[np.ix_(mine, mine)]), 1)
+            near = np.concatenate((near, np.broadcast_to(block[members], (len(members), len(members)))), 1)
+            order = np.argsort(far, axis=1, kind="stable")[:, :EF_BUILD]
+            graph.link(level, block[members], np.take_along_axis(near, order, 1), np.take_along_axis(far, order, 1))
+        begin = end
+    return graph
 
 
 def _usable(table: DataFrame, vector: str, key: str) -> DataFrame:
@@ -150,7 +212,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, vector: str = "em
     points = written(points)
     shards = max(1, -(-points.count() // SHARD_POINTS))
     dealt = points.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)))
-    index = written(dealt.groupBy("dims", "shard").applyInArrow(_build_table, "dims int, shard long, points int, vectors binary, links binary, levels int, entry int, ids array<array<bigint>>"))
+    index = written(dealt.groupBy("dims", "shard").applyInArrow(_build_table, "dims int, shard long, points int, vectors binary, links binary, sizes array<int>, ids array<array<bigint>>"))
     asked = _usable(queries, vector, key).select("vec_id", "vector", F.size("vector").alias("dims")).dropDuplicates(["vec_id"])
     blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
     packed = (
@@ -163,22 +225,27 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, vector: str = "em
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                points, raw, links, depth, entry, ids, asked = (batch.column(i)[row] for i in range(7))
-                vectors = np.frombuffer(raw.as_buffer(), np.float64).reshape(points.as_py(), -1)
-                graph = np.frombuffer(links.as_buffer(), np.int32).reshape(depth.as_py(), points.as_py(), -1)
-                members, out = ids.values, []
-                for q in asked.values:
-                    one, query = q["vec_id"].as_py(), q["vector"].values.to_numpy()
-                    got = []
-                    for _, node in search(query, vectors, graph, entry.as_py(), max(ef, k + 1)):
-                        distance = float(np.sqrt(((vectors[node] - query) ** 2).sum()))
-                        got += [(distance, i, one) for i in members[node].as_py() if i != one]
+                n, raw, links, sizes, ids, asked = (batch.column(i)[row] for i in range(6))
+                n = n.as_py()
+                graph = Graph(np.frombuffer(raw.as_buffer(), np.float64).reshape(n, -1), [])
+                flat, at = np.frombuffer(links.as_buffer(), np.int32), 0
+                for level, size in enumerate(sizes.as_py()):
+                    width = 2 * M if level == 0 else M
+                    graph.links.append(flat[at : at + size * width].reshape(size, width))
+                    at += size * width
+                names = asked.values.field("vec_id").to_numpy()
+                wanted = asked.values.field("vector").flatten().to_numpy().reshape(len(names), -1)
+                members, out = ids.as_py(), []
+                for one, query, nodes in zip(names.tolist(), wanted, graph.search(wanted, max(ef, k + 1))):
+                    nodes = nodes[nodes >= 0]
+                    distance = np.sqrt(((graph.vectors[nodes] - query) ** 2).sum(1))
+                    got = [(d, i, one) for d, node in zip(distance.tolist(), nodes.tolist()) for i in members[node] if i != one]
                     out += heapq.nsmallest(k, got)
                 if out:
                     score, vec, query_id = zip(*out)
                     yield pa.RecordBatch.from_arrays([pa.array(query_id, pa.int64()), pa.array(vec, pa.int64()), pa.array(score, pa.float64())], ["query_id", "vec_id", "score"])
 
-    pairs = index.join(packed, ["dims", "shard"]).select("points", "vectors", "links", "levels", "entry", "ids", "asked").repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1))
+    pairs = index.join(packed, ["dims", "shard"]).select("points", "vectors", "links", "sizes", "ids", "asked").repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1))
     found = pairs.mapInArrow(answer, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
@@ -186,14 +253,15 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, vector: str = "em
 
 def _build_table(group: pa.Table) -> pa.Table:
     group = group.combine_chunks()
-    vectors = np.array(group.column("vector").to_pylist(), np.float64)
+    vectors = group.column("vector").combine_chunks().flatten().to_numpy().reshape(group.num_rows, -1)
     ids = group.column("ids").to_pylist()
-    order = sorted(range(len(ids)), key=lambda i: ids[i][0])
+    order = np.random.default_rng(13).permutation(sorted(range(len(ids)), key=lambda i: ids[i][0]))
     vectors, ids = vectors[order], [ids[i] for i in order]
-    _, links, entry, _ = build(vectors)
+    graph = build(vectors)
+    links = b"".join(x.tobytes() for x in graph.links)
     return pa.table(
         {
             "dims": pa.array([vectors.shape[1]], pa.int32()), "shard": group.column("shard").slice(0, 1), "points": pa.array([len(ids)], pa.int32()), "vectors": pa.array([vectors.tobytes()], pa.binary()),
-            "links": pa.array([links.tobytes()], pa.binary()), "levels": pa.array([len(links)], pa.int32()), "entry": pa.array([entry], pa.int32()), "ids": pa.array([ids], pa.list_(pa.list_(pa.int64()))),
+            "links": pa.array([links], pa.binary()), "sizes": pa.array([[len(x) for x in graph.links]], pa.list_(pa.int32())), "ids": pa.array([ids], pa.list_(pa.list_(pa.int64()))),
         }
     )
