@@ -24,7 +24,7 @@ from .textops import SLICE_BYTES, slices
 #: Fixed values of byte-level BPE: the pattern that cuts texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Distinct words and fitting pairs of tokens that a Python worker remembers; beyond, it starts afresh.
-WORD_CACHE, PAIR_CACHE = 400_000, 2_000_000
+WORD_CACHE, PAIR_CACHE = 250_000, 500_000
 
 
 def byte_symbols() -> dict[str, int]:
