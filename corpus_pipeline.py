@@ -21,8 +21,8 @@ from termweave.llm.tables import clear, mark, read, written
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the classifier, fitted on these documents' labels, takes for good: a score of 0.5 or more, empty texts by the constant alone."""
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
-    packed = docs.select("text", F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    return quality.score(packed, model).where("predicted = 1").select("row.*")
+    packed = docs.select("text", F.struct(*(docs[c] for c in docs.columns if c != "text")).alias("row"))
+    return quality.score(packed, model).where("predicted = 1").select(*("text" if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
