@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from .textops import SEPARATOR, Words, slices
+from .textops import SEPARATOR, SLICE_BYTES, Words, slices
 
 #: Labelled rows that a model is fitted on, half of each label: those of least hash of the id.
 TRAIN_ROWS = 4000
@@ -32,6 +32,8 @@ DIMENSIONS = 8
 STEPS, BATCH = 1500, 8
 RATE = 0.5
 NGRAMS = (3, 4)
+#: Bytes of text whose features are made at once: a byte takes about a hundred on the way.
+SLICE = SLICE_BYTES // 4
 
 
 @dataclass(frozen=True)
@@ -74,7 +76,7 @@ BUCKETS = (2 + len(NGRAMS)) << BUCKET_BITS
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """label, and each text's buckets with their share of its features."""
-    for part, data, offsets in slices(batches, "text"):
+    for part, data, offsets in slices(batches, "text", SLICE):
         kinds = list(_features(data, offsets))
         bucket, at = np.concatenate([k[0] for k in kinds]), np.concatenate([k[1] for k in kinds])
         text = np.searchsorted(offsets, at, "right") - 1
@@ -153,7 +155,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         m = shared.value
         for batch in batches:
             renamed = pa.RecordBatch.from_arrays(batch.columns, [str(i) for i in range(batch.num_columns)])
-            for part, data, offsets in slices(iter([renamed]), str(at)):
+            for part, data, offsets in slices(iter([renamed]), str(at), SLICE):
                 total, count = np.zeros(part.num_rows), np.zeros(part.num_rows)
                 for bucket, place in _features(data, offsets):
                     summed = np.concatenate(([0.0], np.cumsum(m.bucket_score[bucket], dtype=np.float64)))
