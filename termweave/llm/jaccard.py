@@ -3,7 +3,7 @@
 A document is the set of its distinct n-word shingles, as 64-bit hashes. Equal
 sets are one node. Two sets of similarity s or more share one of the first
 `n - ceil(s n) + 1` members under any one order, so each set is posted under that
-prefix, shingles that many documents hold coming last. A tile is one posted
+prefix, common shingles coming last and the commonest at the very end. A tile is one posted
 shingle and one size band: the sets of the band, and those of the band below,
 as only these can be similar enough.
 
@@ -29,8 +29,10 @@ from .components import components
 from .tables import written
 from .textops import Words, mix, run_hashes, signed, slices
 
-#: A shingle held by this share of all documents is common; there are at most (mean set size / share) of them.
-COMMON_SHARE = 0.005
+#: Common shingles, at most; they are broadcast, with 12 bytes each.
+COMMON_SHINGLES = 1 << 20
+#: Members of sets that are counted at once in a task.
+COUNTED = 1 << 22
 #: Rows of a tile that are compared at once; larger tiles are dealt in pairs of blocks.
 TILE_ROWS = 2000
 #: Shingles of a cluster that are compared in one task; larger clusters are dealt in pairs of blocks.
@@ -39,7 +41,7 @@ CLUSTER_SHINGLES = 2_000_000
 BROADCAST_IDS = 1_000_000
 
 
-def _sets(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, shingle: int) -> list[np.ndarray]:
+def _sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     words = Words(data, offsets, lower=True)
     hashes, _, text = words.grams(shingle)
@@ -85,21 +87,51 @@ def _unpack(bits: bytes) -> tuple[int, int]:
     return len(bits) * 8, int.from_bytes(bits, "little")
 
 
-def _common(docs: DataFrame, shingle: int) -> np.ndarray:
-    """Shingles that about COMMON_SHARE of all documents hold; only the order of prefixes hangs on them, never the links."""
-    total = docs.count()
+def _common(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The common shingles, in order of hash, and the place of each by falling rarity.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = [s for part, data, offsets in slices(iter([batch]), "text") for s in _sets(part, data, offsets, shingle)]
-            if held:
-                value, times = np.unique(np.concatenate(held), return_counts=True)
-                often = times >= max(3, COMMON_SHARE / 2 * batch.num_rows)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(value[often])), pa.array(times[often].astype(np.int64))], ["shingle", "times"])
+    A shingle is common if it is 1 of COMMON_SHINGLES of all members of all sets or more, so
+    there are COMMON_SHINGLES at most. Those seen fewer than three times among COUNTED
+    members of a task are not counted there; only the order of prefixes hangs on this,
+    never the links.
+    """
 
-    often = docs.select("text").mapInArrow(count, "shingle long, times long").groupBy("shingle").agg(F.sum("times").alias("times"))
-    rows = often.where(F.col("times") >= max(3, COMMON_SHARE * total)).select("shingle").toArrow()
-    return np.sort(rows.column(0).to_numpy().view(np.uint64))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted() -> pa.RecordBatch:
+            value, times = np.unique(np.concatenate(held), return_counts=True)
+            often = times >= 3
+            return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(signed(value[often]))]), pa.array(np.append(times.sum(), times[often]).astype(np.int64))], ["shingle", "times"])
+
+        held, size = [], 0
+        for _, data, offsets in slices(batches, "text"):
+            sets = _sets(data, offsets, shingle)
+            held += sets
+            size += sum(len(s) for s in sets)
+            if size >= COUNTED:
+                yield counted()
+                held, size = [], 0
+        if held:
+            yield counted()
+
+    # The row without a shingle holds the number of all members.
+    counts = written(docs.select("text").mapInArrow(count, "shingle long, times long").groupBy("shingle").agg(F.sum("times").alias("times")).where("times >= 3 or shingle is null"))
+    total = counts.where("shingle is null").agg(F.sum("times")).first()[0] or 0
+    rows = counts.where("shingle is not null").where(F.col("times") >= max(3, total / COMMON_SHINGLES)).toArrow()
+    hashes, times = rows.column(0).to_numpy().view(np.uint64), rows.column(1).to_numpy()
+    order = np.argsort(hashes)
+    hashes, times = hashes[order], times[order]
+    places = np.empty(len(hashes), np.int32)
+    places[np.lexsort((hashes, times))] = np.arange(len(hashes), dtype=np.int32)
+    return hashes, places
+
+
+def _rare_first(members: np.ndarray, often: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A set's members in the order that all sets share: those not common by hash, then the common ones by falling rarity."""
+    if not len(often) or not len(members):
+        return members
+    at = np.minimum(np.searchsorted(often, members), len(often) - 1)
+    late = often[at] == members
+    return np.concatenate((members[~late], members[late][np.argsort(places[at[late]])]))
 
 
 def _signatures(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -107,19 +139,13 @@ def _signatures(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     common = docs.sparkSession.sparkContext.broadcast(_common(docs, shingle))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = common.value
+        often, places = common.value
         for part, data, offsets in slices(batches, "text"):
-            sets = _sets(part, data, offsets, shingle)
+            sets = _sets(data, offsets, shingle)
             prefixes, bits, keys = [], [], []
             for s in sets:
-                if len(often) and len(s):
-                    at = np.minimum(np.searchsorted(often, s), len(often) - 1)
-                    late = often[at] == s
-                    ordered = np.concatenate((s[~late], s[late]))
-                else:
-                    ordered = s
                 least = (percent * len(s) + 99) // 100
-                prefixes.append(ordered[: len(s) - least + 1].view(np.int64) if len(s) else ordered.view(np.int64))
+                prefixes.append(_rare_first(s, often, places)[: len(s) - least + 1 if len(s) else 0].view(np.int64))
                 bits.append(_bitmap(s))
                 keys.append((mix(s).sum(dtype=np.uint64), mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)))
             key = np.array(keys, np.uint64).reshape(-1, 2)
@@ -143,7 +169,7 @@ def _linked(clusters: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array([s.tobytes() for s in _sets(part, data, offsets, shingle)], pa.binary())], ["rep", "cluster", "blocks", "block", "members"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array([s.tobytes() for s in _sets(data, offsets, shingle)], pa.binary())], ["rep", "cluster", "blocks", "block", "members"])
 
     sets = texts.mapInArrow(gather, "rep long, cluster long, blocks long, block long, members binary")
     spread = sets.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "block", "members")
