@@ -3,7 +3,6 @@ import os
 import random
 import re
 import textwrap
-from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -273,35 +272,6 @@ def test_jaccard_odd_rows(spark, monkeypatch):
     assert jaccard.similar_components(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("common", [150, 1000])
-def test_jaccard_with_passages_that_many_share(spark, monkeypatch, common):
-    monkeypatch.setattr(jaccard, "COMMON_SHINGLES", common)
-    monkeypatch.setattr(jaccard, "COUNTED", 60)
-    monkeypatch.setattr(jaccard, "TILE_ROWS", 3)
-    rng = random.Random(common)
-    passages = [" ".join(f"p{k}x{i}" for i in range(30)) for k in range(4)]
-    rows = [(i, " ".join([*rng.sample(passages, rng.randrange(1, 4)), *words(rng, rng.randrange(12), 300)])) for i in range(40)]
-    df = docs(spark, [t for _, t in rows], [i for i, _ in rows]).coalesce(2)
-    assert found_components(df) == brute_components(rows)
-    hashes, places = jaccard._common(df, 5)
-    counts = Counter(s for _, t in rows for s in {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)})
-    assert 0 < len(hashes) <= common and sum(c >= sum(counts.values()) / common for c in counts.values()) >= len(hashes)
-    assert sorted(places) == list(range(len(hashes))) and (np.diff(hashes.astype(object)) > 0).all()
-
-
-def test_prefixes_of_linked_sets_meet():
-    rng = np.random.default_rng(5)
-    often = np.unique(rng.integers(0, 1 << 63, 60, dtype=np.uint64))
-    places = rng.permutation(len(often)).astype(np.int32)
-    for _ in range(300):
-        a = np.unique(np.concatenate((rng.choice(often, rng.integers(0, 40), replace=False), rng.integers(0, 1 << 63, rng.integers(1, 20), dtype=np.uint64))))
-        b = np.unique(np.concatenate((rng.choice(a, rng.integers(1, len(a) + 1), replace=False), rng.choice(often, rng.integers(0, 4)))))
-        inter = len(np.intersect1d(a, b))
-        first = [set(jaccard._rare_first(s, often, places)[: len(s) - (80 * len(s) + 99) // 100 + 1].tolist()) for s in (a, b)]
-        assert 100 * inter < 80 * (len(a) + len(b) - inter) or first[0] & first[1]
-        assert sorted(jaccard._rare_first(a, often, places).tolist()) == a.tolist()
-
-
 def test_bitmaps_never_hide_a_link():
     rng = np.random.default_rng(3)
     for _ in range(200):
