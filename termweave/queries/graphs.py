@@ -27,7 +27,16 @@ def _(g):
     return graph.explore_subgraph(g.concept, g.edges, seed_sets(g), max_nodes=None, edge_cap=None)[1]
 
 
-@query("e1_subgraph_capped")
+@query("e1_subgraph_capped", v(f""", {_KINDS}, outgoing AS (SELECT concept_id_1, concept_id_2 FROM (SELECT *, row_number() OVER (PARTITION BY concept_id_1 ORDER BY relationship_id, concept_id_2) AS turn
+      FROM edges JOIN kinds USING (relationship_id) WHERE invalid_reason IS NULL AND kind IN ('ontological', 'attribute')) WHERE turn <= 200),
+    seeds AS (SELECT DISTINCT bn AS set_id, branded AS node FROM parts),
+    new1 AS (SELECT set_id, concept_id_2 AS node FROM seeds JOIN outgoing ON concept_id_1 = node EXCEPT SELECT * FROM seeds),
+    placed1 AS (SELECT set_id, node, held + row_number() OVER (PARTITION BY set_id ORDER BY node) AS place FROM new1 JOIN (SELECT set_id, count(*) AS held FROM seeds GROUP BY 1) USING (set_id)),
+    n1 AS (SELECT set_id, node FROM placed1 WHERE place <= 50), seen AS (SELECT * FROM seeds UNION ALL SELECT * FROM n1),
+    new2 AS (SELECT set_id, concept_id_2 AS node FROM n1 JOIN outgoing ON concept_id_1 = node EXCEPT SELECT * FROM seen),
+    placed2 AS (SELECT set_id, node, held + row_number() OVER (PARTITION BY set_id ORDER BY node) AS place FROM new2 JOIN (SELECT set_id, count(*) AS held FROM seen GROUP BY 1) USING (set_id)),
+    cut AS (SELECT set_id FROM placed1 WHERE place > 50 UNION SELECT set_id FROM placed2 WHERE place > 50)
+    SELECT set_id, count(*) AS n_nodes, set_id IN (SELECT set_id FROM cut) AS truncated FROM (SELECT * FROM seen UNION ALL SELECT set_id, node FROM placed2 WHERE place <= 50) GROUP BY set_id"""))
 def _(g):
     nodes, _, flags = graph.explore_subgraph(g.concept, g.edges, seed_sets(g), g.relationship, ["ontological", "attribute"])
     return nodes.groupBy("set_id").agg(F.count("*").alias("n_nodes")).join(flags, "set_id")

@@ -98,7 +98,14 @@ def _(g):
     return conceptset.common_parents(g.concept, g.closure, seed_sets(g), compute_pollution=False).groupBy("parent").agg(F.count("*").alias("n_sets"), F.sum("coverage").alias("coverage"))
 
 
-@query("f6_greedy_cover")
+# Recursive rows carry the seeds covered so far; each step takes the candidate of most new seeds times purity.
+@query("f6_greedy_cover", v(f"""{_PARENTS},
+    covers AS MATERIALIZED (SELECT r.set_id, r.parent, r.rank, r.purity, n_seeds, list(DISTINCT seed) AS held FROM ranked r JOIN cnt USING (set_id) JOIN seeds USING (set_id) JOIN closure ON ancestor_concept_id = r.parent AND descendant_concept_id = seed GROUP BY ALL),
+    cover AS (SELECT set_id, 0 AS pick_no, CAST(NULL AS BIGINT) AS parent, CAST(0 AS BIGINT) AS newly_covered, CAST([] AS BIGINT[]) AS done FROM cnt
+      UNION ALL SELECT set_id, pick_no, parent, newly_covered, done FROM (
+        SELECT set_id, pick_no + 1 AS pick_no, parent, len(fresh) AS newly_covered, list_concat(done, fresh) AS done, row_number() OVER (PARTITION BY set_id ORDER BY len(fresh) * purity DESC, rank) AS turn
+        FROM (SELECT x.set_id, pick_no, y.parent, rank, purity, done, list_filter(held, lambda s: NOT list_contains(done, s)) AS fresh FROM cover x JOIN covers y ON x.set_id = y.set_id AND len(done) < n_seeds) WHERE len(fresh) * purity > 0) WHERE turn = 1)
+    SELECT set_id, CAST(pick_no AS BIGINT) AS pick_no, parent, newly_covered FROM cover WHERE pick_no > 0"""))
 def _(g):
     return conceptset.greedy_cover(g.closure, seed_sets(g), conceptset.common_parents(g.concept, g.closure, seed_sets(g)))
 
