@@ -173,29 +173,27 @@ class Recogniser:
         used: set[int] = set()
         out = []
         for licence, rule in self.rules:
+            dead: set[tuple[int, int]] = set()
             for i, (number, name) in enumerate(found):
-                if name != rule[0] or i in used:
-                    continue
-                taken, last = [i], number
-                for want in rule[1:]:
-                    for j in range(taken[-1] + 1, len(found)):
-                        if found[j][0] - last > GAP + 1:
-                            j = len(found)
-                            break
-                        if found[j][1] == want and j not in used:
-                            break
-                    else:
-                        j = len(found)
-                    if j == len(found):
-                        break
-                    taken.append(j)
-                    last = found[j][0]
-                if len(taken) == len(rule):
+                if name == rule[0] and i not in used and (taken := _follow(found, rule, i, 1, used, dead)):
                     used.update(taken)
-                    out.append((licence, number, last))
+                    out.append((licence, number, found[taken[-1]][0]))
         return sorted(out, key=lambda x: (x[1], x[2], x[0]))
 
 
+def _follow(found: list[tuple[int, str]], rule: tuple[str, ...], i: int, k: int, used: set[int], dead: set[tuple[int, int]]) -> list[int]:
+    """The least places, i first, that meet a rule from its identifier k on; none if they can't. dead: what is known to fail."""
+    if k == len(rule):
+        return [i]
+    for j in range(i + 1, len(found)):
+        if found[j][0] - found[i][0] > GAP + 1:
+            break
+        if found[j][1] == rule[k] and j not in used and (j, k + 1) not in dead and (rest := _follow(found, rule, j, k + 1, used, dead)):
+            return [i, *rest]
+    dead.add((i, k))
+    return []
+
+
 def scan(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, sentence_ids (identifiers in order) and licences (array of licence, first, last) of every row.
 

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -7,7 +8,7 @@ import textwrap
 import numpy as np
 import public_tokenizers
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -518,6 +519,35 @@ def test_rules_need_order_and_closeness():
     assert match("A one. u. v. B two.") == ["X"] and match("A one. u. v. w. B two.") == ["Y"]
 
 
+def brute_licences(text, sentences, rules):
+    """Sentences looked up one by one, and every combination of places tried for each rule."""
+    names = {tuple(re.findall(r"\w+", form.lower())): name for name, forms in sentences.items() for form in forms}
+    parts = [tuple(re.findall(r"\w+", x.lower())) for x in re.split(r"(?<=[.!?:;])\s+|\n\s*\n", text)]
+    found = [(n, names[p]) for n, p in enumerate(p for p in parts if p) if p in names]
+    used, out = set(), []
+    for licence, rule in rules:
+        for first in range(len(found)):
+            fits = (
+                c for c in itertools.combinations(range(first, len(found)), len(rule))
+                if c[0] == first and not used & set(c) and [found[i][1] for i in c] == list(rule) and all(found[j][0] - found[i][0] <= licenses.GAP + 1 for i, j in itertools.pairwise(c))
+            )
+            if best := min(fits, default=None):
+                used |= set(best)
+                out.append((licence, found[best[0]][0], found[best[-1]][0]))
+    return found, sorted(out, key=lambda x: (x[1], x[2], x[0]))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["Alpha is free.", "BETA may be sold.", "Gamma  has no\nwarranty.", "Alpha is not free.", "Words stand here.", "Who?"]), st.sampled_from([" ", "\n", "\n\n"])), max_size=12))
+@example([(x, "\n") for x in ("Alpha is free.", "BETA may be sold.", "BETA may be sold.", "Who?", "Who?", "Gamma  has no\nwarranty.")])
+def test_licences_are_brute_force(units):
+    sentences = {"a": ("Alpha is free.",), "b": ("Beta may be sold.",), "c": ("Gamma has no warranty.",)}
+    rules = (("X", ("a", "b", "c")), ("Y", ("a", "b")), ("Z", ("c", "c")), ("W", ("b",)))
+    r, text = licenses.Recogniser(sentences, rules), "".join(x + y for x, y in units)
+    found = r.identify(text)
+    assert (found, r.match(found)) == brute_licences(text, sentences, rules)
+
+
 # secrets
 
 
