@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, hnsw, jaccard, licenses, lines, quality, secrets, substring
+from . import audit, bpe, chat, decontaminate, hnsw, jaccard, licenses, lines, naming, quality, secrets, substring
 from .tables import read
 
 #: The public tokenizer's file; every worker finds its own copy.
@@ -67,6 +67,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return naming.dedup(read(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,10 +83,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
-        op1_jaccard_join, op2_license_scan, op3_nearest_vectors, op4_secret_scan, op5_decontamination, op6_chat_formatting, op7_bpe_codec, op8_line_dedup, op9_quality_classifier, op10_substring_dedup, pipeline,
+        op1_jaccard_join, op2_license_scan, op3_nearest_vectors, op4_secret_scan, op5_decontamination, op6_chat_formatting, op7_bpe_codec, op8_line_dedup, op9_quality_classifier, op10_substring_dedup,
+        op11_exact_dedup, op12_filter_audit, pipeline,
     ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_formatting": chat.sql()}
+    return {"op6_chat_formatting": chat.sql(), "op11_exact_dedup": naming.SQL, "op12_filter_audit": audit.SQL}
