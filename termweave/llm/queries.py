@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audit, bpe, chat, decontaminate, hnsw, jaccard, licenses, lines, naming, quality, secrets, substring
+from . import audit, bpe, chat, decontaminate, hnsw, jaccard, licenses, lines, naming, quality, secrets, substring, whitening
 from .tables import read
 
 #: The public tokenizer's file; every worker finds its own copy.
@@ -75,6 +75,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,7 +88,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_jaccard_join, op2_license_scan, op3_nearest_vectors, op4_secret_scan, op5_decontamination, op6_chat_formatting, op7_bpe_codec, op8_line_dedup, op9_quality_classifier, op10_substring_dedup,
-        op11_exact_dedup, op12_filter_audit, pipeline,
+        op11_exact_dedup, op12_filter_audit, op13_embedding_whitening, pipeline,
     ]
     return {f.__name__: f for f in found}
 
