@@ -48,7 +48,7 @@ def failures(docs: DataFrame, key: str = "doc_id", text: str = "text", part: str
     rows = docs.select(docs[key].alias("doc_id"), F.coalesce(docs[part].cast("string"), F.lit("")).alias("part"), bits.alias("bits"), whole.cast("binary").alias("content"))
     shared = clashes(docs.select(whole.cast("binary").alias("content")))
     rows = written(keyed(rows, shared))
-    first = rows.groupBy("a", "b", "turn").agg(F.min("doc_id").alias("first"))
+    first = written(rows.groupBy("a", "b", "turn").agg(F.min("doc_id").alias("first")))  # written, so that a hot text's rows can be split
     again = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
     out = written(rows.join(first, ["a", "b", "turn"]).select("doc_id", "part", (F.col("bits") + F.when(again, 16).otherwise(0)).alias("pattern")))
     clear(docs.sparkSession, since, keep=out)
