@@ -109,7 +109,8 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", fingerprints
     normal = collapsed(docs[text])
     rows = identities(docs.select(docs[key].alias("doc_id"), F.sha2(normal.cast("binary"), 256).alias("text_sha256"), normal.alias("text")), fingerprints)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
-    groups = rows.groupBy("blocks", "name").agg(first, F.count("*").alias("group_size"))
+    # written, so that the join deals both sides anew and a hot group's rows can be split
+    groups = written(rows.groupBy("blocks", "name").agg(first, F.count("*").alias("group_size")))
     found = rows.join(groups, ["blocks", "name"])
     return found.select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"), "text_sha256")
 
