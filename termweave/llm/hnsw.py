@@ -7,7 +7,9 @@ of neighbours, one row a shard. A stated query set is dealt to every shard in
 blocks; each (shard, block) row is searched on its own, and the nearest of all
 shards are merged by a window. Every vector is indexed.
 
-A graph is built by insertion: a new node is searched for in the graph so far, and
+Distances are in double precision, of differences taken first, and each shard is
+scaled by a power of two, so neither an offset nor the scale of the vectors blurs
+their order. A graph is built by insertion: a new node is searched for in the graph so far, and
 linked to well-spread ones of the nodes found. Nodes are inserted, and queries are
 answered, a block at a time, so that each step of their searches is one operation
 on arrays; nodes of one block are also candidates for each other. Nodes are
@@ -33,6 +35,8 @@ SHARD_POINTS = 16_384
 BLOCK_QUERIES = 8192
 #: Neighbours a node keeps (twice as many on the lowest level), and widths of the searches that build and that answer.
 M, EF_BUILD, EF_SEARCH = 16, 128, 256
+#: Scaled entries of queries are no larger, so that squares don't overflow.
+FAR = 1e140
 #: Nodes or queries searched together, at most, and nodes that each of them expands in one step.
 TOGETHER, AHEAD = 512, 4
 
@@ -45,17 +49,18 @@ class Graph:
     links: list[np.ndarray]
 
     def __post_init__(self) -> None:
-        self.small = self.vectors.astype(np.float32)
-        self.square = np.einsum("ij,ij->i", self.small, self.small)
+        self.power = -exponent(self.vectors)
+        self.points = np.ldexp(self.vectors, self.power)
 
     def distances(self, queries: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-        """Squared distance of each query to its own row of nodes, about; for the order of a search."""
-        return self.square[nodes] - 2 * np.einsum("qd,qkd->qk", queries, self.small[nodes]) + np.einsum("qd,qd->q", queries, queries)[:, None]
+        """Squared distance of each (scaled) query to its own row of nodes; for the order of a search."""
+        apart = self.points[nodes] - queries[:, None]
+        return np.einsum("qkd,qkd->qk", apart, apart)
 
     def beam(self, level: int, queries: np.ndarray, entries: np.ndarray, ef: int) -> tuple[np.ndarray, np.ndarray]:
         """The ef nearest nodes found for each query on one level, nearest first, and their distances; -1 and infinity fill up."""
         links, count = self.links[level], len(queries)
-        ids, far = np.full((count, ef), -1, np.int64), np.full((count, ef), np.inf, np.float32)
+        ids, far = np.full((count, ef), -1, np.int64), np.full((count, ef), np.inf)
         ids[:, 0], far[:, 0] = entries, self.distances(queries, entries[:, None])[:, 0]
         todo = np.zeros((count, ef), bool)
         todo[:, 0] = True
@@ -77,7 +82,10 @@ class Graph:
             fresh &= ~seen[live[:, None], near]
             row, column = np.nonzero(fresh)
             seen[live[row], near[row, column]] = True
-            d = np.where(fresh, self.distances(queries[live], near), np.inf).astype(np.float32)
+            d = np.full(near.shape, np.inf)
+            rows, columns = np.nonzero(fresh)
+            apart = self.points[near[rows, columns]] - queries[live[rows]]
+            d[rows, columns] = np.einsum("id,id->i", apart, apart)
             both, far_both = np.concatenate((ids[live], near), 1), np.concatenate((far[live], d), 1)
             open_both = np.concatenate((todo[live], fresh), 1)
             order = np.argsort(far_both, axis=1, kind="stable")[:, :ef]
@@ -89,7 +97,7 @@ class Graph:
 
     def search(self, queries: np.ndarray, ef: int) -> np.ndarray:
         """The nodes found near each query."""
-        queries, out = queries.astype(np.float32), []
+        queries, out = np.clip(np.ldexp(queries, self.power), -FAR, FAR), []
         step = together(len(self.vectors))
         for at in range(0, len(queries), step):
             part = queries[at : at + step]
@@ -99,10 +107,10 @@ class Graph:
             out.append(self.beam(0, part, entries, ef)[0])
         return np.concatenate(out) if out else np.zeros((0, ef), np.int64)
 
-    def choose(self, near: np.ndarray, far: np.ndarray, m: int) -> np.ndarray:
-        """m of each row's candidates (in order): nearest first, each if nearer to the node than to any taken; then the nearest of the rest."""
-        points = self.small[near]
-        square = self.square[near]
+    def choose(self, nodes: np.ndarray, near: np.ndarray, far: np.ndarray, m: int) -> np.ndarray:
+        """m of each node's candidates (in order): nearest first, each if nearer to the node than to any taken; then the nearest of the rest."""
+        points = self.points[near] - self.points[nodes][:, None]  # seen from the node, so that those near it are small
+        square = np.einsum("qkd,qkd->qk", points, points)
         between = square[:, :, None] + square[:, None, :] - 2 * points @ points.transpose(0, 2, 1)
         real = np.isfinite(far) & (near >= 0)
         taken = np.zeros(near.shape, bool)
@@ -117,7 +125,7 @@ class Graph:
         """Links the nodes to chosen candidates, and these back to them."""
         links = self.links[level]
         room = links.shape[1]
-        chosen = self.choose(near, far, M)
+        chosen = self.choose(nodes, near, far, M)
         links[nodes, : chosen.shape[1]] = chosen
         row, column = np.nonzero(chosen >= 0)
         other, new = chosen[row, column], nodes[row]
@@ -132,13 +140,25 @@ class Graph:
         for at in range(0, len(hosts), TOGETHER):
             host = hosts[at : at + TOGETHER]
             lists = np.concatenate((links[host].astype(np.int64), added[at : at + TOGETHER]), 1)
-            d = np.where(lists >= 0, self.distances(self.small[host], lists), np.inf)
+            d = np.where(lists >= 0, self.distances(self.points[host], lists), np.inf)
             order = np.argsort(d, axis=1, kind="stable")[:, : 2 * room]
             lists, d = np.take_along_axis(lists, order, 1), np.take_along_axis(d, order, 1)
             full = np.isfinite(d).sum(1) > room
             links[host[~full]] = lists[~full, :room]
             if full.any():
-                links[host[full]] = self.choose(lists[full], d[full], room)
+                links[host[full]] = self.choose(host[full], lists[full], d[full], room)
+
+
+def exponent(vectors: np.ndarray) -> int:
+    """The power of two just above all entries."""
+    return int(np.frexp(np.abs(vectors).max(initial=0))[1])
+
+
+def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances in double precision; a power of two keeps squares from overflow, and changes no digit."""
+    half = np.ldexp(vectors, -1) - np.ldexp(query, -1)
+    power = np.frexp(np.abs(half).max(1, initial=0))[1]
+    return np.ldexp(np.sqrt((np.ldexp(half, -power[:, None]) ** 2).sum(1)), power + 1)
 
 
 def together(points: int) -> int:
@@ -160,13 +180,13 @@ def build(vectors: np.ndarray) -> Graph:
     while begin < n:
         end = min(n, begin + min(together(n), max(begin, 64)))
         block = np.arange(begin, end)
-        queries = graph.small[block]
-        inner = graph.square[block][:, None] + graph.square[block] - 2 * queries @ queries.T
+        queries = graph.points[block]
+        inner = np.stack([((queries - q) ** 2).sum(1) for q in queries])
         inner[np.arange(len(block))[:, None] <= np.arange(len(block))] = np.inf  # those before it in the block
         entries = np.zeros(len(block), np.int64)
         for level in range(len(sizes) - 1, -1, -1):
             mine = block < sizes[level]
-            near, far = np.zeros((len(block), 0), np.int64), np.zeros((len(block), 0), np.float32)
+            near, far = np.zeros((len(block), 0), np.int64), np.zeros((len(block), 0))
             if begin:
                 wide = graph.beam(level, queries[mine], entries[mine], EF_BUILD)
                 if not mine.all():
@@ -200,11 +220,12 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, vector: str = "em
     Both tables hold key and vector. A row is no neighbour of the query of its own
     id. Vectors that are null, empty, zero, or hold null or non-finite parts take
     no part, nor do rows without id; vectors of a length other than a query's are
-    never its neighbours. Ties go to the smaller id; repeated rows of one id count
-    once. Fewer candidates than k give fewer rows, an empty table none.
+    never its neighbours. Ties go to the smaller id; of repeated rows of one id the
+    least usable vector counts. Fewer candidates than k give fewer rows, an empty table none.
     """
     spark = table.sparkSession
-    rows = _usable(table, vector, key).select("vec_id", "vector", F.size("vector").alias("dims")).dropDuplicates(["vec_id"])
+    once = lambda df: _usable(df, vector, key).groupBy("vec_id").agg(F.min("vector").alias("vector")).select("vec_id", "vector", F.size("vector").alias("dims"))
+    rows = once(table)
     # A point that many rows share keeps the ids that can matter; the limit already holds in each task before the shuffle.
     of_point = Window.partitionBy("vector").orderBy("vec_id")
     few = rows.withColumn("turn", F.row_number().over(of_point)).where(F.col("turn") <= k + 1)
@@ -213,7 +234,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, vector: str = "em
     shards = max(1, -(-points.count() // SHARD_POINTS))
     dealt = points.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)))
     index = written(dealt.groupBy("dims", "shard").applyInArrow(_build_table, "dims int, shard long, points int, vectors binary, links binary, sizes array<int>, ids array<array<bigint>>"))
-    asked = _usable(queries, vector, key).select("vec_id", "vector", F.size("vector").alias("dims")).dropDuplicates(["vec_id"])
+    asked = once(queries)
     blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
     packed = (
         asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
@@ -238,7 +259,7 @@ def nearest(table: DataFrame, queries: DataFrame, k: int = 10, vector: str = "em
                 members, out = ids.as_py(), []
                 for one, query, nodes in zip(names.tolist(), wanted, graph.search(wanted, max(ef, k + 1))):
                     nodes = nodes[nodes >= 0]
-                    distance = np.sqrt(((graph.vectors[nodes] - query) ** 2).sum(1))
+                    distance = exact(graph.vectors[nodes], query)
                     got = [(d, i, one) for d, node in zip(distance.tolist(), nodes.tolist()) for i in members[node] if i != one]
                     out += heapq.nsmallest(k, got)
                 if out:

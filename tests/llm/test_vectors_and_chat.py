@@ -42,6 +42,50 @@ def test_recall_and_exact_scores(spark, monkeypatch):
     assert [i for i, _ in got[300]] == [i for i, _ in want[300]]  # ties go to the smaller id
 
 
+def clusters(rng, n, d, spread):
+    return rng.normal(size=(3, d))[rng.integers(0, 3, n)] * 1e3 + spread * rng.normal(size=(n, d))
+
+
+SCALES = {
+    "offset 1e4": lambda rng: rng.normal(size=(900, 16)) + 1e4,
+    "offset 1e8": lambda rng: rng.normal(size=(900, 16)) + 1e8,
+    "scale 1e-25": lambda rng: rng.normal(size=(900, 16)) * 1e-25,
+    "scale 1e25": lambda rng: rng.normal(size=(900, 16)) * 1e25,
+    "scale 1e200": lambda rng: rng.normal(size=(900, 16)) * 1e200,
+    "mixed magnitudes": lambda rng: rng.normal(size=(900, 16)) * 10.0 ** rng.integers(-12, 13, (900, 1)),
+    "tight clusters far from the origin": lambda rng: clusters(rng, 900, 16, 1e-4) + 1e5,
+}
+
+
+@pytest.mark.parametrize("kind", SCALES)
+def test_recall_at_any_scale(spark, monkeypatch, kind):
+    monkeypatch.setattr(hnsw, "SHARD_POINTS", 400)
+    x = SCALES[kind](np.random.default_rng(2))
+    ids = list(range(len(x)))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    small = np.ldexp(x, -hnsw.exponent(x))
+    want = brute(ids, small, [i for i in ids if i % 20 == 0])
+    got = {}
+    for r in hnsw.nearest(table, table.where("vec_id % 20 = 0")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert got.keys() == want.keys() and all(len(v) == 10 for v in got.values())  # no row is missing
+    assert sum(len(got[q] & {i for i, _ in want[q]}) for q in want) / (10 * len(want)) >= 0.95
+
+
+def test_scores_are_plain_distances_where_these_fit():
+    rng = np.random.default_rng(6)
+    x, q = rng.normal(size=(50, 16)) + 3, rng.normal(size=16)
+    assert (hnsw.exact(x, q) == np.sqrt(((x - q) ** 2).sum(1))).all()
+    assert hnsw.exact(np.array([[3e200, 4e200], [1.0, 1.0], [1e-200, 0.0]]), np.zeros(2)).tolist() == [pytest.approx(5e200), np.sqrt(2), 1e-200]
+
+
+def test_repeated_ids_count_by_their_least_vector(spark):
+    rows_ = [(0, [5.0, 0.0]), (0, [1.0, 0.0]), (0, [1.0, 0.5]), (1, [0.0, 2.0]), (1, [9.0, 9.0]), (1, [None, 0.0])]
+    for order in (rows_, rows_[::-1]):
+        table = spark.createDataFrame(order, "vec_id long, embedding array<double>").repartition(3)
+        assert {(r.query_id, r.vec_id, r.score) for r in hnsw.nearest(table, table).collect()} == {(0, 1, 5**0.5), (1, 0, 5**0.5)}
+
+
 def test_unusable_vectors_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows_ = [(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, []), (None, [1.0, 1.0]), (7, [1.0, 0.5]), (7, [1.0, 0.5]), (8, [None, 1.0]), (9, [1.0, 2.0, 3.0])]
