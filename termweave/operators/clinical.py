@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import ranges
 from ._rank import maybe_broadcast
 
 
@@ -78,20 +77,6 @@ def cohort_demographics(cohort: DataFrame, person: DataFrame) -> DataFrame:
     return cohort.join(person.select("person_id", "gender_concept_id"), "person_id").groupBy("cohort_id", "gender_concept_id").agg(F.countDistinct("person_id").alias("n_subjects"))
 
 
-def eras(events: DataFrame, concept: str, gap: int = 30) -> DataFrame:
-    """Eras of each person and concept: events that overlap or lie at most `gap` days after all before them, with their count and the days between.
-
-    The running end is the greatest so far, so events within others don't end an era.
-    """
-    key = ["person_id", concept]
-    before = Window.partitionBy(*key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy(*key).orderBy("start", "end").rangeBetween(Window.unboundedPreceding, Window.currentRow)  # equal events share an era in any order
-    rows = events.select(*key, "start", F.coalesce("end", "start").alias("end")).withColumn("reached", F.max("end").over(before))
-    rows = rows.withColumn("new", F.when(F.col("reached").isNull() | (F.datediff("start", "reached") > gap), 1).otherwise(0))
-    rows = rows.withColumn("idle", F.when(F.col("new") == 1, 0).otherwise(F.greatest(F.datediff("start", "reached") - 1, F.lit(0)))).withColumn("era", F.sum("new").over(upto))
-    return rows.groupBy(*key, "era").agg(F.min("start").alias("era_start"), F.max("end").alias("era_end"), F.count("*").alias("n_events"), F.sum("idle").cast("long").alias("gap_days")).drop("era")
-
-
 def dose_eras(exposures: DataFrame, concept: str, dose: str, order: list[str]) -> DataFrame:
     """Runs of the same dose of each person and concept in the given order."""
     by = Window.partitionBy("person_id", concept).orderBy(*order)
@@ -100,24 +85,6 @@ def dose_eras(exposures: DataFrame, concept: str, dose: str, order: list[str]) -
     return rows.groupBy("person_id", concept, "run", dose).agg(F.min("start").alias("era_start"), F.max("end").alias("era_end"), F.count("*").alias("n_events")).drop("run")
 
 
-def overlap_join(a: DataFrame, b: DataFrame, key: str = "person_id") -> DataFrame:
-    """Pairs of a(key, start, end, ...) and b(key, other_start, other_end, ...) whose ranges meet, with their intersection."""
-    x, y = ranges.date_range(F.col("start"), F.col("end")), ranges.date_range(F.col("other_start"), F.col("other_end"))
-    both = a.join(b, key).where(ranges.overlaps(x, y)).withColumn("shared", ranges.intersection(x, y))
-    return both.where(~ranges.is_empty(F.col("shared")))
-
-
-def within_days(a: DataFrame, b: DataFrame, n: int, absolute: bool = False, key: str = "person_id") -> DataFrame:
-    """Pairs of a(key, day) and b(key, other_day): b at most n days after a, or on either side."""
-    days = ranges.days_between(F.col("day"), F.col("other_day"), absolute)
-    return a.join(b, key).withColumn("days", days).where(F.col("days").between(0, n))
-
-
-def events_in_next(events: DataFrame, n: int) -> DataFrame:
-    """events(person_id, day) with the number of the person's events from that day to n days later."""
-    return events.selectExpr("*", f"count(*) over (partition by person_id order by day range between current row and interval {int(n)} days following) as n_next")
-
-
 def in_observation(events: DataFrame, periods: DataFrame, before: int = 0, after: int = 0) -> DataFrame:
     """Events within their person's period, with `before` and `after` days of it on either side."""
     rows = events.join(periods, "person_id")

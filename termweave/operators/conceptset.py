@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import written
@@ -101,14 +103,26 @@ def covered_seeds(closure: DataFrame, sets: DataFrame, candidates: DataFrame) ->
     return candidates.select("set_id", "parent").distinct().join(below, "parent").join(sets.select("set_id", F.col("concept_id").alias("seed")).distinct(), ["set_id", "seed"], "left_semi").select("set_id", "parent", "seed")
 
 
+#: Rows (candidate and seed) of a set up to which one task picks its cover; larger sets take rounds over many tasks.
+GROUP_ROWS = 100_000
+_PICKS = "set_id long, pick_no long, parent long, newly_covered long"
+
+
 def greedy_cover(closure: DataFrame, sets: DataFrame, candidates: DataFrame, target_coverage: float = 1.0) -> DataFrame:
     """set_id, pick_no, parent, newly_covered: repeated picks of most new seeds times purity, candidate order breaking ties.
 
     candidates(set_id, rank, parent, purity) come from common_parents. Sets are
-    independent, so each is one group of a grouped map.
+    independent: one of few rows is a group of a grouped map, and large ones are
+    covered in rounds, with the same picks.
     """
-    rows = covered_seeds(closure, sets, candidates).join(candidates.select("set_id", "parent", "rank", "purity"), ["set_id", "parent"]).join(sets.select(*_KEYS).distinct().groupBy("set_id").agg(F.count("*").alias("n_seeds")), "set_id")
+    rows = written(covered_seeds(closure, sets, candidates).join(candidates.select("set_id", "parent", "rank", "purity"), ["set_id", "parent"]).join(sets.select(*_KEYS).distinct().groupBy("set_id").agg(F.count("*").alias("n_seeds")), "set_id"))
+    large = written(rows.groupBy("set_id").agg(F.count("*").alias("n")).where(F.col("n") > GROUP_ROWS).select("set_id"))
+    if large.isEmpty():
+        return _cover_in_groups(rows, target_coverage)
+    return _cover_in_groups(rows.join(large, "set_id", "left_anti"), target_coverage).union(_cover_in_rounds(rows.join(large, "set_id", "left_semi"), target_coverage))
 
+
+def _cover_in_groups(rows: DataFrame, target_coverage: float) -> DataFrame:
     def pick(table: pa.Table) -> pa.Table:
         covers: dict[tuple, set] = {}
         for rank, parent, purity, seed in zip(*(table.column(c).to_pylist() for c in ("rank", "parent", "purity", "seed"))):
@@ -123,7 +137,41 @@ def greedy_cover(closure: DataFrame, sets: DataFrame, candidates: DataFrame, tar
         key = table.column("set_id")[0].as_py()
         return pa.table({"set_id": pa.array([key] * len(out), pa.int64()), "pick_no": pa.array(range(1, len(out) + 1), pa.int64()), "parent": pa.array([p for p, _ in out], pa.int64()), "newly_covered": pa.array([n for _, n in out], pa.int64())})
 
-    return rows.groupBy("set_id").applyInArrow(pick, "set_id long, pick_no long, parent long, newly_covered long")
+    return rows.groupBy("set_id").applyInArrow(pick, _PICKS)
+
+
+def _cover_in_rounds(rows: DataFrame, target_coverage: float) -> DataFrame:
+    """The same picks, a run of them a round: the candidates in order of their gain, up to the first that shares a new seed with one before it.
+
+    Until there, no pick changes the gain of the next, and none behind can overtake.
+    Only candidates of half the best gain or more are looked at in a round. No task
+    holds the seeds of a set; what is left of them is written after each round.
+    """
+    left, picked = rows, []
+    done = written(rows.select("set_id", "n_seeds").distinct().withColumns({"done": F.lit(0).cast("long"), "n_picks": F.lit(0).cast("long")}))
+    by_set = Window.partitionBy("set_id")
+    order = by_set.orderBy(F.col("gain").desc(), "rank")
+    while True:
+        live = done.where(F.col("done") < target_coverage * F.col("n_seeds"))
+        counts = left.groupBy("set_id", "parent", "rank", "purity").agg(F.count("*").alias("new")).withColumn("gain", F.col("new") * F.col("purity")).where("gain > 0").join(live, "set_id")
+        best = counts.withColumn("best", F.max("gain").over(by_set)).where("gain * 2 >= best")
+        turns = written(best.withColumn("turn", F.row_number().over(order)).drop("best"))
+        if turns.isEmpty():
+            break
+        held = left.join(turns.select("set_id", "parent", "turn"), ["set_id", "parent"]).select("set_id", "parent", "seed", "turn")
+        shared = held.groupBy("set_id", "seed").agg(F.get(F.sort_array(F.collect_set("turn")), F.lit(1)).alias("again")).where("again is not null")
+        stop = shared.groupBy("set_id").agg(F.min("again").alias("stop"))
+        run = turns.join(stop, "set_id", "left").where(F.col("stop").isNull() | (F.col("turn") < F.col("stop")))
+        before = F.coalesce(F.sum("new").over(by_set.orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        run = written(run.withColumn("before", before).where(F.col("done") + F.col("before") < target_coverage * F.col("n_seeds")))
+        picked.append(run.select("set_id", (F.col("n_picks") + F.col("turn")).cast("long").alias("pick_no"), "parent", F.col("new").alias("newly_covered")))
+        gone = held.join(run.select("set_id", "parent"), ["set_id", "parent"], "left_semi").select("set_id", "seed").distinct()
+        more = run.groupBy("set_id").agg(F.sum("new").alias("more"), F.count("*").alias("picks"))
+        # a set that picked nothing in this round has no gain left and is over
+        done = written(done.join(more, "set_id").select("set_id", "n_seeds", (F.col("done") + F.col("more")).alias("done"), (F.col("n_picks") + F.col("picks")).alias("n_picks")))
+        left = written(left.join(gone, ["set_id", "seed"], "left_anti").join(done.select("set_id"), "set_id", "left_semi"))
+    empty = rows.sparkSession.createDataFrame([], _PICKS)
+    return reduce(DataFrame.union, picked, empty)
 
 
 def uncovered_seeds(closure: DataFrame, sets: DataFrame, picks: DataFrame) -> DataFrame:

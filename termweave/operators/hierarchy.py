@@ -5,11 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import clear, mark, written
 from ._rank import top
 
 _SHOWN = ["concept_id", "concept_name", "domain_id", "vocabulary_id", "concept_class_id", "concept_code", "standard_concept"]
 
 
+def build_closure(is_a: DataFrame, own: DataFrame | None = None) -> DataFrame:
+    """The closure table of is_a(child, parent): every ancestor and descendant with the least and the greatest number of levels between, however deep.
+
+    A round joins the paths known so far end to end, so their length doubles; it
+    takes a logarithm of the depth. own(concept_id) has the concepts that stand above
+    themselves at level 0. Null ends are left out; a cycle is an error, as it has no
+    greatest number of levels.
+    """
+    spark, since = is_a.sparkSession, mark()
+    edges = is_a.where("child is not null and parent is not null").select(F.col("parent").alias("ancestor"), F.col("child").alias("descendant")).distinct()
+    known = written(edges.withColumns({"least": F.lit(1).cast("long"), "most": F.lit(1).cast("long")}))
+    size = None
+    while True:
+        n = known.agg(F.count("*"), F.sum("least"), F.sum("most"), F.count_if(F.col("ancestor") == F.col("descendant"))).first()
+        if n[3]:
+            raise ValueError("the hierarchy has a cycle")
+        if n == size:
+            break
+        size = n
+        above = known.select("ancestor", F.col("descendant").alias("middle"), "least", "most")
+        below = known.select(F.col("ancestor").alias("middle"), "descendant", F.col("least").alias("l"), F.col("most").alias("m"))
+        longer = above.join(below, "middle").select("ancestor", "descendant", F.col("least") + F.col("l"), F.col("most") + F.col("m"))
+        known = written(known.union(longer).groupBy("ancestor", "descendant").agg(F.min("least").alias("least"), F.max("most").alias("most")))
+    clear(spark, since, keep=known)
+    rows = known.select(F.col("ancestor").alias("ancestor_concept_id"), F.col("descendant").alias("descendant_concept_id"), F.col("least").alias("min_levels_of_separation"), F.col("most").alias("max_levels_of_separation"))
+    if own is None:
+        return rows
+    zero = F.lit(0).cast("long")
+    return rows.union(own.where("concept_id is not null").select("concept_id", "concept_id", zero, zero).distinct())
+
+
 def _relatives(concepts, closure, ids, own: str, other: str, levels: int | None, limit: int | None, order: list[str]) -> DataFrame:
     rows = closure.where("min_levels_of_separation > 0")
     if levels is not None:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from . import vector_index
 from ._rank import top
 from .hierarchy import ancestry_check
 from .mapping import valid_maps
@@ -135,16 +136,12 @@ def provenance_top3(resolved: DataFrame) -> DataFrame:
     return resolved.select("query_id", "concept_id", F.posexplode(F.slice("provenance", 1, 3)).alias("place", "source")).select("query_id", "concept_id", (F.col("place") + 1).cast("long").alias("place"), F.col("source.concept_id").alias("source_id"), F.col("source.similarity").alias("similarity"))
 
 
-def approx_topk(queries: DataFrame, index: DataFrame, k: int = 10, key: str = "concept_id", bucket_length: float = 0.6, tables: int = 12, radius: float = 1.4) -> DataFrame:
-    """query_id, rank, key, similarity by random-projection hashing of unit vectors; cosine = 1 - distance^2 / 2."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-    from pyspark.ml.functions import array_to_vector
-
-    unit = lambda df, name: Normalizer(inputCol="raw", outputCol="v").transform(df.select(F.col(name).alias("id"), array_to_vector(F.col("embedding").cast("array<double>")).alias("raw"))).select("id", "v")
-    a, b = unit(queries, "query_id"), unit(index, key)
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length, numHashTables=tables, seed=17).fit(b)
-    rows = model.approxSimilarityJoin(a, b, radius, distCol="d").select(F.col("datasetA.id").alias("query_id"), F.col("datasetB.id").alias(key), F.round(1 - F.col("d") * F.col("d") / 2, 6).alias("similarity"))
-    return top(rows, ["query_id"], [F.col("similarity").desc(), key], k)
+def approx_topk(queries: DataFrame, index: DataFrame, k: int = 10, key: str = "concept_id", own: bool = True, **equal: str | None) -> DataFrame:
+    """cosine_topk by an inverted index of product-quantised vectors, built here; build_index() and search() of vector_index keep one for many uses."""
+    built = vector_index.build_index(index, key, tuple(c for c, value in equal.items() if value is not None))
+    if built is None:
+        return cosine_topk(queries.where("false"), index.where("false"), k, key)
+    return vector_index.search(queries, built, k, key, own, **equal)
 
 
 def rerank_cosine(hits: DataFrame, k: int = 10) -> DataFrame:
@@ -153,7 +150,7 @@ def rerank_cosine(hits: DataFrame, k: int = 10) -> DataFrame:
     return top(hits.withColumn("score", F.round(score, 6)), ["query_id"], [F.col("score").desc(), "concept_id"], k)
 
 
-def ground_terms(concepts: DataFrame, synonyms: DataFrame, queries: DataFrame, closure: DataFrame | None = None, vectors: tuple[DataFrame, DataFrame] | None = None, require_standard: bool = True, max_results: int = 5, ratio=tx.gestalt_ratio, **filters) -> DataFrame:
+def ground_terms(concepts: DataFrame, synonyms: DataFrame, queries: DataFrame, closure: DataFrame | None = None, vectors: tuple[DataFrame, DataFrame] | None = None, require_standard: bool = True, max_results: int = 5, ratio=tx.gestalt, **filters) -> DataFrame:
     """query_id, rank, concept_id, concept_name, match_tier, score[, separation] of queries(query_id, keyword[, parent_concept_id]).
 
     Names are searched first; queries with fewer than three candidates also search
@@ -176,16 +173,32 @@ def ground_terms(concepts: DataFrame, synonyms: DataFrame, queries: DataFrame, c
         asked_vectors = vectors[0].join(short(found).select("query_id"), "query_id", "left_semi")
         found = found.union(tier(cosine_topk(asked_vectors, vectors[1], min(limit, 20)), 3))
     first = found.groupBy(*key).agg(F.min(F.struct("match_tier", "place")).alias("at")).select(*key, "at.*")
-    rows = first.join(concepts.select("concept_id", "concept_name"), "concept_id").join(asked, "query_id").withColumn("score", F.round(tx.hybrid_score(F.col("keyword"), F.col("concept_name"), ratio), 6))
+    rows = first.join(concepts.select("concept_id", "concept_name"), "concept_id").join(asked, "query_id")
+    score = F.round(tx.hybrid_score(F.col("keyword"), F.col("concept_name"), ratio), 6)
     if closure is None or "parent_concept_id" not in queries.columns:
+        rows = (promising(rows, max_results) if ratio is tx.gestalt else rows).withColumn("score", score)
         return top(rows, ["query_id"], [F.col("score").desc(), "concept_id"], max_results).select("query_id", "rank", "concept_id", "concept_name", "match_tier", "score")
     rows = rows.join(queries.select("query_id", "parent_concept_id"), "query_id")
     checked = ancestry_check(closure, rows.select(F.col("query_id").alias("pair_id"), F.col("parent_concept_id").alias("ancestor"), F.col("concept_id").alias("descendant")).distinct()).select(F.col("pair_id").alias("query_id"), F.col("descendant").alias("concept_id"), F.col("separation").alias("below"))
     rows = rows.join(checked, key).withColumn("separation", F.when(F.col("concept_id") == F.col("parent_concept_id"), F.lit(0).cast("long")).otherwise(F.col("below"))).where("separation is not null")
-    kept = top(rows, ["query_id"], ["match_tier", "place", "concept_id"], max_results, "turn")
+    kept = top(rows, ["query_id"], ["match_tier", "place", "concept_id"], max_results, "turn").withColumn("score", score)
     return top(kept, ["query_id"], ["separation", F.col("score").desc(), "concept_id"], None).select("query_id", "rank", "concept_id", "concept_name", "match_tier", "score", "separation")
 
 
+def promising(rows: DataFrame, k: int) -> DataFrame:
+    """Rows(query_id, keyword, concept_name, ...) that can still be among the k of best hybrid score of their query.
+
+    A row is left out if the most that its text ratio can be leaves it below k rows
+    at the least that theirs can be; both are column functions.
+    """
+    keyword, name = F.col("keyword"), F.col("concept_name")
+    known = tx.gestalt_known(keyword, name)
+    least, most = (tx.hybrid_score(keyword, name, lambda a, b, other=other: F.coalesce(known, other)) for other in (F.lit(0.0), tx.gestalt_bound(keyword, name)))
+    ranked = top(rows.withColumn("_least", least), ["query_id"], [F.col("_least").desc()], None, "_turn")
+    reached = F.max(F.when(F.col("_turn") == k, F.col("_least"))).over(Window.partitionBy("query_id"))
+    return ranked.withColumn("_reached", reached).where(F.col("_reached").isNull() | (most >= F.col("_reached") - 2e-6)).drop("_least", "_turn", "_reached")
+
+
 def rrf_fuse(rankings: DataFrame, k: int = 60, limit: int | None = None) -> DataFrame:
     """Sum of 1 / (k + rank) over the lists of rankings(query_id, source, concept_id, rank)."""
     fused = rankings.groupBy("query_id", "concept_id").agg(F.round(F.sum(1.0 / (k + F.col("rank"))), 9).alias("score"))

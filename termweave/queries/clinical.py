@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import ranges
-from ..operators import catalogue, clinical, governance
+from ..operators import catalogue, clinical, governance, intervals
 from ..plans.derive import with_clinical as k
 from . import query
 from .vocabulary import KEYWORDS_SQL, keywords
@@ -82,7 +82,7 @@ def _eras(table, concept, gap):
 
 @query("k9_long_eras", k(_eras("drug_exposure", "drug_concept_id", 30) + " SELECT drug_concept_id, count(DISTINCT person_id) AS n_persons FROM eras WHERE era_end - era_start > 60 GROUP BY 1"))
 def _(g):
-    return clinical.long_eras(clinical.eras(g.drug_exposure, "drug_concept_id"), "drug_concept_id", 60)
+    return clinical.long_eras(intervals.eras(g.drug_exposure, "drug_concept_id"), "drug_concept_id", 60)
 
 
 @query("k10_event_cost", k(" SELECT cost_event_id, round(total_paid, 2) AS total_paid, cost_domain_id, person_id FROM cost JOIN visit ON cost_event_id = visit_id"))
@@ -99,12 +99,12 @@ def _(g):
 
 @query("k12_drug_era", k(_eras("drug_exposure", "drug_concept_id", 30) + " SELECT * FROM eras"))
 def _(g):
-    return clinical.eras(g.drug_exposure, "drug_concept_id")
+    return intervals.eras(g.drug_exposure, "drug_concept_id")
 
 
 @query("k12_condition_era", k(_eras("condition_occurrence", "condition_concept_id", 2) + " SELECT * FROM eras"))
 def _(g):
-    return clinical.eras(g.condition, "condition_concept_id", 2)
+    return intervals.eras(g.condition, "condition_concept_id", 2)
 
 
 @query("k13_dose_era", k(""", d AS (SELECT person_id, drug_concept_id, quantity, min("start") AS "start", max("end") AS "end" FROM drug_exposure GROUP BY person_id, drug_concept_id, quantity, visit_id),
@@ -118,7 +118,7 @@ def _(g):
 
 
 def _ranges(g):
-    a = clinical.eras(g.drug_exposure, "drug_concept_id").select("person_id", F.col("drug_concept_id").alias("a"), F.col("era_start").alias("start"), F.col("era_end").alias("end"))
+    a = intervals.eras(g.drug_exposure, "drug_concept_id").select("person_id", F.col("drug_concept_id").alias("a"), F.col("era_start").alias("start"), F.col("era_end").alias("end"))
     b = a.select("person_id", F.col("a").alias("b"), F.col("start").alias("other_start"), F.col("end").alias("other_end"))
     return a, b
 
@@ -127,7 +127,7 @@ _OVERLAP = k(_eras("drug_exposure", "drug_concept_id", 30) + ' SELECT x.person_i
 
 
 def _overlap(g):
-    found = clinical.overlap_join(*_ranges(g)).where("a < b")
+    found = intervals.overlap_join(*_ranges(g)).where("a < b")
     return found.select("person_id", "a", "b", F.col("shared.start").alias("start"), F.col("shared.end").alias("end"))
 
 
@@ -145,14 +145,14 @@ def _(g):
 def _(g):
     c = g.condition.select("person_id", F.col("condition_concept_id").alias("a"), F.col("start").alias("day")).distinct()
     other = c.select("person_id", F.col("a").alias("b"), F.col("day").alias("other_day"))
-    return clinical.within_days(c, other, 3).where("a < b").select("person_id", "a", "b", "day", "other_day", "days")
+    return intervals.within_days(c, other, 3).where("a < b").select("person_id", "a", "b", "day", "other_day", "days")
 
 
 @query("k15_within_days_absolute", k(' , c AS (SELECT DISTINCT person_id, condition_concept_id AS x, "start" AS d FROM condition_occurrence) SELECT a.person_id, a.d AS day, b.d AS other_day, abs(b.d - a.d) AS days FROM c a JOIN c b ON a.person_id = b.person_id AND abs(b.d - a.d) <= 1 AND a.x < b.x'))
 def _(g):
     c = g.condition.select("person_id", F.col("condition_concept_id").alias("a"), F.col("start").alias("day")).distinct()
     other = c.select("person_id", F.col("a").alias("b"), F.col("day").alias("other_day"))
-    return clinical.within_days(c, other, 1, absolute=True).where("a < b").select("person_id", "day", "other_day", "days")
+    return intervals.within_days(c, other, 1, absolute=True).where("a < b").select("person_id", "day", "other_day", "days")
 
 
 _NEXT = 'SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY CAST(ts AS DATE) RANGE BETWEEN CURRENT ROW AND INTERVAL 7 DAY FOLLOWING) AS n_next FROM events'
@@ -161,13 +161,13 @@ _NEXT = 'SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY CAST(ts A
 @query("k16_events_in_next", _NEXT)
 def _(g):
     rows = g.read("events").select("event_id", F.col("user_id").alias("person_id"), F.col("ts").cast("date").alias("day"))
-    return clinical.events_in_next(rows, 7).select("event_id", "n_next")
+    return intervals.in_next(rows, 7).select("event_id", "n_next")
 
 
 @query("w3_range_frame", "SELECT o_orderkey, count(*) OVER w AS n, round(sum(o_totalprice) OVER w, 2) AS paid FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) RANGE BETWEEN CURRENT ROW AND INTERVAL 90 DAY FOLLOWING)")
 def _(g):
-    w = "over (partition by o_custkey order by cast(o_orderdate as date) range between current row and interval 90 days following)"
-    return g.read("orders").selectExpr("o_orderkey", f"count(*) {w} as n", f"round(sum(o_totalprice) {w}, 2) as paid")
+    rows = g.read("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"), "o_totalprice")
+    return intervals.in_next(rows, 90, "o_custkey", count="n", paid="o_totalprice").select("o_orderkey", "n", F.round("paid", 2).alias("paid"))
 
 
 @query("k17_in_observation", k(' SELECT person_id, drug_concept_id, "start", "end" FROM drug_exposure JOIN observation_period USING (person_id) WHERE period_start + 30 <= "start" AND "start" <= period_end - 30'))

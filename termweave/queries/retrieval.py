@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import picks, semantic
+from ..operators import picks, semantic, vector_index
 from ..operators._rank import top
 from ..plans.derive import with_vocabulary as v
 from . import query
@@ -87,10 +87,22 @@ def _(g):
 
 
 @query("g6_approx_topk")
+def _(g):
+    return semantic.approx_topk(*vectors(g), 10, own=False)
+
+
+@query("g6_every_cell_topk", v(f"{_VECTORS} SELECT query_id, rank, concept_id, similarity FROM ranked WHERE rank <= 10"))
+def _(g):
+    asked, index = vectors(g)
+    built = vector_index.build_index(index)
+    return vector_index.search(asked, built, 10, own=False, probes=len(built.model.centroids), refine=None)
+
+
+@query("g6_every_cell_filtered", v(f"{_VECTORS}, f AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, concept_id) AS r2 FROM sims WHERE label = 3) SELECT query_id, r2 AS rank, concept_id, similarity FROM f WHERE r2 <= 5"))
 def _(g):
     asked, index = vectors(g)
-    found = semantic.approx_topk(asked, index, 11).where("query_id <> concept_id").drop("rank")
-    return top(found, ["query_id"], [F.col("similarity").desc(), "concept_id"], 10)
+    built = vector_index.build_index(index, keep=("label",))
+    return vector_index.search(asked, built, 5, own=False, probes=len(built.model.centroids), refine=None, label=3)
 
 
 _NAMED = f"""{KEYWORDS_SQL}, m AS (SELECT query_id, keyword, concept_id, concept_name FROM keywords JOIN concept ON concept_name ILIKE '%' || keyword || '%')"""
@@ -117,7 +129,7 @@ def name_pairs(g):
 
 @query("g7_gestalt_ratio", v(f", {_NAMED}, {_gestalt('m')} SELECT query_id, concept_id, round(gestalt, 6) AS ratio FROM gest"))
 def _(g):
-    return name_pairs(g).select("query_id", "concept_id", F.round(tx.gestalt_ratio("keyword", "concept_name"), 6).alias("ratio"))
+    return name_pairs(g).select("query_id", "concept_id", F.round(tx.gestalt(F.col("keyword"), F.col("concept_name")), 6).alias("ratio"))
 
 
 @query("g8_levenshtein_ratio", v(f", {_NAMED} SELECT query_id, concept_id, round({_LEV}, 6) AS ratio FROM m"))

@@ -212,6 +212,11 @@ def _(g):
     return hierarchy.ancestry_check(g.closure, pairs(g).select("pair_id", F.col("left_id").alias("ancestor"), F.col("right_id").alias("descendant")))
 
 
+@query("c1_build_closure", v("SELECT * FROM closure"))
+def _(g):
+    return hierarchy.build_closure(g.is_a, g.concept.where("standard_concept is not null").select("concept_id"))
+
+
 @query("c4_direct_parents", v("SELECT descendant_concept_id AS child, concept_id AS parent, concept_name AS parent_name FROM closure JOIN concept ON concept_id = ancestor_concept_id WHERE min_levels_of_separation = 1 AND invalid_reason IS NULL"))
 def _(g):
     return hierarchy.direct_parents(g.concept, g.closure, g.concept.select("concept_id"))

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from termweave.functions import text as tx
-from termweave.operators import _pieces, catalogue, clinical, conceptset, governance, graph, hierarchy, mapping, picks, search, semantic, staging
+from termweave.operators import _pieces, catalogue, clinical, conceptset, governance, graph, hierarchy, intervals, mapping, picks, search, semantic, staging
 from termweave.plans.derive import RELATIONSHIPS
 from termweave.queries import _QUERIES
 from termweave.queries.graphs import path_pairs
@@ -159,6 +159,93 @@ def test_gestalt_ratio_is_difflib(spark):
         assert r.r is None if r.a is None else r.r == pytest.approx(difflib.SequenceMatcher(None, r.a.lower(), r.b.lower()).ratio())
 
 
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.text("abAB -é", max_size=8), st.text("abAB -é", max_size=14)), min_size=1, max_size=30))
+def test_gestalt_by_columns(spark, rows):
+    rows = [*rows, *((a, f"x{a}y{b}") for a, b in rows), ("a" * 3, "a" * 230), ("", ""), (None, "x"), ("K", "\u212a"), ("İ", "i̇")]
+    a, b = F.col("a"), F.col("b")
+    got = spark.createDataFrame(rows, "a string, b string").select("a", "b", tx.gestalt(a, b).alias("r"), tx.gestalt_known(a, b).alias("known"), tx.gestalt_bound(a, b).alias("bound")).collect()
+    for r in got:
+        want = None if r.a is None else difflib.SequenceMatcher(None, r.a.lower(), r.b.lower()).ratio()
+        assert r.r == pytest.approx(want) if want is not None else r.r is None
+        assert r.known is None or r.known == pytest.approx(want)
+        assert want is None or r.bound >= want - 1e-12
+
+
+def test_few_pairs_reach_python(spark):
+    """Names that hold their keyword need no Python, and of the others only those that can still be among the best."""
+    words = ["type", "two", "diabetes", "mellitus", "renal", "failure", "acute", "of", "heart", "chronic"]
+    names = [(f"{words[i % 10]} {words[i // 10 % 10]} {words[i // 100 % 10]}",) for i in range(1000)]
+    asked = [(1, "diabetes mellitus"), (2, "renal failure of"), (3, "type two")]
+    rows = spark.createDataFrame([(q, k, i, n) for q, k in asked for i, (n,) in enumerate(names)], "query_id long, keyword string, concept_id long, concept_name string")
+    score = F.round(tx.hybrid_score(F.col("keyword"), F.col("concept_name"), tx.gestalt_ratio), 6)
+    best = lambda df: pairs_of(semantic.top(df.withColumn("score", score), ["query_id"], [F.col("score").desc(), "concept_id"], 5), "query_id", "concept_id", "score")
+    left = semantic.promising(rows, 5)
+    assert best(left) == best(rows)
+    asks = left.where(tx.gestalt_known(F.col("keyword"), F.col("concept_name")).isNull()).count()
+    print(f"{asks} of {rows.count()} pairs reach Python")
+    assert asks < 0.1 * rows.count()
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.sets(st.tuples(st.integers(0, 14), st.integers(0, 14)).filter(lambda e: e[0] < e[1]), max_size=40))
+def test_closure_of_any_depth(spark, edges):
+    edges = edges | {(i, i + 1) for i in range(20, 40)}  # a chain of twenty levels
+    levels = {}
+
+    def walk(start, node, n):
+        for a, b in edges:
+            if a == node:
+                levels.setdefault((start, b), set()).add(n)
+                walk(start, b, n + 1)
+
+    for a in {a for a, _ in edges if a < 15}:
+        walk(a, a, 1)
+    for a in range(20, 40):
+        for b in range(a + 1, 41):
+            levels[a, b] = {b - a}
+    is_a = spark.createDataFrame([(b, a) for a, b in edges] + [(None, 1), (2, None)], "child long, parent long")
+    found = hierarchy.build_closure(is_a, spark.createDataFrame([(3,), (3,), (None,)], "concept_id long"))
+    want = {k: (min(v), max(v)) for k, v in levels.items()} | {(3, 3): (0, 0)}
+    assert {(r[0], r[1]): (r[2], r[3]) for r in found.collect()} == want
+
+
+def test_closure_refuses_cycles(spark):
+    for edges in ([(1, 1)], [(1, 2), (2, 3), (3, 1), (9, 1)]):
+        with pytest.raises(ValueError, match="cycle"):
+            hierarchy.build_closure(spark.createDataFrame(edges, "child long, parent long"))
+    assert hierarchy.build_closure(spark.createDataFrame([], "child long, parent long")).count() == 0
+
+
+@pytest.mark.parametrize(("seed", "target"), [(0, 1.0), (1, 0.7), (2, 1.0)])
+def test_covers_in_rounds_equal_those_in_groups(spark, seed, target):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for set_id in range(3):
+        seeds = int(rng.integers(1, 25))
+        for parent in range(int(rng.integers(1, 12))):
+            purity = float(rng.choice([0.0, 0.25, 0.5, 1.0]))
+            rows += [(set_id, parent, int(s), int(parent), purity, seeds + set_id) for s in rng.choice(seeds, int(rng.integers(1, seeds + 1)), replace=False)]
+    df = spark.createDataFrame(rows, "set_id long, parent long, seed long, rank long, purity double, n_seeds long")
+    names = ("set_id", "pick_no", "parent", "newly_covered")
+    assert pairs_of(conceptset._cover_in_rounds(df, target), *names) == pairs_of(conceptset._cover_in_groups(df, target), *names)
+
+
+def test_a_large_set_is_covered_by_many_tasks(spark, monkeypatch):
+    """200,000 seeds of one set below ten parents of rising size, each sharing some with the next."""
+    seeds = spark.range(200_000).select(F.lit(1).cast("long").alias("set_id"), F.col("id").alias("concept_id"))
+    below = seeds.select(F.explode(F.array_distinct(F.array(F.floor(F.sqrt("concept_id") / 45), F.floor(F.sqrt(F.col("concept_id") + 500) / 45)))).alias("p"), F.col("concept_id").alias("descendant_concept_id"))
+    closure = below.select((F.col("p") + 1_000_000).alias("ancestor_concept_id"), "descendant_concept_id")
+    parents = closure.select(F.lit(1).cast("long").alias("set_id"), F.col("ancestor_concept_id").alias("parent")).distinct().withColumns({"rank": F.col("parent"), "purity": F.lit(1.0)})
+    found = conceptset.greedy_cover(closure, seeds, parents)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.agg(F.sum("newly_covered")).first()[0] == 200_000
+    few = pairs_of(found, "set_id", "pick_no", "parent", "newly_covered")
+    monkeypatch.setattr(conceptset, "GROUP_ROWS", 10**9)
+    assert pairs_of(conceptset.greedy_cover(closure, seeds, parents), "set_id", "pick_no", "parent", "newly_covered") == few
+    assert "left_anti" in plan.lower() or "LeftAnti" in plan
+
+
 def test_rrf_ignores_input_order(spark):
     rows = [(1, s, c, r) for s in "ab" for r, c in enumerate((5, 6, 7) if s == "a" else (7, 5, 8), 1)]
     a, b = (pairs_of(semantic.rrf_fuse(spark.createDataFrame(x, "query_id long, source string, concept_id long, rank long")), "rank", "concept_id", "score") for x in (rows, rows[::-1]))
@@ -188,7 +275,7 @@ def test_cosine_topk_is_brute_force_and_lsh_recalls(spark, monkeypatch):
 def test_eras_hold_nested_events(spark):
     rows = [(1, 9, "2024-01-01", "2024-03-01"), (1, 9, "2024-01-05", "2024-01-06"), (1, 9, "2024-03-20", None), (1, 9, "2024-06-01", "2024-06-02")]
     events = spark.createDataFrame(rows, "person_id long, c long, s string, e string").select("person_id", "c", F.to_date("s").alias("start"), F.to_date("e").alias("end"))
-    found = clinical.eras(events, "c").orderBy("era_start").collect()
+    found = intervals.eras(events, "c").orderBy("era_start").collect()
     assert [(str(r.era_start), str(r.era_end), r.n_events) for r in found] == [("2024-01-01", "2024-03-20", 3), ("2024-06-01", "2024-06-02", 1)]
 
 
