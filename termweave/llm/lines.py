@@ -1,6 +1,7 @@
 """Line dedup by pairwise alignment (operator 8).
 
-A line is known by a hash of its stripped text. A run is as few lines as hold
+A line is known by a hash of its text, stripped of white space (U+0009 to U+000D and
+U+0020), so line ends and indents don't tell copies apart. A run is as few lines as hold
 BLOCK_CHARS characters, counted from each line on and back, so every line of a
 block that is long enough to go lies in a run inside that block, and documents
 overlap only if they share a run. Lines in no run of another document can't go;
@@ -33,8 +34,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .tables import written
-from .textops import _BYTE, run_hashes, signed, slices
+from .textops import _BYTE, SEPARATOR, run_hashes, signed, slices
 
+#: Stripped from a line.
+WHITE = " \t\n\x0b\x0c\r"
 #: A block of fewer characters stays: such lines repeat by chance.
 BLOCK_CHARS = 20
 #: A run that more rows hold is common.
@@ -114,7 +117,7 @@ def split_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     opens[first[:-1]], closes[first[1:] - 1] = True, True
     starts[opens], starts[~opens] = offsets[:-1], breaks + 1
     ends[closes], ends[~closes] = offsets[1:], breaks
-    solid = np.flatnonzero(data != 32)
+    solid = np.flatnonzero(~SEPARATOR[data])
     if len(solid):
         starts = np.minimum(np.append(solid, len(data))[np.searchsorted(solid, starts)], ends)
         last = np.searchsorted(solid, ends) - 1
@@ -299,7 +302,7 @@ def without_lines(lines: list[str], gone: set[int]) -> set[int]:
         return gone
     out, blank, before = set(gone), [], True
     for i, line in enumerate(lines):
-        if not line.strip(" "):
+        if not line.strip(WHITE):
             blank.append(i)
             continue
         if blank and before and i in gone:

@@ -304,6 +304,13 @@ def plain_runs(ls):
     return out
 
 
+def test_line_ends_and_indents_tell_no_copies_apart(spark):
+    shared = ["a line that both documents share whole", "and one more line of the same block", "é and a third one, with an accent"]
+    texts = ["\n".join(["own one", *shared]), "\r\n".join(["own two", *shared, "", "more"]), "\n".join(["own three", *("\t" + x + " \t" for x in shared), "\x0b"])]
+    found = {r.doc_id: (r.n_removed, r.kept) for r in lines.dedup(docs(spark, texts)).collect()}
+    assert found == {0: (0, texts[0]), 1: (3, "own two\r\n\r\nmore"), 2: (4, "own three")}
+
+
 def brute_lines(rows, rare=lines.RARE_ROWS):
     """Every document against every earlier one: whole frames if they share a rare run, frames of common runs if a common one."""
     cut = [(i, (t or "").split("\n")) for i, t in rows]
