@@ -16,8 +16,10 @@ _ROW = "table_name string, column_name string, check_name string, n_failed long"
 def conformance(tables: dict[str, DataFrame], required: dict[str, list[str]], foreign: list[tuple[str, str, str, str]]) -> DataFrame:
     """table_name, column_name, check_name, n_failed: nulls of required columns, required columns that lack, and orphans of foreign keys.
 
-    One pass over a table counts the nulls of all its columns; each foreign key
-    (table, column, other table, other column) is one anti-join.
+    One pass over a table counts the nulls of all its columns. A foreign key
+    (table, column, other table, other column) is counted by its values first, in
+    each task before the shuffle, so one anti-join compares distinct values, however
+    many rows hold one.
     """
     out = []
     for name, columns in required.items():
@@ -29,8 +31,9 @@ def conformance(tables: dict[str, DataFrame], required: dict[str, list[str]], fo
             counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in held))
             out.append(counts.select(F.explode(F.array(*(F.struct(F.lit(c).alias("c"), F.col(c).alias("n")) for c in held))).alias("x")).select(F.lit(name).alias("table_name"), F.col("x.c").alias("column_name"), F.lit("null").alias("check_name"), F.col("x.n").alias("n_failed")))
     for table, column, other, key in foreign:
-        orphans = tables[table].where(F.col(column).isNotNull()).join(tables[other].select(F.col(key).alias(column)), column, "left_anti")
-        out.append(orphans.agg(F.count("*").alias("n_failed")).select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), F.lit("orphan").alias("check_name"), "n_failed"))
+        values = tables[table].where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+        orphans = values.join(tables[other].select(F.col(key).alias(column)), column, "left_anti")
+        out.append(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_failed")).select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), F.lit("orphan").alias("check_name"), "n_failed"))
     return reduce(DataFrame.unionByName, out)
 
 

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ranges
+from ..sources.scratch import written
 
+#: Pairs of a key's ranges beyond which they meet in bins.
+BUSY_PAIRS = 1_000_000
 #: Bins of a level are so many times as wide as those of the level below, whose bins are a day wide.
 STEP = 8
 #: Levels of bins; ranges longer than a bin of the last one touch several of them.
@@ -34,9 +37,9 @@ def _day(date: Column) -> Column:
     return F.unix_date(date.cast("date")).cast("long")
 
 
-def _at(day: Column, level: Column | int) -> Column:
+def _at(day: Column, level: Column) -> Column:
     """The bin of a day."""
-    return F.floor(day / F.pow(F.lit(float(STEP)), F.lit(level) if isinstance(level, int) else level)).cast("long")
+    return F.floor(day / F.element_at(F.array(*(F.lit(STEP**i) for i in range(LEVELS))), level + 1)).cast("long")
 
 
 def _own_level(start: Column, end: Column) -> Column:
@@ -56,28 +59,36 @@ def _binned(df: DataFrame, start: str, end: str, own_marks: str, above_marks: st
 
 
 def overlap_candidates(a: DataFrame, b: DataFrame, key: str = "person_id") -> DataFrame:
-    """Pairs of a(key, start, end, ...) and b(key, other_start, other_end, ...) that meet in a bin.
+    """Pairs of a(key, start, end, ...) and b(key, other_start, other_end, ...) that meet in the bin of the later start.
 
     A range stands in the bins of its own level, whose width fits its length, and
     in those of the coarser levels. Two ranges meet at the coarser one of their own
     levels only: role 1 pairs a's own level with all of b, role 2 b's own with what
-    of a is finer. So rows that no long range is near to don't meet in wide bins.
+    of a is finer. So rows that no long range is near to don't meet in wide bins,
+    and overlapping ranges meet once.
     """
     x = _binned(a.where("start <= end"), "start", "end", "1", "2")
     y = _binned(b.where("other_start <= other_end"), "other_start", "other_end", "12", "1")
-    return x.join(y, [key, "_level", "_bin", "_role"])
+    once = F.col("_bin") == _at(F.greatest(_day(F.col("start")), _day(F.col("other_start"))), F.col("_level"))
+    return x.join(y, [key, "_level", "_bin", "_role"]).where(once).drop("_level", "_bin", "_role")
 
 
 def overlap_join(a: DataFrame, b: DataFrame, key: str = "person_id") -> DataFrame:
     """Pairs of a(key, start, end, ...) and b(key, other_start, other_end, ...) whose ranges meet, with their intersection.
 
-    Each pair comes from one bin, that of the later start. Null keys and ends, and
-    ranges that start after their end, meet nothing.
+    The ranges of a key of few rows are paired as they are; those of a key of very
+    many meet in bins, so that their work grows with what overlaps. Null keys and
+    ends, and ranges that start after their end, meet nothing.
     """
-    both = overlap_candidates(a, b, key)
+    a, b = a.where("start <= end"), b.where("other_start <= other_end")
+    sizes = a.groupBy(key).agg(F.count("*").alias("n")).join(b.groupBy(key).agg(F.count("*").alias("m")), key)
+    busy = written(sizes.where(F.col("n") * F.col("m") > BUSY_PAIRS).select(key))
+    if busy.isEmpty():
+        both = a.join(b, key)
+    else:
+        both = a.join(busy, key, "left_anti").join(b, key).union(overlap_candidates(a.join(busy, key, "left_semi"), b.join(busy, key, "left_semi"), key))
     x, y = ranges.date_range(F.col("start"), F.col("end")), ranges.date_range(F.col("other_start"), F.col("other_end"))
-    once = F.col("_bin") == _at(F.greatest(_day(F.col("start")), _day(F.col("other_start"))), F.col("_level"))
-    return both.where(once & ranges.overlaps(x, y)).drop("_level", "_bin", "_role").withColumn("shared", ranges.intersection(x, y))
+    return both.where(ranges.overlaps(x, y)).withColumn("shared", ranges.intersection(x, y))
 
 
 def near_candidates(a: DataFrame, b: DataFrame, n: int, absolute: bool = False, key: str = "person_id") -> DataFrame:

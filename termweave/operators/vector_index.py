@@ -86,10 +86,9 @@ def k_means(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     for _ in range(ROUNDS):
         own = np.concatenate([nearest(x[at : at + 8192], centroids) for at in range(0, len(x), 8192)])
         counts = np.bincount(own, minlength=k)
-        sums = np.zeros_like(centroids)
-        np.add.at(sums, own, x)
-        empty = np.flatnonzero(counts == 0)
-        centroids[counts > 0] = sums[counts > 0] / counts[counts > 0, None]
+        held, empty = np.flatnonzero(counts), np.flatnonzero(counts == 0)
+        sums = np.add.reduceat(x[np.argsort(own, kind="stable")], np.cumsum(counts[held]) - counts[held])
+        centroids[held] = sums / counts[held, None]
         if len(empty):
             far = ((x - centroids[own]) ** 2).sum(1)
             centroids[empty] = x[np.argsort(-far, kind="stable")[: len(empty)]]

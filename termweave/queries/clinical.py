@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import ranges
 from ..operators import catalogue, clinical, governance, intervals
 from ..plans.derive import with_clinical as k
+from ..sources.scratch import written
 from . import query
 from .vocabulary import KEYWORDS_SQL, keywords
 
@@ -118,7 +119,7 @@ def _(g):
 
 
 def _ranges(g):
-    a = intervals.eras(g.drug_exposure, "drug_concept_id").select("person_id", F.col("drug_concept_id").alias("a"), F.col("era_start").alias("start"), F.col("era_end").alias("end"))
+    a = written(intervals.eras(g.drug_exposure, "drug_concept_id").select("person_id", F.col("drug_concept_id").alias("a"), F.col("era_start").alias("start"), F.col("era_end").alias("end")))  # both sides read the eras
     b = a.select("person_id", F.col("a").alias("b"), F.col("start").alias("other_start"), F.col("end").alias("other_end"))
     return a, b
 

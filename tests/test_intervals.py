@@ -35,9 +35,14 @@ def test_overlaps_equal_all_pairs(spark, a, b):
     fine = lambda r: None not in r and r[1] <= r[2]
     want = sorted((i, j, day(max(x[1], y[1])), day(min(x[2], y[2]))) for i, x in enumerate(a) for j, y in enumerate(b) if fine(x) and fine(y) and x[0] == y[0] and x[1] <= y[2] and y[1] <= x[2])
     x, y = sides(spark, a, b)
-    found = intervals.overlap_join(x.withColumn("_x", F.lit(1)), y)
-    assert found.columns == ["person_id", "a", "start", "end", "_x", "b", "other_start", "other_end", "shared"]
-    assert sorted((r.a, r.b, r.shared.start, r.shared.end) for r in found.collect()) == want
+    before = intervals.BUSY_PAIRS
+    try:
+        for intervals.BUSY_PAIRS in (before, 200, 0):  # no key meets in bins, some do, all do
+            found = intervals.overlap_join(x.withColumn("_x", F.lit(1)), y)
+            assert found.columns == ["person_id", "a", "start", "end", "_x", "b", "other_start", "other_end", "shared"]
+            assert sorted((r.a, r.b, r.shared.start, r.shared.end) for r in found.collect()) == want
+    finally:
+        intervals.BUSY_PAIRS = before
 
 
 def test_candidates_of_a_hot_person_grow_with_overlaps(spark):
@@ -50,7 +55,7 @@ def test_candidates_of_a_hot_person_grow_with_overlaps(spark):
     a, b = sides(spark, rows, rows[: n // 2])
     overlaps = intervals.overlap_join(a, b).count()
     met = intervals.overlap_candidates(a, b).count()
-    assert overlaps < met < 8 * overlaps < n * n / 2 / 500
+    assert overlaps < met < 5 * overlaps < n * n / 2 / 500
 
 
 @pytest.mark.parametrize("absolute", [False, True])
