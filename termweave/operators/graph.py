@@ -48,43 +48,48 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, relationship_ids: DataFra
     """pair_id, steps (array of subject, predicate, object) of all shortest paths of pairs(pair_id, source, target).
 
     Both ends are searched level by level, in turn; each side goes max_depth levels
-    at most, so a path may be twice as long unless max_hops bounds it. Only layers
-    and the edges between them are kept; paths are built once the meeting level is
-    known. Source and target alike give one path without steps.
+    at most, so a path may be twice as long unless max_hops bounds it. Layers and the
+    edges between them are kept for each end, whatever the number of its pairs; paths
+    are built once the meeting level of a pair is known. Source and target alike give one path without steps.
     """
     step_type = "array<struct<subject_id:bigint,predicate_id:string,object_id:bigint>>"
     same = pairs.where("source = target").select("pair_id", F.array().cast(step_type).alias("steps"))
     live = written(pairs.where("source <> target").select("pair_id", "source", "target"))
-    layers = {side: [live.select("pair_id", F.col(side).alias("node"))] for side in ("source", "target")}
+    layers = {side: [live.select(F.col(side).alias("root"), F.col(side).alias("node")).distinct()] for side in ("source", "target")}
     between: dict[str, list[DataFrame]] = {"source": [], "target": []}
     paths = [same]
     for turn in range(min(2 * max_depth, max_hops or 2 * max_depth)):
         side = ("source", "target")[turn % 2]
         forward = side == "source"
         own, other = ("concept_id_1", "concept_id_2") if forward else ("concept_id_2", "concept_id_1")
-        last = layers[side][-1].join(live, "pair_id", "left_semi")
+        last = layers[side][-1].join(live.select(F.col(side).alias("root")).distinct(), "root", "left_semi")
         out = outgoing_edges(edges, last.select(F.col("node").alias("concept_id")), relationship_ids, edge_cap, incoming=not forward)
         seen = reduce(DataFrame.union, layers[side])
-        walked = last.withColumnRenamed("node", own).join(out, own).join(seen.select("pair_id", F.col("node").alias(other)), ["pair_id", other], "left_anti")
-        walked = written(walked.select("pair_id", "concept_id_1", "relationship_id", "concept_id_2"))
+        walked = last.withColumnRenamed("node", own).join(out, own).join(seen.select("root", F.col("node").alias(other)), ["root", other], "left_anti")
+        walked = written(walked.select("root", "concept_id_1", "relationship_id", "concept_id_2"))
         between[side].append(walked)
-        layers[side].append(written(walked.select("pair_id", F.col(other).alias("node")).distinct()))
-        meets = written(layers["source"][-1].join(layers["target"][-1], ["pair_id", "node"]))
+        layers[side].append(written(walked.select("root", F.col(other).alias("node")).distinct()))
+        ends = {end: layers[end][-1].withColumnRenamed("root", end) for end in layers}
+        meets = written(live.join(ends["source"], "source").join(ends["target"], ["target", "node"]))
         if not meets.isEmpty():
             paths.append(written(_paths(meets, between["source"], between["target"], step_type)))
             live = written(live.join(meets.select("pair_id").distinct(), "pair_id", "left_anti"))
-        if live.isEmpty():
-            break
+            if live.isEmpty():
+                break
     return reduce(DataFrame.union, paths)
 
 
 def _paths(meets: DataFrame, left: list[DataFrame], right: list[DataFrame], step_type: str) -> DataFrame:
-    rows = meets.select("pair_id", F.col("node").alias("first"), F.col("node").alias("last"), F.array().cast(step_type).alias("steps"))
+    """Paths from the nodes where the searches of a pair meet back to both its ends."""
+    ends = ["pair_id", "source", "target"]
+    rows = meets.select(*ends, F.col("node").alias("first"), F.col("node").alias("last"), F.array().cast(step_type).alias("steps"))
     step = F.struct(F.col("concept_id_1").alias("subject_id"), F.col("relationship_id").alias("predicate_id"), F.col("concept_id_2").alias("object_id"))
     for edges in reversed(left):
-        rows = rows.join(edges.withColumnRenamed("concept_id_2", "first"), ["pair_id", "first"]).withColumn("concept_id_2", F.col("first")).select("pair_id", F.col("concept_id_1").alias("first"), "last", F.concat(F.array(step), "steps").alias("steps"))
+        back = edges.withColumnRenamed("root", "source").withColumn("first", F.col("concept_id_2"))
+        rows = rows.join(back, ["source", "first"]).select(*ends, F.col("concept_id_1").alias("first"), "last", F.concat(F.array(step), "steps").alias("steps"))
     for edges in reversed(right):
-        rows = rows.join(edges.withColumnRenamed("concept_id_1", "last"), ["pair_id", "last"]).withColumn("concept_id_1", F.col("last")).select("pair_id", "first", F.col("concept_id_2").alias("last"), F.concat("steps", F.array(step)).alias("steps"))
+        ahead = edges.withColumnRenamed("root", "target").withColumn("last", F.col("concept_id_1"))
+        rows = rows.join(ahead, ["target", "last"]).select(*ends, "first", F.col("concept_id_2").alias("last"), F.concat("steps", F.array(step)).alias("steps"))
     return rows.select("pair_id", "steps")
 
 

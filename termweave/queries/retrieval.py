@@ -38,7 +38,7 @@ def _(g):
     return g.read("embeddings").select("vec_id", (F.round(semantic.cosine_similarity(F.col("embedding"), F.reverse("embedding")), 6) + 0.0).alias("similarity"))
 
 
-@query("g1_embed_texts")
+@query("g1_embed_texts", v("SELECT concept_id, CAST(64 AS BIGINT) AS dims, CAST(1 AS DOUBLE) AS norm FROM concept"))
 def _(g):
     return semantic.embed_texts(g.concept, "concept_id", "concept_name").select("concept_id", F.size("embedding").cast("long").alias("dims"), F.round(semantic.cosine_similarity(F.col("embedding"), F.col("embedding")), 6).alias("norm"))
 

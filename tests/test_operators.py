@@ -106,6 +106,26 @@ def test_paths_are_walks_and_shortest(spark, concepts, edges, relationship):
     assert all((s.subject_id, s.predicate_id, s.object_id) in known for r in found for s in r.steps)
 
 
+def test_pairs_through_a_hub_share_their_searches(spark, monkeypatch):
+    """25 x 25 pairs through one hub: what is walked is kept for each of 50 ends, not for each of 625 pairs."""
+    n = 25
+    links = [(i, 1000) for i in range(n)] + [(1000, 100 + j) for j in range(n)] + [(i, 500 + i) for i in range(n)] + [(0, 100)]
+    edges = spark.createDataFrame([(a, b, "Is a", None) for a, b in links], "concept_id_1 long, concept_id_2 long, relationship_id string, invalid_reason string")
+    pairs = spark.createDataFrame([(i * n + j, i, 100 + j) for i in range(n) for j in range(n)], "pair_id long, source long, target long")
+    walked, keep = [], graph.written
+
+    def counted(df):
+        out = keep(df)
+        if "relationship_id" in df.columns:
+            walked.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "written", counted)
+    found = {r.pair_id: [(s.subject_id, s.object_id) for s in r.steps] for r in graph.shortest_paths(edges, pairs).collect()}
+    assert found == {i * n + j: [(0, 100)] if (i, j) == (0, 0) else [(i, 1000), (1000, 100 + j)] for i in range(n) for j in range(n)}
+    assert sum(walked) <= 4 * n + 2
+
+
 def test_missing_node_counts_as_invalid(spark, concepts, relationship):
     path = spark.createDataFrame([(1, 1, [(3, "Is a", 99)])], "pair_id long, path_id long, steps array<struct<subject_id:bigint,predicate_id:string,object_id:bigint>>")
     r = graph.path_profile(concepts, relationship, path).first()
