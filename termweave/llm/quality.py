@@ -1,13 +1,15 @@
 """Quality classifier by supervised subword embeddings (operator 9).
 
-A document is the average of learned vectors of its words, of pairs of neighbouring
-words, and of byte n-grams inside a word or across the border of two, each hashed
-to a bucket; a softmax of two outputs scores it. A pair's bucket is the exclusive
-or of both words' hashes, so pairs are unordered, and a word beside itself, whatever
-the word, falls in one bucket, whose vector is learned like any other. Vectors and outputs are learned on the driver
-by numpy stochastic gradient descent from a bounded sample of labelled rows. As
-output and average are both linear, scoring needs one number a bucket, summed
-over a text, so whole texts are scored at the speed of a table lookup.
+A document is the average of learned vectors of its words, plus that of pairs of
+neighbouring words, plus that of byte n-grams of each size, inside a word or across
+the border of two, each hashed to a bucket of its own kind. Pairs are hashed in
+order. A word or pair counts once in each window of a text's words, though the
+average is over all of them, so a text that repeats itself has less to add up and
+is judged more by the constant. A softmax of two
+outputs scores it. Vectors and outputs are learned on the driver by numpy
+stochastic gradient descent from a bounded sample of labelled rows. As output and
+average are both linear, scoring needs one number a bucket, summed over a text, so
+whole texts are scored at the speed of a table lookup.
 """
 
 from __future__ import annotations
@@ -21,16 +23,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from .textops import SEPARATOR, SLICE_BYTES, Words, slices
+from .textops import SEPARATOR, SLICE_BYTES, Words, mix, slices
 
 #: Labelled rows that a model is fitted on, half of each label: those of least hash of the id.
 TRAIN_ROWS = 4000
-#: log2 of the buckets of words, of pairs, and of n-grams of each size.
-BUCKET_BITS = 17
+#: log2 of the buckets of words and of n-grams of each size, and of pairs.
+BUCKET_BITS, PAIR_BITS = 17, 12
+#: A word or pair counts once in this many words.
+WINDOW = 32
 DIMENSIONS = 8
 #: Steps of descent, and rows of each label in one.
 STEPS, BATCH = 1500, 8
-RATE = 0.5
+RATE = 0.2
 NGRAMS = (3, 4)
 #: Bytes of text whose features are made at once: a byte takes about a hundred on the way.
 SLICE = SLICE_BYTES // 4
@@ -44,15 +48,26 @@ class Model:
     bias: float
 
 
-def _features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(bucket of each feature, byte position of each feature), kind by kind."""
+def _fresh(window: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """True where a bucket comes up for the first time in its window."""
+    fresh = np.zeros(len(bucket), bool)
+    fresh[np.unique((window << BUCKET_BITS) + bucket, return_index=True)[1]] = True
+    return fresh
+
+
+def _features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(bucket of each feature, byte position of each feature, whether it counts), kind by kind."""
     words = Words(data, offsets)
     mask = np.uint64((1 << BUCKET_BITS) - 1)
-    yield (words.hashes & mask).astype(np.int64), words.starts
-    follows = np.ones(len(words.hashes), bool)
-    follows[words.first[:-1][words.counts() > 0]] = False
-    at = np.flatnonzero(follows)
-    yield ((words.hashes[at] ^ words.hashes[at - 1]) & mask).astype(np.int64) + ((1 + len(NGRAMS)) << BUCKET_BITS), words.starts[at]
+    counts = words.counts()
+    place = np.arange(len(words.hashes)) - np.repeat(words.first[:-1], counts)
+    windows = -(-counts // WINDOW)
+    window = place // WINDOW + np.repeat(np.cumsum(windows) - windows, counts)
+    bucket = (words.hashes & mask).astype(np.int64)
+    yield bucket, words.starts, _fresh(window, bucket)
+    at = np.flatnonzero(place > 0)
+    bucket = (mix(words.hashes[at - 1] + mix(words.hashes[at])) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+    yield bucket + ((1 + len(NGRAMS)) << BUCKET_BITS), words.starts[at], _fresh(window[at], bucket)
     values = data.astype(np.uint64)
     values[SEPARATOR[data]] = 32
     gap = np.concatenate(([0], np.cumsum(SEPARATOR[data])))
@@ -67,31 +82,31 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
         for i in range(1, n):
             code = (code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + values[at + i]
         code = (code ^ (code >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-        yield ((code >> np.uint64(64 - BUCKET_BITS)).astype(np.int64) + kind * (1 << BUCKET_BITS)), at
+        yield ((code >> np.uint64(64 - BUCKET_BITS)).astype(np.int64) + kind * (1 << BUCKET_BITS)), at, np.ones(len(at), bool)
 
 
 #: Buckets of words, of each n-gram size, and of pairs.
-BUCKETS = (2 + len(NGRAMS)) << BUCKET_BITS
+BUCKETS = ((1 + len(NGRAMS)) << BUCKET_BITS) + (1 << PAIR_BITS)
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """label, and each text's buckets with their share of its features."""
     for part, data, offsets in slices(batches, "text", SLICE):
         kinds = list(_features(data, offsets))
-        bucket, at = np.concatenate([k[0] for k in kinds]), np.concatenate([k[1] for k in kinds])
-        text = np.searchsorted(offsets, at, "right") - 1
+        text = [np.searchsorted(offsets, at, "right") - 1 for _, at, _ in kinds]
         ids, share = [], []
         for i in range(part.num_rows):
-            b, c = np.unique(bucket[text == i], return_counts=True)
-            ids.append(b.astype(np.int32))
-            share.append((c / max(1, c.sum())).astype(np.float32))
+            mine = [of == i for of in text]
+            found = [np.unique(bucket[m & fresh], return_counts=True) for m, (bucket, _, fresh) in zip(mine, kinds)]
+            ids.append(np.concatenate([b for b, _ in found]).astype(np.int32))
+            share.append(np.concatenate([c / max(1, m.sum()) for m, (_, c) in zip(mine, found)]).astype(np.float32))
         yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(share, pa.list_(pa.float32()))], ["label", "buckets", "shares"])
 
 
 def train(buckets: list[np.ndarray], shares: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     """Stochastic gradient descent on the softmax loss of averaged vectors; each step takes rows of both labels alike."""
     rng = np.random.default_rng(seed)
-    vectors = (rng.random((BUCKETS, DIMENSIONS), dtype=np.float32) - 0.5) / DIMENSIONS
+    vectors = (rng.random((BUCKETS, DIMENSIONS), dtype=np.float32) - 0.5) * np.float32(0.02)
     out, bias = (rng.random((DIMENSIONS, 2), dtype=np.float32) - 0.5), np.zeros(2, np.float32)
     rows = [i for i in range(len(labels)) if len(buckets[i])]
     of_label = [x for x in ([i for i in rows if labels[i] == k] for k in (0, 1)) if x]
@@ -156,13 +171,12 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in batches:
             renamed = pa.RecordBatch.from_arrays(batch.columns, [str(i) for i in range(batch.num_columns)])
             for part, data, offsets in slices(iter([renamed]), str(at), SLICE):
-                total, count = np.zeros(part.num_rows), np.zeros(part.num_rows)
-                for bucket, place in _features(data, offsets):
-                    summed = np.concatenate(([0.0], np.cumsum(m.bucket_score[bucket], dtype=np.float64)))
+                total = np.zeros(part.num_rows)
+                for bucket, place, fresh in _features(data, offsets):
+                    summed = np.concatenate(([0.0], np.cumsum(m.bucket_score[bucket] * fresh, dtype=np.float64)))
                     ends = np.searchsorted(place, offsets)
-                    total += np.diff(summed[ends])
-                    count += np.diff(ends)
-                p = 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + m.bias, -500, 500)))
+                    total += np.diff(summed[ends]) / np.maximum(np.diff(ends), 1)
+                p = 1 / (1 + np.exp(-np.clip(total + m.bias, -500, 500)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))], [*kept, "score", "predicted"])
 
     schema = StructType([*(docs.schema[c] for c in kept), StructField("score", DoubleType()), StructField("predicted", IntegerType())])
