@@ -144,13 +144,13 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", train_rows:
     """A model of labels(key, target) on docs(key, text), from at most `train_rows` rows that are not held out.
 
     Of each label the half of train_rows with the least hash of the id is learned
-    from. Null ids, labels other than 0 and 1, and ids without a document are left
+    from, and of rows that repeat an id the least text. Null ids, labels other than 0 and 1, and ids without a document are left
     out. Without labelled rows every score is one half.
     """
     usable = labels.where(labels[key].isNotNull() & ~held_out(key)).select(labels[key].alias("id"), labels[target].alias("label"))
     least = lambda label: usable.where(F.col("label") == label).distinct().orderBy(F.xxhash64("id"), "id").limit(train_rows // 2)
     sample = least(0).union(least(1))
-    rows = docs.select(docs[key].alias("id"), docs[text].alias("text")).join(F.broadcast(sample), "id").orderBy(F.xxhash64("id"), "label", F.xxhash64("text"))
+    rows = docs.select(docs[key].alias("id"), docs[text].alias("text")).join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")).orderBy(F.xxhash64("id"), "id", "label")
     bags = rows.select("label", "text").mapInArrow(_bags, "label int, buckets array<int>, shares array<float>").toArrow().combine_chunks()
     lists = [[x.values.to_numpy() for x in bags.column(c)] for c in (1, 2)]
     return train(lists[0], lists[1], bags.column(0).to_numpy().astype(np.int64))

@@ -520,6 +520,46 @@ def test_every_known_sentence_is_found_and_numbered():
     assert r.identify("\n" * 200_000) == []
 
 
+_LIC = licenses.SENTENCES
+_BSD4 = "\n".join(_LIC[k][0].replace("{}", "the X") for k in ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-advert")) + "\nThis product includes software developed by the X.\n" + _LIC["bsd-endorse"][0].replace("{}", "the X")
+
+
+@pytest.mark.parametrize(
+    ("text", "licences", "expressions"),
+    [
+        (_BSD4, ["BSD-4-Clause"], []),
+        ("This software is released under the MIT license.", ["MIT"], ["MIT"]),
+        ("The code is licensed under the MIT License; see LICENSE.", ["MIT"], ["MIT"]),
+        ("The code is licensed under the MIT License and may be copied", ["MIT"], ["MIT"]),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License.", ["CC-BY-4.0"], ["CC-BY-4.0"]),
+        ("Shared under the Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License.", ["CC-BY-NC-SA-3.0"], ["CC-BY-NC-SA-3.0"]),
+        ("x\n     GNU GENERAL PUBLIC LICENSE\n       Version 3, 29 June 2007\n\n Copyright (C) 2007 F\n " + _LIC["gpl-verbatim"][0] + "\n\n   Preamble\n\n" + _LIC["gpl-3-open"][0], ["GPL-3.0-only"], []),
+        ("  Apache License\n  Version 2.0, January 2004\n", ["Apache-2.0"], []),
+        ("Mozilla Public License Version 2.0\n====\n\n1. Definitions", ["MPL-2.0"], []),
+        ("Creative Commons Attribution-ShareAlike 4.0 International Public License\n\nBy", ["CC-BY-SA-4.0"], []),
+        ("The MIT License (MIT)\n\nCopyright (c) X\n\n" + _LIC["mit-grant"][0] + "\n\n" + _LIC["mit-notice"][0] + "\n\n" + _LIC["as-is"][0], ["MIT"], []),
+        ("// SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0", ["GPL-2.0-only WITH Classpath-exception-2.0"], ["GPL-2.0-only WITH Classpath-exception-2.0"]),
+        ("# SPDX-License-Identifier: (MIT OR Apache-2.0)\n", ["Apache-2.0", "MIT"], ["(MIT OR Apache-2.0)"]),
+        ("SPDX-License-Identifier: (MIT OR", ["MIT"], []),
+        ("Dual-licensed under the MIT License or the Apache License, Version 2.0.", ["Apache-2.0", "MIT"], ["MIT OR Apache-2.0"]),
+        ("It is distributed under GPLv3+.", ["GPL-3.0-or-later"], ["GPL-3.0-or-later"]),
+        ("Released under the GNU GPL version 2 or later.", ["GPL-2.0-or-later"], ["GPL-2.0-or-later"]),
+        ("License: BSD 3-Clause\nName: x", ["BSD-3-Clause"], ["BSD-3-Clause"]),
+        *((x, [], []) for x in ("It is no longer licensed under the MIT License.", "The MIT License is popular.", "Licensed under an MIT-style license.", "Licensed under the Apache License.", "MIT gives courses. A licence to kill.", "Stored under the table. The GPL 3 line.", "It isn't released under the MIT license.")),
+    ],
+)
+def test_licences_of_ordinary_notices(text, licences, expressions):
+    r = licenses.Recogniser()
+    for shown in (text, "First words.\n" + text, text + "\n\nLast words."):
+        assert sorted(x for x, _, _ in r.match(r.identify(shown))) == licences and r.expressions(shown) == expressions
+
+
+def test_names_are_long_texts_safe():
+    r = licenses.Recogniser()
+    assert r.identify("The " * 300_000 + "license. " + "The end. " * 30_000) == []
+    assert len(set(licenses.NAMES.values())) > 40 and all(licenses._named(" ".join(k), 0) for k in licenses.NAMES)
+
+
 def test_rules_need_order_and_closeness():
     r = licenses.Recogniser({"a": ("A one.",), "b": ("B two.",)}, (("X", ("a", "b")), ("Y", ("b",))))
     match = lambda t: [x[0] for x in r.match(r.identify(t))]
