@@ -105,12 +105,7 @@ def _(g):
 def one_file_each(g, content, suffix):
     """A folder in the shared space with a file a supplier, named by its key: the sources to be read are many small files."""
     folder = f"{scratch_dir(g.spark).rstrip('/')}/{uuid.uuid4().hex}"
-    path, conf = g.spark._jvm.org.apache.hadoop.fs.Path, g.spark._jsc.hadoopConfiguration()
-    for r in g.read("supplier").select(F.col("s_suppkey").alias("name"), content.alias("value")).toLocalIterator():
-        at = path(f"{folder}/{r.name}{suffix}")
-        out = at.getFileSystem(conf).create(at)
-        out.write(bytearray(r.value.encode()))
-        out.close()
+    files.write_files(g.read("supplier").select(F.concat(F.col("s_suppkey").cast("string"), F.lit(suffix)).alias("name"), content.alias("value")), folder)
     return folder
 
 

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 #: Columns of the vocabulary files, in order.
@@ -65,9 +70,52 @@ def read_catalogue_csv(spark: SparkSession, path: str, columns: list[str]) -> Da
     return rows.withColumn("cohortId", F.col("cohortId").try_cast("bigint")).where("cohortId is not null")
 
 
+def _qualified(spark: SparkSession, folder: str):
+    """The folder's Hadoop path, with its scheme, and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.makeQualified(path), store
+
+
+def write_files(rows: DataFrame, folder: str) -> None:
+    """A file for each of rows(name, value) in a folder, written by the tasks that hold the rows.
+
+    A file gets its name only when it is whole, so a task that runs twice does no
+    harm. File systems that pyarrow doesn't know are written to by the driver, a
+    file at a time.
+    """
+    spark = rows.sparkSession
+    at, store = _qualified(spark, folder)
+    uri = at.toUri()
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(uri.getScheme(), uri.getScheme())
+    where = f"{scheme}://{uri.getAuthority() or ''}{uri.getRawPath()}"
+    store.mkdirs(at)
+    try:
+        fs.FileSystem.from_uri(where)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        for r in rows.toLocalIterator():
+            out = store.create(spark._jvm.org.apache.hadoop.fs.Path(at, r.name))
+            out.write(bytearray(r.value.encode()))
+            out.close()
+        return
+
+    def write(part: Iterator[Row]) -> None:
+        own, root = fs.FileSystem.from_uri(where)
+        for r in part:
+            draft = f"{root}/_{uuid.uuid4().hex}"
+            with own.open_output_stream(draft) as out:
+                out.write(r.value.encode())
+            own.move(draft, f"{root}/{r.name}")
+
+    rows.select("name", "value").repartition(spark.sparkContext.defaultParallelism).foreachPartition(write)
+
+
 def read_definitions(spark: SparkSession, folder: str) -> DataFrame:
-    """cohortId and json of each <id>.json file."""
-    rows = spark.read.text(f"{folder}/*.json", wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.json$", 1).alias("id"), F.col("value").alias("json"))
+    """cohortId and json of each <id>.json file of a folder; the folder is listed once, however many files it has."""
+    depth = _qualified(spark, folder)[0].toUri().getPath().rstrip("/").count("/") + 1
+    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(folder, wholetext=True)
+    inside = F.regexp_replace(F.col("_metadata.file_path"), "^[^:/]+:(//[^/]*)?", "")
+    rows = found.where(F.size(F.split(inside, "/")) == depth + 1).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.json$", 1).alias("id"), F.col("value").alias("json"))
     return rows.select(F.col("id").try_cast("bigint").alias("cohortId"), "json").where("cohortId is not null")
 
 

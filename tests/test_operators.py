@@ -429,3 +429,21 @@ def test_path_queries_reach_beyond_two_hops(spark, relationship):
     for r in sorted(_QUERIES["e8_path_concepts"](g).collect(), key=lambda r: r.position):
         walked.setdefault(r.pair_id, []).append(r.concept_id)
     assert walked[10] == [10, 11, 1, 5, 2] and set(walked[13]) == {13, 11, 3, 4, 5, 2}
+
+
+def test_files_are_written_by_tasks_and_listed_once(spark, tmp_path):
+    ids = spark.range(1, 301).select(F.concat(F.col("id").cast("string"), F.lit(".json")).alias("name"), F.concat(F.lit('{"é": '), F.col("id").cast("string"), F.lit("}\n")).alias("value"))
+    folder = f"file://{tmp_path}/a b"
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("written", "")
+    files.write_files(ids, folder)
+    spark.sparkContext.setJobGroup("listed", "")
+    rows = files.read_definitions(spark, folder)
+    spark.sparkContext.setJobGroup("read", "")
+    assert len(jobs.getJobIdsForGroup("written")) >= 1 and not jobs.getJobIdsForGroup("listed")  # no file's path is listed alone
+    assert sorted(tuple(r) for r in rows.collect()) == [(i, f'{{"é": {i}}}\n') for i in range(1, 301)]
+    deep = tmp_path / "a b" / "x=1"
+    deep.mkdir()
+    (deep / "999.json").write_text("{}")
+    assert files.read_definitions(spark, f"{tmp_path}/a b").count() == 300  # files of the folder itself
+    assert files.read_definitions(spark, f"{tmp_path}/a*").count() == 300
