@@ -82,8 +82,8 @@ def cosine_topk(queries: DataFrame, index: DataFrame, k: int = 10, key: str = "c
     queries(query_id, embedding), index(key, embedding, ...). Filters such as
     domain_id="Product" hold before scoring; with own=False a row is no neighbour
     of the query of its id. Both sides are packed in blocks of rows, and each pair
-    of blocks is scored in a task by one matrix product, of which only k a query go
-    on; neither side passes through the driver, but for query blocks that are few
+    of blocks is scored in a task by matrix products of bounded size, of which only k a
+    query go on; neither side passes through the driver, but for query blocks that are few
     enough to be broadcast. Order: similarity, then key.
     """
     for column, value in equal.items():
@@ -103,14 +103,11 @@ def cosine_topk(queries: DataFrame, index: DataFrame, k: int = 10, key: str = "c
                     continue
                 keys, ids = (np.frombuffer(batch.column(c)[row].as_buffer(), np.int64) for c in (0, 2))
                 x, q = (np.frombuffer(batch.column(c)[row].as_buffer(), np.float64).reshape(-1, dims) for c in (1, 3))
-                near = np.floor((q @ x.T) * 1e6 + 0.5) / 1e6
-                if not own:
-                    near[ids[:, None] == keys] = -np.inf
-                order = np.lexsort((np.broadcast_to(keys, near.shape), -near), axis=1)[:, :k]
-                best = np.take_along_axis(near, order, 1).reshape(-1)
-                real = best > -np.inf
-                columns = np.repeat(ids, order.shape[1])[real], keys[order.reshape(-1)][real], best[real]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "key", "similarity"])
+                for part in vector_index.slices_of(len(q), len(x)):
+                    order, best = vector_index.nearest_rows(q[part] @ x.T, keys, np.True_ if own else keys != ids[part, None], k)
+                    best, real = best.reshape(-1), best.reshape(-1) > -np.inf
+                    columns = np.repeat(ids[part], order.shape[1])[real], keys[order.reshape(-1)][real], best[real]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "key", "similarity"])
 
     found = pairs.mapInArrow(run, "query_id long, key long, similarity double")
     return top(found, ["query_id"], [F.col("similarity").desc(), "key"], k).select("query_id", "rank", F.col("key").alias(key), "similarity")

@@ -39,6 +39,8 @@ RECALL = 0.96
 SHARD_BYTES, QUERY_BLOCK = 8 << 20, 1024
 #: Rows of a shard measured exactly, for each neighbour wanted.
 REFINE = 16
+#: Entries of a matrix in memory, about: rows are taken in slices that keep to it, however many cells, rows and queries there are.
+MATRIX = 1 << 21
 ROUNDS, SEED = 12, 7
 
 
@@ -56,10 +58,13 @@ class Model:
 
     def cells(self, x: np.ndarray, count: int) -> np.ndarray:
         """The nearest cells of each row, nearest first."""
-        far = (self.centroids**2).sum(1) - 2 * x @ self.centroids.T
         count = min(count, len(self.centroids))
-        near = np.argpartition(far, count - 1, axis=1)[:, :count]
-        return np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, 1), axis=1, kind="stable"), 1)
+        out = np.empty((len(x), count), np.int32)
+        for own in slices_of(len(x), len(self.centroids)):
+            far = (self.centroids**2).sum(1) - 2 * x[own] @ self.centroids.T
+            near = np.argpartition(far, count - 1, axis=1)[:, :count]
+            out[own] = np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, 1), axis=1, kind="stable"), 1)
+        return out
 
     def codes(self, rest: np.ndarray) -> np.ndarray:
         """A byte for each slice of the rows' differences from their centroids."""
@@ -76,15 +81,40 @@ class Model:
         return out
 
 
+def slices_of(rows: int, width: int) -> list[slice]:
+    """Slices of so many rows that a matrix of this width stays within MATRIX entries."""
+    step = max(1, MATRIX // max(1, width))
+    return [slice(at, min(at + step, rows)) for at in range(0, rows, step)]
+
+
 def nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    return ((centroids**2).sum(1) - 2 * x @ centroids.T).argmin(1)
+    own = np.empty(len(x), np.int64)
+    for part in slices_of(len(x), len(centroids)):
+        own[part] = ((centroids**2).sum(1) - 2 * x[part] @ centroids.T).argmin(1)
+    return own
+
+
+def nearest_rows(near: np.ndarray, keys: np.ndarray, real: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """[query, place]: columns of the k greatest similarities of 6 places, equal ones by key, and these similarities; -inf where a query has fewer that are real.
+
+    near and real are [query, column]; keys are of the columns, or [query, column].
+    """
+    steps = np.floor(near * 1e6 + 0.5)
+    real = real & np.isfinite(steps)
+    turn = np.empty(keys.shape, np.int64)  # the place of each key
+    np.put_along_axis(turn, np.argsort(keys, axis=-1, kind="stable"), np.broadcast_to(np.arange(keys.shape[-1]), keys.shape), -1)
+    order = np.where(real, -steps, 2e6).astype(np.int64) * near.shape[1] + turn
+    k = min(k, near.shape[1])
+    at = np.argpartition(order, k - 1, axis=1)[:, :k]
+    at = np.take_along_axis(at, np.argsort(np.take_along_axis(order, at, 1), axis=1), 1)
+    return at, np.where(np.take_along_axis(real, at, 1), np.take_along_axis(steps, at, 1) / 1e6, -np.inf)
 
 
 def k_means(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     """k centroids of x (k at most the rows), by Lloyd's rounds from distinct rows; an empty cell takes the row that is farthest from its own."""
     centroids = x[rng.choice(len(x), k, replace=False)].copy()
     for _ in range(ROUNDS):
-        own = np.concatenate([nearest(x[at : at + 8192], centroids) for at in range(0, len(x), 8192)])
+        own = nearest(x, centroids)
         counts = np.bincount(own, minlength=k)
         held, empty = np.flatnonzero(counts), np.flatnonzero(counts == 0)
         sums = np.add.reduceat(x[np.argsort(own, kind="stable")], np.cumsum(counts[held]) - counts[held])
@@ -142,9 +172,11 @@ def fit(index: DataFrame, key: str = "concept_id", cells: int | None = None) ->
 def _probes(model: Model, x: np.ndarray, own: np.ndarray) -> int:
     """The fewest cells that hold RECALL of the ten nearest rows of the sample, over its first rows as queries; own: the rows' cells."""
     asked = x[:TRIAL_QUERIES]
-    near = asked @ x.T
-    near[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
-    wanted = np.argsort(-near, axis=1, kind="stable")[:, : min(10, len(x) - 1)]
+    wanted = np.empty((len(asked), min(10, len(x) - 1)), np.int64)
+    for part in slices_of(len(asked), len(x)):
+        near = asked[part] @ x.T
+        near[np.arange(len(near)), np.arange(part.start, part.stop)] = -np.inf
+        wanted[part] = np.argsort(-near, axis=1, kind="stable")[:, : wanted.shape[1]]
     if not wanted.size:
         return 1
     turn = np.argsort(model.cells(asked, len(model.centroids)), axis=1)  # of each cell, for each query
@@ -221,11 +253,16 @@ def _asked(queries: DataFrame, index: VectorIndex, probes: int) -> DataFrame:
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = model.cells(unit(_matrix(batch.column(1))), probes)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(cells)), cells.shape[1]))), pa.array(cells.reshape(-1).astype(np.int32))], ["query_id", "cell"])
+            ids, x = batch.column(0).to_numpy(), _matrix(batch.column(1))
+            for part in slices_of(len(x), len(model.centroids)):
+                cells = model.cells(unit(x[part]), probes)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[part], cells.shape[1])), pa.array(cells.reshape(-1))], ["query_id", "cell"])
 
     rows = _usable(queries, "query_id").where(F.size("embedding") == model.dims).withColumnRenamed("key", "query_id")
-    visits = rows.mapInArrow(visit, "query_id long, cell int").join(index.shards.select("shard", F.explode("held").alias("cell")), "cell").select("query_id", "shard").distinct()
+    if probes < len(model.centroids):
+        visits = rows.mapInArrow(visit, "query_id long, cell int").join(index.shards.select("shard", F.explode("held").alias("cell")), "cell").select("query_id", "shard").distinct()
+    else:  # every cell is visited, so every shard
+        visits = rows.select("query_id").distinct().crossJoin(F.broadcast(index.shards.select("shard")))
     met = visits.join(rows, "query_id")
     counts = visits.groupBy("shard").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("blocks"))  # a row holds so many queries, about
     dealt = met.join(counts, "shard").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")))
@@ -262,8 +299,9 @@ def search(queries: DataFrame, index: VectorIndex, k: int = 10, key: str = "conc
                     cells, keys, vectors, codes = cells[take], keys[take], vectors[take], codes[take]
                 asked = batch.column(4)[row].values
                 ids, x = asked.field("query_id").to_numpy(), unit(_matrix(asked.field("embedding")))
-                for at in range(0, len(ids) if len(keys) else 0, QUERY_BLOCK):
-                    yield _nearest(model, probes, ids[at : at + QUERY_BLOCK], x[at : at + QUERY_BLOCK], cells, keys, vectors, codes, k, own, refine, counted)
+                width = max(len(keys), len(model.centroids), model.dims * (0 if refine is None else refine * (k + 1)))
+                for part in slices_of(len(ids) if len(keys) else 0, width):
+                    yield _nearest(model, probes, ids[part], x[part], cells, keys, vectors, codes, k, own, refine, counted)
 
     if counted:
         return pairs.mapInArrow(run, "query_id long, rated long, measured long").groupBy("query_id").agg(F.sum("rated").alias("n_rated"), F.sum("measured").alias("n_measured"))
@@ -295,8 +333,6 @@ def _nearest(model: Model, probes: int, ids: np.ndarray, x: np.ndarray, cells: n
     names = keys[at]
     if not own:
         real = real & (names != ids[:, None])
-    near = np.where(real, np.floor(near * 1e6 + 0.5) / 1e6, -np.inf)
-    order = np.lexsort((names, -near), axis=1)[:, :k]
-    best = np.take_along_axis(near, order, 1).reshape(-1)
-    real = best > -np.inf
-    return pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, order.shape[1])[real]), pa.array(np.take_along_axis(names, order, 1).reshape(-1)[real]), pa.array(best[real])], ["query_id", "key", "similarity"])
+    place, best = nearest_rows(near, names if some < n else keys, real, k)
+    best, real = best.reshape(-1), best.reshape(-1) > -np.inf
+    return pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, place.shape[1])[real]), pa.array(np.take_along_axis(names, place, 1).reshape(-1)[real]), pa.array(best[real])], ["query_id", "key", "similarity"])

@@ -8,6 +8,7 @@ from ..functions import text as tx
 from ..operators import picks, semantic, vector_index
 from ..operators._rank import top
 from ..plans.derive import with_vocabulary as v
+from ..sources.scratch import written
 from . import query
 from .vocabulary import KEYWORDS_SQL, keywords
 
@@ -213,7 +214,7 @@ _LISTS = f"""{_VECTORS}, lists AS (SELECT query_id, 'a' AS source, concept_id, r
 
 def lists(g):
     """The nearest by cosine, and the nearest 40 by closeness of ids."""
-    found = nearest(g, 40)
+    found = written(nearest(g, 40))  # both lists read it
     by_id = top(found.drop("rank"), ["query_id"], [F.abs(F.col("concept_id") - F.col("query_id")), "concept_id"], None)
     one = found.where("rank <= 20").select("query_id", F.lit("a").alias("source"), "concept_id", "rank")
     return one.union(by_id.select("query_id", F.lit("b"), "concept_id", "rank"))

@@ -1,4 +1,5 @@
 import os
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -117,3 +118,49 @@ def test_codes_rate_near_rows_first():
     exact = ((x[:20, None] - x[None]) ** 2).sum(2)
     near = [len(set(np.argsort(r)[:20]) & set(np.argsort(e)[:5])) / 5 for r, e in zip(rated, exact)]
     assert np.mean(near) > 0.9
+
+
+def peak_mb(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_task_is_bounded():
+    rng = np.random.default_rng(5)
+    x, centroids = rng.normal(size=(8000, 4)), rng.normal(size=(3000, 4))
+    model = vi.Model(4, centroids, rng.normal(size=(1, 256, 4)), 3000)
+    assert peak_mb(lambda: model.cells(x, 1)) < 100 and peak_mb(lambda: vi.nearest(x, centroids)) < 100  # 8000 x 3000 doubles are 192 MB
+    model.cells(x[:100], 3000)
+    assert peak_mb(lambda: vi._probes(model, x, vi.nearest(x, centroids))) < 100
+
+
+def test_nearest_rows_are_those_of_a_full_sort(monkeypatch):
+    rng = np.random.default_rng(6)
+    near = np.round(rng.uniform(-1, 1, size=(30, 200)), 1)  # many ties
+    near[3, 5], near[4] = np.nan, np.nan
+    real = rng.random((30, 200)) < 0.7
+    keys = rng.permutation(200) * 7 - 500
+    keys[:4] = keys[4:8]
+    for width in (1, 9, 200, 300):
+        for names in (keys, np.broadcast_to(keys, near.shape)):
+            at, best = vi.nearest_rows(near, names, real, width)
+            for q in range(30):
+                want = sorted((-near[q, c], keys[c]) for c in range(200) if real[q, c] and not np.isnan(near[q, c]))[:width]
+                got = [(-s, keys[c]) for s, c in zip(best[q], at[q]) if s > -np.inf]
+                assert np.allclose(got, want) if want else not got
+
+
+def test_lists_search_once(spark, monkeypatch):
+    from termweave.queries import retrieval
+
+    class Spread(Given):
+        def read(self, name):
+            rows = spark.range(60).select(F.col("id").alias("vec_id"), F.array(F.sin("id"), F.cos("id")).alias("embedding"), F.lit(1).alias("label"))
+            return rows if name == "embeddings" else super().read(name)
+
+    plan = retrieval.lists(Spread(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan  # what was found is stored, not searched again for each list
