@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators._rank import dealt
 from ..sources.scratch import written
 
 CONCEPT = ["concept_id", "concept_name", "domain_id", "vocabulary_id", "concept_class_id", "standard_concept", "concept_code", "invalid_reason"]
@@ -129,9 +130,15 @@ class Given:
         k = F.col("c_custkey").cast("long")
         return self.read("customer").select(k.alias("person_id"), (8507 + 25 * (k % 2)).alias("gender_concept_id"), (1930 + k % 80).alias("year_of_birth"), F.col("c_name").alias("person_source_value"), F.lit(0).cast("long").alias("gender_source_concept_id"))
 
+    @property
+    def n_exposures(self) -> int:
+        """Rows of drug_exposure at most, by the files' own counts."""
+        return self.read("lineitem").count()
+
     def _drug_exposure(self) -> DataFrame:
         o = self.read("orders").select("o_orderkey", F.col("o_custkey").cast("long").alias("person_id"), F.col("o_orderdate").cast("date").alias("start"))
-        rows = self.read("lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(F.broadcast(self.nouns()))
+        n = self.n_exposures
+        rows = dealt(self.read("lineitem"), n, "l_orderkey").join(dealt(o, n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(F.broadcast(self.nouns()))
         return rows.select("person_id", (101 + F.col("l_partkey").cast("long") % F.col("n_nouns")).alias("drug_concept_id"), "start", F.greatest(F.col("l_shipdate").cast("date"), "start").alias("end"), F.col("l_quantity").cast("double").alias("quantity"), F.col("l_orderkey").cast("long").alias("visit_id"))
 
     def _condition(self) -> DataFrame:

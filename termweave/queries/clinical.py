@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ranges
 from ..operators import catalogue, clinical, governance, intervals
+from ..operators._rank import dealt
 from ..plans.derive import with_clinical as k
 from ..sources.scratch import written
 from . import query
@@ -114,7 +115,8 @@ def _(g):
     r AS (SELECT *, sum(new) OVER (PARTITION BY person_id, drug_concept_id ORDER BY "start", quantity ROWS UNBOUNDED PRECEDING) AS run FROM f)
     SELECT person_id, drug_concept_id, quantity, min("start") AS era_start, max("end") AS era_end, count(*) AS n_events FROM r GROUP BY person_id, drug_concept_id, run, quantity"""))
 def _(g):
-    once = g.drug_exposure.groupBy("person_id", "drug_concept_id", "start", "quantity").agg(F.max("end").alias("end"))
+    exposures = dealt(g.drug_exposure, g.n_exposures, "person_id", "drug_concept_id")  # serves the grouping, the window and the runs
+    once = exposures.groupBy("person_id", "drug_concept_id", "start", "quantity").agg(F.max("end").alias("end"))
     return clinical.dose_eras(once, "drug_concept_id", "quantity", ["start", "quantity"])
 
 
