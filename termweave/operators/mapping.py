@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._rank import top
+from ..sources.scratch import written
+from ._rank import dealt, top
 
 RELATED = ["concept_name", "domain_id", "vocabulary_id", "concept_class_id", "concept_code", "standard_concept"]
 KINDS = ("ontological", "mapping", "versioning", "attribute", "metadata")
@@ -46,15 +49,21 @@ def trace_standard_mapping(concepts: DataFrame, edges: DataFrame, ids: DataFrame
     before ends the chain. hops is clamped to 1..5.
     """
     hops = min(max(max_hops, 1), 5)
+    n = max(df.count() for df in (concepts, edges, ids))  # so many rows has a side of a join at most
     standard = concepts.select(F.col("concept_id").alias("at"), (F.col("standard_concept").eqNullSafe(F.lit("S"))).alias("standard"))
-    step = valid_maps(edges).join(concepts.select(F.col("concept_id").alias("target")), "target", "left_semi").groupBy(F.col("concept_id").alias("at")).agg(F.min("target").alias("next"))
+    maps = dealt(valid_maps(edges), n, "target").join(dealt(standard, n, "at"), F.col("target") == F.col("at")).select(F.col("concept_id").alias("at"), F.struct("target", "standard").alias("to"))
+    step = written(dealt(maps, n, "at").groupBy("at").agg(F.min("to").alias("to")).select("at", F.col("to.target").alias("next"), F.col("to.standard").alias("fine")))
     live = ids.select("concept_id").distinct().withColumns({"at": F.col("concept_id"), "hops": F.lit(0).cast("long"), "chain": F.array("concept_id")})
-    live = live.join(standard, "at", "left").withColumn("done", F.when(F.col("standard").isNull(), F.lit("not found")).when(F.col("standard"), F.lit("ok"))).drop("standard")
+    live = dealt(live, n, "at").join(dealt(standard, n, "at"), "at", "left").withColumn("done", F.when(F.col("standard").isNull(), F.lit("not found")).when(F.col("standard"), F.lit("ok"))).drop("standard")
+    ended = []
     for _ in range(hops):
-        moved = live.join(step, "at", "left").join(standard.withColumnRenamed("at", "next"), "next", "left")
-        go = F.col("done").isNull() & F.col("next").isNotNull() & ~F.array_contains("chain", F.col("next"))
-        stop = F.when(F.col("done").isNotNull(), F.col("done")).when(F.col("next").isNull(), F.lit("no mapping")).when(~go, F.lit("loop")).when(F.col("standard"), F.lit("ok"))
+        live = written(live)  # read twice: what has ended is not carried through the joins
+        ended.append(live.where("done is not null"))
+        moved = dealt(live.where("done is null"), n, "at").join(dealt(step, n, "at"), "at", "left")
+        go = F.col("next").isNotNull() & ~F.array_contains("chain", F.col("next"))
+        stop = F.when(F.col("next").isNull(), F.lit("no mapping")).when(~go, F.lit("loop")).when(F.col("fine"), F.lit("ok"))
         live = moved.select("concept_id", F.when(go, F.col("next")).otherwise(F.col("at")).alias("at"), (F.col("hops") + go.cast("long")).alias("hops"), F.when(go, F.concat("chain", F.array("next"))).otherwise(F.col("chain")).alias("chain"), stop.alias("done"))
+    live = reduce(DataFrame.unionByName, ended, live)
     ok = F.coalesce(F.col("done") == "ok", F.lit(False))
     return live.select("concept_id", F.when(ok, F.col("at")).alias("target_id"), "hops", "chain", F.when(~ok, F.coalesce("done", F.lit("too many hops"))).alias("error"))
 
